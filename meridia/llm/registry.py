@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from meridia.llm.mixing import OP8_SQL, op8_mixing
+from meridia.llm.quality import OP5_SQL, op5_quality
+from meridia.llm.sharding import op4_hash_tree
 from meridia.llm.simhash import op1_simhash
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op4_hash_tree": op4_hash_tree,
+    "op5_quality": op5_quality,
+    "op8_mixing": op8_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_quality": OP5_SQL,
+    "op8_mixing": OP8_SQL,
+}

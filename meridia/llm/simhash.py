@@ -131,7 +131,7 @@ def postings(entries: DataFrame, column: str, shared: int) -> DataFrame:
 def units(posted: DataFrame) -> DataFrame:
     """Deal posting lists into units of work (key, i, j): the pairs of a list's blocks i <= j; most lists are one unit (0, 0).
 
-    Lists of one entry go. ``side`` is 0 in block i and 1 in block j. Only the counts of long lists are joined back.
+    ``side`` is 0 in block i and 1 in block j. Only the counts of lists of two or more are joined back.
     """
     counts = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     dealt = posted.join(counts, "key").withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
