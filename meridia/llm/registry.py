@@ -6,9 +6,11 @@ from meridia.llm.mixing import OP8_SQL, op8_mixing
 from meridia.llm.quality import OP5_SQL, op5_quality
 from meridia.llm.sharding import op4_hash_tree
 from meridia.llm.simhash import op1_simhash
+from meridia.llm.substrings import op3_rindex
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_rindex": op3_rindex,
     "op4_hash_tree": op4_hash_tree,
     "op5_quality": op5_quality,
     "op8_mixing": op8_mixing,
