@@ -1,11 +1,50 @@
-"""The corpus pipeline; its stages are added as their operators come."""
+"""The corpus pipeline: five stages over ``documents``, each written and read again by who runs it.
 
-STAGES: list = []
+1. quality: documents that the base rules or the divergence from their language reject go.
+2. near_dedup: one document of each group of near-duplicates stays, by SimHash on shingles of five words.
+3. substrings: bytes of passages that a document with a smaller id also has go; ``n_chars`` follows the text.
+4. mixing: documents stand as often as their source's target weight says.
+5. packing: the mix, by words, in bins of several permitted lengths. A row for each piece of a document.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from meridia.llm import mixing, packing, quality, simhash, substrings
+from meridia.llm.common import checkpointed, table
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.judge(docs).where("quality.kept").drop("quality")
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.one_of_each(docs)
+
+
+def substrings_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    left = substrings.remove(docs)
+    return left.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else left
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs).withColumnRenamed("id", "doc_id").withColumnRenamed("group", "bin_group")
+
+
+STAGES = [("quality", quality_stage), ("near_dedup", near_dedup_stage), ("substrings", substrings_stage), ("mixing", mixing_stage), ("packing", packing_stage)]
+
+#: XXH64, the splitting tree and best fit are not for SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = checkpointed(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -15,11 +15,11 @@ source. The text is read once to be counted.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meridia.llm.common import checkpointed, table
+from meridia.llm.common import checkpointed, shuffle_partitions, table
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -31,12 +31,32 @@ OUT_SHARDS = 16
 DIGITS = 15
 
 
+#: Joined by broadcast up to so many rows, by shuffle beyond.
+BROADCAST_ROWS = 100_000
+
+
+def _size(text_col: str) -> Column:
+    return F.size(F.array_remove(F.split(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("long")
+
+
+def _at(key: Column) -> Column:
+    """The place of an id in its source's order."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(key.cast("string"), F.lit("")))), 1, DIGITS), 16, 10).cast("long")
+
+
+def _block(at: Column) -> Column:
+    return F.floor(at / F.lit(16**DIGITS // BLOCKS)).cast("int")
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    rows = checkpointed(rows)
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
+
+
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(id, source, size, at, block): words, and the place of each row in its source's order."""
-    size = F.size(F.array_remove(F.split(F.translate(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), "\t\n\x0b\x0c\r", "     "), " "), "")).cast("long")
     key = F.col(f"`{id_col}`").cast("long")
-    at = F.conv(F.substring(F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(key.cast("string"), F.lit("")))), 1, DIGITS), 16, 10).cast("long")
-    return docs.select(key.alias("id"), F.col(f"`{source_col}`").alias("source"), size.alias("size"), at.alias("at")).withColumn("block", F.floor(F.col("at") / F.lit(16**DIGITS // BLOCKS)).cast("int"))
+    return docs.select(key.alias("id"), F.col(f"`{source_col}`").alias("source"), _size(text_col).alias("size"), _at(key).alias("at")).withColumn("block", _block(F.col("at")))
 
 
 def targets(sources: DataFrame) -> DataFrame:
@@ -138,7 +158,30 @@ def deal(mixed: DataFrame, shards: int = OUT_SHARDS) -> DataFrame:
     rows = [(q["name"], s, int(ends[s][j] - dealt[s][j]), int(ends[s][j])) for j, q in enumerate(quotas) for s in range(shards) if dealt[s][j]]
     spans = mixed.sparkSession.createDataFrame(rows, "name string, shard int, first long, end long")
     placed = drawn.join(spans, "name").where("k > first AND k <= end").select("name", "pass", "block", "shard")
-    return taken.join(placed, ["name", "pass", "block"]).withColumn("order", F.xxhash64("id", "pass", F.lit(SEED + 1))).drop("name")
+    return taken.join(placed, ["name", "pass", "block"]).withColumn("order", F.xxhash64("id", "pass", F.lit(SEED + 1)))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shards: int = OUT_SHARDS) -> DataFrame:
+    """The mix itself: rows of ``docs`` as often as they are taken, by output shard, shuffled within it; all columns stay.
+
+    A row is taken as often as in ``mix``. What is joined to the rows is a cut for each source and a shard for each
+    (source, pass, block): at most ``BLOCKS`` times ``MAX_EPOCHS`` rows a source. Within the tie of one id and size, rows
+    go together.
+    """
+    decided = checkpointed(mix(docs, id_col, text_col, source_col).withColumn("name", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))))
+    places = deal(decided, shards).select("name", "pass", "block", "shard").distinct()
+    whole = F.floor(F.col("target") / F.col("source_size")).cast("int")
+    at = _at(F.col("id"))
+    cuts = decided.where("size > 0").groupBy("name").agg(F.first(whole).alias("whole"), F.max(F.when(F.col("passes") > whole, F.struct(at.alias("at"), F.coalesce("id", F.lit(-(1 << 63))).alias("id"), F.col("size").alias("size")))).alias("cut"))
+    key, source = F.col(f"`{id_col}`").cast("long"), F.col(f"`{source_col}`")
+    size = _size(text_col)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("name"), F.struct(_at(key).alias("at"), F.coalesce(key, F.lit(-(1 << 63))).alias("id"), size.alias("size")).alias("here"))
+    rows = rows.where("here.size > 0").join(_small(cuts), "name")
+    rows = rows.withColumn("passes", F.col("whole") + F.coalesce((F.col("here") <= F.col("cut")).cast("int"), F.lit(0))).where("passes > 0")
+    rows = rows.withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("passes")))).withColumn("block", _block(F.col("here.at")))
+    rows = rows.join(_small(places), ["name", "pass", "block"]).withColumn("order", F.xxhash64("here.id", "pass", F.lit(SEED + 1)))
+    parts = max(shards, shuffle_partitions(docs.sparkSession))
+    return rows.repartition(parts, "shard", F.pmod("order", F.lit(max(1, parts // shards)))).sortWithinPartitions("shard", "order").select("row.*")
 
 
 def op8_mixing(spark, sf_dir: str) -> DataFrame:

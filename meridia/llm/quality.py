@@ -134,7 +134,8 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", refs:
     fits = (F.col("char_distance") <= CHAR_LIMIT) & (F.col("word_distance") <= WORD_LIMIT + WORD_SLACK / F.sqrt("n_words"))
     inner = inner.withColumn("kept", ~F.col("base_failed") & F.coalesce(fits, F.lit(True)))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept"]
-    return inner.select("row.*", F.struct(*names).alias("quality"))
+    # a row for each element of a one-element array: a filter on the verdict then stays above, and repeats no expression
+    return inner.select("row.*", F.explode(F.array(F.struct(*names))).alias("quality"))
 
 
 def op5_quality(spark, sf_dir: str) -> DataFrame:

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meridia.llm.common import ascii_lower, checkpointed, shuffle_partitions, utf8, words
@@ -101,44 +102,49 @@ def fingerprint(text: bytes, width: int, fold: int = 1) -> list[int]:
     return [int.from_bytes(np.packbits(2 * ones[k] > n).tobytes(), "big") for k in range(fold)]
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, fold: int = 1) -> DataFrame:
-    """(id, f0 .. f{fold-1} long): the fingerprints as signed longs, a row for each row. Null text: as an empty one."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, fold: int = 1, extra: str | None = None) -> DataFrame:
+    """(id, f0 .. f{fold-1} long): the fingerprints as signed longs, a row for each row. Null text: as an empty one.
+
+    ``extra``: a long column that goes along.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [fingerprint(t.as_py(), width, fold) for t in batch.column(1)]
             cols = [pa.array(np.array([m[k] for m in made], np.uint64).view(np.int64)) for k in range(fold)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["id", *(f"f{k}" for k in range(fold))])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], *cols], names=["id", *batch.schema.names[2:], *(f"f{k}" for k in range(fold))])
 
-    schema = "id long, " + ", ".join(f"f{k} long" for k in range(fold))
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), utf8(text_col).alias("text")).mapInArrow(run, schema)
+    more = [F.col(extra)] if extra else []
+    schema = "id long, " + (f"{extra} long, " if extra else "") + ", ".join(f"f{k} long" for k in range(fold))
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), utf8(text_col).alias("text"), *more).mapInArrow(run, schema)
 
 
-def postings(entries: DataFrame, column: str, shared: int) -> DataFrame:
-    """Each row of ``entries`` under the key of each group of positional bytes of its long ``column``."""
+def postings(entries: DataFrame, columns: list[str], shared: int) -> DataFrame:
+    """(key, node): each entry under the key of each group of positional bytes of each long in ``columns``.
+
+    A key is the number of its word and group, then the bytes; it is unique to them.
+    """
     groups = covering_groups(shared)
-    byte = lambda p: F.shiftrightunsigned(F.col(column), 8 * p).bitwiseAND(F.lit(255))
 
     def key(g: int, ps: tuple[int, ...]):
-        k = F.lit(g).cast("long")
+        k = F.col("w").cast("long") * len(groups) + g
         for p in ps:
-            k = F.shiftleft(k, 8).bitwiseOR(byte(p))
+            k = F.shiftleft(k, 8).bitwiseOR(F.shiftrightunsigned("word", 8 * p).bitwiseAND(F.lit(255)))
         return k
 
-    return entries.withColumn("key", F.explode(F.array(*(key(g, ps) for g, ps in enumerate(groups)))))
+    worded = entries.select("node", F.posexplode(F.array(*columns)).alias("w", "word"))
+    return worded.select("node", F.explode(F.array(*(key(g, ps) for g, ps in enumerate(groups)))).alias("key"))
 
 
 def units(posted: DataFrame) -> DataFrame:
-    """Deal posting lists into units of work (key, i, j): the pairs of a list's blocks i <= j; most lists are one unit (0, 0).
+    """(key, i, j, side, node): posting lists dealt into units of work, the pairs of a list's blocks i <= j.
 
-    ``side`` is 0 in block i and 1 in block j. Only the counts of lists of two or more are joined back.
+    Most lists are one unit (0, 0); lists of one entry go. ``side`` is 0 in block i and 1 in block j.
     """
     counts = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     dealt = posted.join(counts, "key").withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
     dealt = dealt.withColumn("b", F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).otherwise(F.lit(0)))
-    return dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), (F.col("b") > F.col("o")).cast("int").alias("side"), *[c for c in posted.columns if c != "key"]
-    )
+    return dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), (F.col("b") > F.col("o")).cast("int").alias("side"), "node")
 
 
 def shared_bytes(x: np.ndarray) -> np.ndarray:
@@ -148,21 +154,21 @@ def shared_bytes(x: np.ndarray) -> np.ndarray:
 
 
 class Matcher:
-    """Which pairs link. ``first`` has the fingerprint that the index posts, ``all`` every fingerprint, a column each."""
+    """Which pairs link: the posted words share ``least_shared`` bytes, and all words differ in at most ``bits`` bits."""
 
-    def __init__(self, bits: int, total: int, least_shared: int):
-        self.bits, self.total, self.least_shared = bits, total, least_shared
+    def __init__(self, bits: int, least_shared: int):
+        self.bits, self.least_shared = bits, least_shared
 
     def __call__(self, a: np.ndarray, b: np.ndarray, posted_a: np.ndarray, posted_b: np.ndarray) -> np.ndarray:
-        """Of broadcastable arrays: (..., fold) all fingerprints, (...) the posted one."""
-        enough = shared_bytes(posted_a ^ posted_b) >= self.least_shared
+        """Of broadcastable arrays: (..., words) all words, (...) the posted one."""
+        x = posted_a ^ posted_b
+        found = shared_bytes(x) >= self.least_shared
         if a.shape[-1] == 1:
-            return enough & (np.bitwise_count(posted_a ^ posted_b) <= self.total)
-        found = np.zeros(enough.shape, bool)
-        at = np.nonzero(enough)
+            return found & (np.bitwise_count(x) <= self.bits)
+        at = np.nonzero(found)
         if len(at[0]):
-            aa, bb = np.broadcast_to(a, enough.shape + a.shape[-1:])[at], np.broadcast_to(b, enough.shape + b.shape[-1:])[at]
-            found[at] = np.bitwise_count(aa ^ bb).sum(axis=-1, dtype=np.int64) <= self.total
+            aa, bb = np.broadcast_to(a, found.shape + a.shape[-1:])[at], np.broadcast_to(b, found.shape + b.shape[-1:])[at]
+            found[at] = np.bitwise_count(aa ^ bb).sum(axis=-1, dtype=np.int64) <= self.bits
         return found
 
 
@@ -183,13 +189,15 @@ def forest(match: Matcher, node: np.ndarray, fp: np.ndarray, posted: np.ndarray,
     return node[far], node[label[far]]
 
 
-def link_units(dealt: DataFrame, match: Matcher, fold: int, parts: int) -> DataFrame:
-    """Links (u, v) of all units; the links of a unit connect what its matching pairs connect."""
-    names = ["key", "i", "j", "side", "node", "posted", *(f"f{k}" for k in range(fold))]
+def link_units(dealt: DataFrame, match: Matcher, fold: int, groups: int, key_bits: int, parts: int) -> DataFrame:
+    """Links (u, v) of all units; the links of a unit connect what its matching pairs connect. ``dealt`` has f0 .. too."""
+    names = ["key", "i", "j", "side", "node", *(f"f{k}" for k in range(fold))]
 
     def solve(cols: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        key, i, j, side, node, posted = cols[:6]
-        posted, fp = posted.view(np.uint64), np.stack(cols[6:], axis=1).view(np.uint64)
+        key, i, j, side, node = cols[:5]
+        fp = np.stack(cols[5:], axis=1).view(np.uint64)
+        word = (key >> key_bits) // groups if fold > 1 else np.zeros(len(key), np.int64)
+        posted = fp[np.arange(len(key)), word]
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
         starts = np.nonzero(new)[0]
@@ -233,6 +241,14 @@ def link_units(dealt: DataFrame, match: Matcher, fold: int, parts: int) -> DataF
     return ordered.mapInArrow(run, "u long, v long")
 
 
+def link(entries: DataFrame, fold: int, bits: int, shared: int) -> DataFrame:
+    """(u, v) of nodes: links that connect what pairs of ``entries`` (node, f0 ..) with at most ``bits`` differing bits connect."""
+    columns = [f"f{k}" for k in range(fold)]
+    groups = covering_groups(shared)
+    dealt = units(postings(entries, columns, shared)).join(entries.select("node", *columns), "node")
+    return link_units(dealt, Matcher(bits, min(len(g) for g in groups) if fold > 1 else shared), fold, len(groups), 8 * len(groups[0]), shuffle_partitions(entries.sparkSession))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, bits: int = 4) -> DataFrame:
     """Connected components of rows whose SimHash fingerprints differ in at most ``bits`` bits.
 
@@ -242,18 +258,43 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and stands as its component's id only if all ids there are null. No rows give no rows. Only the two named
     columns are read, so that others may have any name.
     """
-    spark, parts = docs.sparkSession, shuffle_partitions(docs.sparkSession)
     found = checkpointed(fingerprints(docs, id_col, text_col, width).select("id", F.col("f0").alias("node")))
-    entries = checkpointed(found.groupBy("node").agg(F.min("id").alias("least")))
-    keyed = postings(entries.select("node", F.col("node").alias("posted"), F.col("node").alias("f0")), "posted", POSITIONS - bits)
-    links = link_units(units(keyed), Matcher(bits, bits, POSITIONS - bits), 1, parts)
-    member = components(links)
+    entries = checkpointed(found.groupBy("node").agg(F.min("id").alias("least"))).withColumn("f0", F.col("node"))
+    member = components(link(entries, 1, bits, POSITIONS - bits))
     rooted = entries.join(member, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select("node", "component_id")
     return found.join(named, "node").select("id", F.col("node").alias("fingerprint"), "component_id")
 
 
+#: A similarity of 0.8 of shingle sets turns about 0.15 of a fingerprint's bits; with the spread of FOLD words, this share finds it.
+FOLD, DIFFERING = 8, 0.18
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, fold: int = FOLD, differing: float = DIFFERING) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: the one with the smallest id.
+
+    Fingerprints of ``fold`` words of 64 bits; a pair is tallied for each word in which it shares a group of three
+    positional bytes, and links if at most that share of all bits differs. Of what a tally of three guarantees no more
+    than five differing bits in a word are sure; beyond, finding a pair is a matter of chance, which the words repeat.
+    Null and empty texts have fingerprint zero and are near-duplicates of each other. Rows equal in id and text are
+    one. A null id stands after all others. No rows give no rows. All columns stay; only the two named are read.
+    """
+    columns = [f"f{k}" for k in range(fold)]
+    key = F.xxhash64(*columns) if fold > 1 else F.col("f0")
+    base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    found = checkpointed(fingerprints(base.withColumn("sum", F.xxhash64("text")), "id", "text", width, fold, extra="sum").withColumn("node", key))
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "sum")).alias("least")
+    entries = checkpointed(found.groupBy("node").agg(first, *[F.first(c).alias(c) for c in columns]))
+    member = components(link(entries, fold, int(differing * 64 * fold), 4))
+    rooted = entries.select("node", "least").join(member, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.id").alias("kept_id"), F.col("least.sum").alias("kept_sum"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("sum"))
+    rows = rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("sum") == F.col("kept_sum")), "left_semi")
+    alone = rows.withColumn("k", F.row_number().over(W.partitionBy("id", "sum").orderBy(F.lit(0)))).where("k = 1")
+    return alone.select("row.*")
+
+
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
     """Contract of op1: four words, four bits, over all of ``documents``."""
     from meridia.llm.common import table
