@@ -1,6 +1,64 @@
-"""Every registered query of the engine and its SQL."""
+"""Every registered query of the engine and its SQL: relations resolved to Spark views, or to CTEs for the oracle."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+import re
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from meridia.operators.metrics import RELATIONS
+from meridia.operators.serving import SERVING
+from meridia.plans.views import VIEWS
+
+TABLES = ("lineitem", "orders", "customer", "supplier", "part", "nation", "region", "events")
+#: Hours from a revision to its patrol, in each dialect.
+HOURS = {
+    "spark": "(unix_timestamp(CAST(e.event_timestamp AS TIMESTAMP)) - unix_timestamp(CAST(r0.event_timestamp AS TIMESTAMP))) / 3600e0",
+    "duckdb": "(epoch(CAST(e.event_timestamp AS TIMESTAMP)) - epoch(CAST(r0.event_timestamp AS TIMESTAMP))) / 3600e0",
+}
+DEFINED = {**VIEWS, **RELATIONS, **SERVING}
+#: Registered name -> relation. Serving queries go by their own names.
+METRICS = {
+    "C1_gdp": "gdp", "C2_gdp_user_type_share": "gdp_user_type_share", "C3_gdp_activity_tiers": "gdp_activity_tiers", "C4_business_funnel": "business_funnel", "C5_labor_monthly": "labor_monthly",
+    "C6_labor_cohorts": "labor_cohorts", "C7_labor_churn": "labor_churn", "C8_inequality": "inequality", "C9_D7_page_weekly_edits": "page_weekly_edits", "C10_patrol_revision_counts": "patrol_revision_counts",
+    "C11_patrol_event_counts": "patrol_event_counts", "C12_patrol": "patrol", "C20_registered_editors": "registered_editors", "D5_patrol_latency": "patrol_latency", "D6_patrol_concentration": "patrol_concentration",
+    "D9_autopatrol_intervals": "intervals", "E1_patrol_event_rows": "patrol_event_rows",
+}
+
+
+def _needs(sql: str) -> list[str]:
+    return re.findall(r"\{(\w+)\}", sql)
+
+
+def with_ctes(name: str, dialect: str) -> str:
+    """The relation's SQL with all that it reads as CTEs, each once, in order."""
+    ctes: dict[str, str] = {}
+
+    def visit(of: str) -> str:
+        sql = DEFINED[of].replace("{hours}", HOURS[dialect])
+        for need in _needs(sql):
+            if need not in ctes:
+                ctes[need] = visit(need)
+        return re.sub(r"\{(\w+)\}", r"\1", sql)
+
+    body = visit(name)
+    return ("WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + "\n" if ctes else "") + body
+
+
+def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The relation over the tables of ``sf_dir``: one plan, left to Catalyst and adaptive execution."""
+    used = [t for t in TABLES if re.search(rf"\b{t}\b", with_ctes(name, "spark"))]
+    frames = {f"t_{t}": spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used}
+    sql = with_ctes(name, "spark")
+    for t in used:
+        sql = re.sub(rf"\b(FROM|JOIN) {t}\b", rf"\1 {{t_{t}}}", sql)
+    return spark.sql(sql, **frames)
+
+
+def _query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: relation(spark, sf_dir, name)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**{k: _query(v) for k, v in METRICS.items()}, **{k: _query(k) for k in SERVING}}
+ORACLES: dict[str, str] = {**{k: with_ctes(v, "duckdb") for k, v in METRICS.items()}, **{k: with_ctes(k, "duckdb") for k in SERVING}}
