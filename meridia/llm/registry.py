@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from meridia.llm.mixing import OP8_SQL, op8_mixing
+from meridia.llm.neighbours import op6_multiprobe
 from meridia.llm.packing import op9_packing
+from meridia.llm.pst import op7_suffix_tree
 from meridia.llm.quality import OP5_SQL, op5_quality
 from meridia.llm.sharding import op4_hash_tree
 from meridia.llm.simhash import op1_simhash
@@ -17,6 +19,8 @@ QUERIES = {
     "op3_rindex": op3_rindex,
     "op4_hash_tree": op4_hash_tree,
     "op5_quality": op5_quality,
+    "op6_multiprobe": op6_multiprobe,
+    "op7_suffix_tree": op7_suffix_tree,
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_urls": op10_urls,
