@@ -6,10 +6,13 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from meridia.functions import fields
 from meridia.operators.metrics import RELATIONS
 from meridia.operators.serving import SERVING
 from meridia.plans.views import VIEWS
+from meridia.streaming.weekly import weekly_counts
 
 TABLES = ("lineitem", "orders", "customer", "supplier", "part", "nation", "region", "events")
 #: Hours from a revision to its patrol, in each dialect.
@@ -31,16 +34,16 @@ def _needs(sql: str) -> list[str]:
     return re.findall(r"\{(\w+)\}", sql)
 
 
-def with_ctes(name: str, dialect: str) -> str:
-    """The relation's SQL with all that it reads as CTEs, each once, in order."""
+def with_ctes(name: str, dialect: str, given: tuple[str, ...] = ()) -> str:
+    """The relation's SQL with all that it reads as CTEs, each once, in order; relations in ``given`` stay in braces."""
     ctes: dict[str, str] = {}
 
     def visit(of: str) -> str:
         sql = DEFINED[of].replace("{hours}", HOURS[dialect])
         for need in _needs(sql):
-            if need not in ctes:
+            if need not in ctes and need not in given:
                 ctes[need] = visit(need)
-        return re.sub(r"\{(\w+)\}", r"\1", sql)
+        return re.sub(r"\{(\w+)\}", lambda m: m[0] if m[1] in given else m[1], sql)
 
     body = visit(name)
     return ("WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + "\n" if ctes else "") + body
@@ -56,9 +59,58 @@ def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(sql, **frames)
 
 
+def over(spark: SparkSession, name: str, **inputs: DataFrame) -> DataFrame:
+    """The relation over frames of one's own: ``revisions``, ``patrol_events`` and so on, as the metrics' SQL names them."""
+    sql = with_ctes(name, "spark", tuple(inputs))
+    return spark.sql(sql, **{k: v for k, v in inputs.items() if f"{{{k}}}" in sql})
+
+
 def _query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: relation(spark, sf_dir, name)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**{k: _query(v) for k, v in METRICS.items()}, **{k: _query(k) for k in SERVING}}
-ORACLES: dict[str, str] = {**{k: with_ctes(v, "duckdb") for k, v in METRICS.items()}, **{k: with_ctes(k, "duckdb") for k in SERVING}}
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def field_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Queries on the column functions."""
+    orders = lambda spark, d: _table(spark, d, "orders")
+    stamp = lambda: F.col("o_orderdate").cast("string")
+
+    def stamps(spark, d):
+        ts = stamp()
+        odd = F.concat(F.replace(ts, F.lit(" "), F.lit("T")), F.lit(".5Z"))
+        return orders(spark, d).select("o_orderkey", fields.normal_timestamp(odd).alias("normal"), fields.epoch(odd).alias("epoch"), fields.year(ts).alias("year"), fields.year_month_key(ts).alias("month_key"), fields.shift_month(fields.year_month_key(ts), -13).alias("shifted"))
+
+    def periods(spark, d):
+        ts = stamp()
+        month = fields.year_month(ts)
+        return orders(spark, d).select("o_orderkey", *[fields.period(month, g).alias(g) for g in fields.GRAINS], fields.week_start(ts).cast("string").alias("week"), fields.is_period(month).alias("valid"))
+
+    def tiers(spark, d):
+        return _table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("edits")).select("l_suppkey", fields.activity_tier(F.col("edits")).alias("tier"), fields.round1(F.col("edits") / 8).alias("rounded"))
+
+    def labels(spark, d):
+        return _table(spark, d, "nation").select("n_nationkey", fields.namespace_label(F.col("n_nationkey") - 3).alias("label"), fields.title_user(F.concat(F.lit("User:"), "n_name")).alias("title"))
+
+    def params(spark, d):
+        legacy = F.concat_ws("\n", F.col("o_orderkey").cast("string"), (F.col("o_orderkey") - 1).cast("string"), F.lit("1"))
+        return orders(spark, d).select("o_orderkey", fields.patrol_params(legacy).alias("p")).select("o_orderkey", "p.*")
+
+    def weekly(spark, d):
+        return weekly_counts(_table(spark, d, "events"))
+
+    return {"B21_B24_timestamps": stamps, "B14_B19_periods": periods, "B12_B30_tiers": tiers, "B28_B31_labels": labels, "B25_patrol_params": params, "S1_weekly_events": weekly}
+
+
+FIELD_ORACLES = {
+    "B21_B24_timestamps": "SELECT o_orderkey, CAST(o_orderdate AS VARCHAR) AS normal, CAST(epoch(o_orderdate) AS BIGINT) AS epoch, CAST(year(o_orderdate) AS INT) AS year, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INT) AS month_key, CAST(year(o_orderdate - INTERVAL 13 MONTHS) * 100 + month(date_trunc('month', o_orderdate) - INTERVAL 13 MONTHS) AS INT) AS shifted FROM orders",
+    "B14_B19_periods": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS month, year(o_orderdate) || '-Q' || quarter(o_orderdate) AS quarter, CAST(year(o_orderdate) AS VARCHAR) AS year, CAST(CAST(date_trunc('week', o_orderdate) AS DATE) AS VARCHAR) AS week, TRUE AS valid FROM orders",
+    "B12_B30_tiers": "SELECT l_suppkey, CASE WHEN count(*) = 1 THEN '1 edit' WHEN count(*) < 5 THEN '2-4 edits' WHEN count(*) < 25 THEN '5-24 edits' WHEN count(*) < 100 THEN '25-99 edits' ELSE '100+ edits' END AS tier, round(count(*) / 8e0 * 10) / 10 AS rounded FROM lineitem GROUP BY l_suppkey",
+    "B28_B31_labels": "SELECT n_nationkey, CASE n_nationkey - 3 WHEN -2 THEN 'Media' WHEN -1 THEN 'Special' WHEN 0 THEN 'Article' WHEN 1 THEN 'Talk' WHEN 2 THEN 'User' WHEN 3 THEN 'User talk' WHEN 4 THEN 'Project' WHEN 5 THEN 'Project talk' WHEN 6 THEN 'File' WHEN 7 THEN 'File talk' WHEN 8 THEN 'MediaWiki' WHEN 9 THEN 'MediaWiki talk' WHEN 10 THEN 'Template' WHEN 11 THEN 'Template talk' WHEN 12 THEN 'Help' WHEN 13 THEN 'Help talk' WHEN 14 THEN 'Category' WHEN 15 THEN 'Category talk' ELSE 'ns ' || (n_nationkey - 3) END AS label, n_name AS title FROM nation",
+    "B25_patrol_params": "SELECT o_orderkey, o_orderkey AS current_revision_id, o_orderkey - 1 AS prev_revision_id, TRUE AS is_auto FROM orders",
+    "S1_weekly_events": "SELECT CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS week_start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
+}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**field_queries(), **{k: _query(v) for k, v in METRICS.items()}, **{k: _query(k) for k in SERVING}}
+ORACLES: dict[str, str] = {**FIELD_ORACLES, **{k: with_ctes(v, "duckdb") for k, v in METRICS.items()}, **{k: with_ctes(k, "duckdb") for k in SERVING}}
