@@ -37,7 +37,7 @@ LENGTH = 50
 #: Windows of a segment at most; a segment's marks fit a long.
 MOST_WINDOWS = 35
 #: Bytes that an index holds.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 #: Window starts that are worked on at a time.
 STRIDE = 1 << 17
 #: Stands for a null id: after all others, and not smaller than itself.
