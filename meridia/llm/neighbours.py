@@ -249,7 +249,7 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_c
         return done
     # the rest: each against all rows, in blocks
     blocks = base.select("id", "ids", "vec", F.lit(0).cast("long").alias("bucket"), F.pmod("id", F.lit(groups)).cast("int").alias("g"))
-    again = base.join(short.select(F.col("q").alias("id")).distinct(), "id", "left_semi").select("id", "vec", F.array(F.lit(0).cast("long")).alias("buckets"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
+    again = base.join(short.select(F.col("q").alias("id")).distinct(), "id", "left_semi").select((F.col("id") + F.lit(0)).alias("id"), F.transform("vec", lambda x: x).alias("vec"), F.array(F.lit(0).cast("long")).alias("buckets"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
     whole = nearest(blocks.groupBy("g").cogroup(again.groupBy("g")).applyInArrow(rank, out_schema)).join(short.select("query_id"), "query_id", "left_semi")
     return done.join(short.select("query_id"), "query_id", "left_anti").unionByName(whole)
 
