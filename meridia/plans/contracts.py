@@ -56,6 +56,19 @@ def version_at_lag(latest: str, lag: int) -> str:
     return f"{at // 12:04d}-{at % 12 + 1:02d}"
 
 
+def check_cutoff(version: str, cutoff: str, paused: bool = False) -> None:
+    """Data end from one month before to two months after what a snapshot promises; exactly there, if it is paused."""
+    gap = (int(cutoff[:4]) - int(version[:4])) * 12 + int(cutoff[5:7]) - int(version[5:7])
+    if (gap != 0) if paused else not -1 <= gap <= 2:
+        raise ValueError(f"cutoff {cutoff} is not plausible for snapshot {version}")
+
+
+def check_coverage(published: set[str], merged: set[str], subset: set[str] | None = None) -> None:
+    """All published wikis are merged, or exactly a subset that is named."""
+    if merged != (published if subset is None else subset) or not merged <= published:
+        raise ValueError(f"merged {sorted(merged)}; published {sorted(published)}, asked {sorted(subset or published)}")
+
+
 def _put(path: Path, text: str) -> None:
     """Write beside, sync, then rename: readers see the old or the new whole."""
     part = path.with_name(f".{path.name}.{uuid.uuid4().hex}")
