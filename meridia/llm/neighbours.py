@@ -11,12 +11,16 @@ How many projections a table has follows from the number of rows, and how many b
 finds fewer than it should is held against all rows, in blocks.
 
 Scale. Equal vectors are one entry with its ``k`` + 1 smallest ids, however many rows have them; ids are cut to that in
-each input partition before they are shuffled. A bucket's entries are dealt over ``SPREAD`` groups, so that a hot one is
-not one task's. A query goes to a group once, with the buckets that it visits there.
+each input partition before they are shuffled. The order of the buckets comes from one template of expected distances
+for all vectors, so that a query's buckets are a product of matrices and are made again where they are looked up: only
+its vector is sent, once to each group of buckets that it visits. A group has entries of one table. A bucket of over
+``GROUP`` entries is cut into pieces; these buckets, one in ``GROUP`` entries at most, are known to all tasks. A task holds
+the entries of one group and reads its queries in batches.
 """
 
 from __future__ import annotations
 
+import functools
 import heapq
 from collections.abc import Iterator
 
@@ -36,10 +40,13 @@ SAMPLE = 2000
 RECALL = 0.97
 ROWS_PER_BUCKET = 200
 MOST_PROBES = 4096
-SPREAD = 16
+#: Entries of a group of buckets, and of a piece of a bucket, on average; groups of a table at least.
+GROUP = 8192
+LEAST_GROUPS = 4
+#: Queries of a group that are looked up together.
+ASKED = 128
 K = 5
 EVERY = 50
-ENTRY = "key long, dim int, id long, ids array<long>, vec array<float>"
 
 
 class Hashes:
@@ -59,50 +66,77 @@ class Hashes:
         with np.errstate(over="ignore"):
             return (cells.astype(np.int64) * self.mix[t]).sum(axis=-1) * np.int64(2 * TABLES + 1) + t
 
-    def probes(self, place: np.ndarray, t: int, n: int) -> np.ndarray:
-        """Keys of the first ``n`` buckets of one vector in table t, by least sum of squared distances to crossed borders."""
-        cell = np.floor(place)
-        low = place - cell
-        moves = sorted([(d * d, p, -1) for p, d in enumerate(low)] + [((1 - d) ** 2, p, 1) for p, d in enumerate(low)])
-        cost = [m[0] for m in moves]
-        out, heap = [cell], [(cost[0], (0,))] if moves else []
-        while heap and len(out) < n:
-            c, chosen = heapq.heappop(heap)
-            if len({moves[m][1] for m in chosen}) == len(chosen):  # a projection moves one way only
-                moved = cell.copy()
-                for m in chosen:
-                    moved[moves[m][1]] += moves[m][2]
-                out.append(moved)
-            last = chosen[-1]
-            if last + 1 < len(moves):
-                heapq.heappush(heap, (c - cost[last] + cost[last + 1], (*chosen[:-1], last + 1)))
-                heapq.heappush(heap, (c + cost[last + 1], (*chosen, last + 1)))
-        return self.keys(np.array(out), t)
+    def probes(self, places: np.ndarray, t: int, n: int) -> np.ndarray:
+        """(vectors, n or fewer): keys of each vector's first buckets in table t, its own first."""
+        cells = np.floor(places)
+        low = places - cells
+        borders = np.concatenate([low, 1 - low], axis=1)
+        step = self.mix[t] * np.int64(2 * TABLES + 1)
+        moves = np.take_along_axis(np.broadcast_to(np.concatenate([-step, step]), borders.shape), np.argsort(borders, axis=1, kind="stable"), axis=1)
+        with np.errstate(over="ignore"):
+            return self.keys(cells, t)[:, None] + moves @ template(places.shape[1], n).T
+
+
+@functools.lru_cache(maxsize=64)
+def template(projections: int, n: int) -> np.ndarray:
+    """(n or fewer, 2 * projections): which of a vector's borders, nearest first, a bucket crosses; by expected squared distance.
+
+    Place j from the near end and place j from the far end are the two borders of one projection, which moves one way only.
+    """
+    m = projections
+    near = [(j * (j + 1)) / (4 * (m + 1) * (m + 2)) for j in range(1, m + 1)]
+    cost = near + [1 - j / (m + 1) + (j * (j + 1)) / (4 * (m + 1) * (m + 2)) for j in range(m, 0, -1)]
+    out: list[tuple[int, ...]] = [()]
+    heap: list[tuple[float, tuple[int, ...]]] = [(cost[0], (0,))]
+    while heap and len(out) < n:
+        c, chosen = heapq.heappop(heap)
+        if not any(2 * m - 1 - j in chosen for j in chosen):
+            out.append(chosen)
+        last = chosen[-1]
+        if last + 1 < 2 * m:
+            heapq.heappush(heap, (c - cost[last] + cost[last + 1], (*chosen[:-1], last + 1)))
+            heapq.heappush(heap, (c + cost[last + 1], (*chosen, last + 1)))
+    made = np.zeros((len(out), 2 * m), np.int64)
+    for i, chosen in enumerate(out):
+        made[i, list(chosen)] = 1
+    return made
 
 
 def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def fit(sample: np.ndarray, projections: int, k: int) -> int:
-    """The least number of buckets to visit in a table, of powers of two, at which the sample finds its own neighbours."""
-    if len(sample) <= k + 1:
-        return 1
-    hashes, x = Hashes(sample.shape[1], projections), unit(sample)
-    cos = x @ x.T
-    np.fill_diagonal(cos, -2)
+def fit(samples: list[np.ndarray], projections: int, k: int) -> tuple[int, int]:
+    """(projections, visits): so many buckets of a table, a power of two, that each sample finds its own neighbours.
+
+    Where ``MOST_PROBES`` buckets don't, there are fewer projections, whose buckets are larger.
+    """
+    samples = [unit(x) for x in samples if len(x) > k + 1]
+    while samples:
+        recall = [_recall(x, projections, k) for x in samples]
+        n = 1
+        while n < MOST_PROBES and min(r[n - 1] for r in recall) < RECALL:
+            n *= 2
+        if projections == 1 or min(r[n - 1] for r in recall) >= RECALL:
+            return projections, n
+        projections -= 1
+    return projections, 1
+
+
+def _recall(x: np.ndarray, projections: int, k: int) -> np.ndarray:
+    """The share of their k neighbours that up to 200 of the vectors find with 1, 2, ... ``MOST_PROBES`` buckets."""
+    hashes, asked = Hashes(x.shape[1], projections), np.arange(0, len(x), max(1, len(x) // 200))
+    cos = x[asked] @ x.T
+    cos[np.arange(len(asked)), asked] = -2
     true = np.argsort(-cos, axis=1)[:, :k]
     places = hashes.places(x)
-    keys = [hashes.keys(np.floor(places[t]), t) for t in range(TABLES)]
-    asked = range(0, len(x), max(1, len(x) // 200))
-    probed = {q: [hashes.probes(places[t, q], t, MOST_PROBES) for t in range(TABLES)] for q in asked}
-    n = 1
-    while n < MOST_PROBES:
-        found = [np.any([np.isin(keys[t][true[q]], probed[q][t][:n]) for t in range(TABLES)], axis=0).mean() for q in asked]
-        if np.mean(found) >= RECALL:
-            break
-        n *= 2
-    return n
+    first = np.full(true.shape, MOST_PROBES)
+    for t in range(TABLES):
+        keys, probed = hashes.keys(np.floor(places[t]), t), hashes.probes(places[t][asked], t, MOST_PROBES)
+        for j in range(k):
+            hit = probed == keys[true[:, j]][:, None]
+            first[:, j] = np.minimum(first[:, j], np.where(hit.any(axis=1), hit.argmax(axis=1), MOST_PROBES))
+    return np.cumsum(np.bincount(first.ravel(), minlength=MOST_PROBES + 1)[:MOST_PROBES]) / first.size
 
 
 def entries(vectors: DataFrame, id_col: str, vec_col: str, k: int) -> DataFrame:
@@ -148,94 +182,138 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_c
     Repeated ids: a query's own id is no candidate, however often it stands; another id may stand as often as its
     rows with different vectors. No usable rows give no rows. Fewer than ``k`` others: all of them.
     """
-    groups = 4 * shuffle_partitions(vectors.sparkSession)
+    parts = shuffle_partitions(vectors.sparkSession)
     base = checkpointed(entries(vectors, id_col, vec_col, k))
     total = base.count()
-    projections = max(2, int(np.ceil(np.log(max(2.0, total / ROWS_PER_BUCKET)) / np.log(2.2))))
     drawn = base.orderBy(F.xxhash64("key")).select("dim", "vec").limit(SAMPLE).collect()
     dims: dict[int, list] = {}
     for r in drawn:
         dims.setdefault(r["dim"], []).append(r["vec"])
-    visits = max([fit(np.array(v, np.float64), projections, k) for v in dims.values()], default=1)
-    spread = min(SPREAD, groups)
-
-    def group_of(key: np.ndarray, part: np.ndarray) -> np.ndarray:
-        return ((key ^ (key >> 17)) % 1_000_003 + part * (groups // spread)) % groups
+    projections, visits = fit([np.array(v, np.float64) for v in dims.values()], max(2, int(np.ceil(np.log(max(2.0, total / ROWS_PER_BUCKET)) / np.log(2.2)))), k)
+    each = max(LEAST_GROUPS, -(-total // GROUP))  # groups of a table
 
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, Hashes, np.ndarray]]:
         for batch in batches:
             t = pa.Table.from_batches([batch])
             for dim in set(t["dim"].to_pylist()):
                 own = t.filter(pa.compute.equal(t["dim"], dim))
                 hashes = Hashes(dim, projections)
-                places = hashes.places(unit(_matrix(own, dim)))
-                part = own["id"].to_numpy() % spread
-                for n in range(TABLES):
-                    key = hashes.keys(np.floor(places[n]), n)
-                    yield from own.select(["id", "ids", "vec"]).append_column("bucket", pa.array(key)).append_column("g", pa.array(group_of(key, part).astype(np.int32))).to_batches()
+                yield own, hashes, hashes.places(unit(_matrix(own, dim)))
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own, hashes, places in placed(batches):
+            for n in range(TABLES):
+                key = pa.array(hashes.keys(np.floor(places[n]), n))
+                yield from own.select(["id", "ids", "vec"]).append_column("bucket", key).append_column("t", pa.array(np.full(len(key), n, np.int32))).to_batches()
+
+    posted = base.select("dim", "id", "ids", "vec").mapInArrow(post, "id long, ids array<long>, vec array<float>, bucket long, t int")
+    large = sorted((r["bucket"], -(-r["n"] // GROUP)) for r in posted.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).collect())
+    large_key, large_pieces = np.array([r[0] for r in large], np.int64), np.array([r[1] for r in large], np.int64)
+
+    def pieces(key: np.ndarray) -> np.ndarray:
+        """Into how many pieces the buckets are cut."""
+        if not len(large_key):
+            return np.ones(len(key), np.int64)
+        at = np.minimum(np.searchsorted(large_key, key), len(large_key) - 1)
+        return np.where(large_key[at] == key, large_pieces[at], 1)
+
+    def group_of(key: np.ndarray, t: np.ndarray | int, piece: np.ndarray | int) -> np.ndarray:
+        return (t + TABLES * (((key ^ (key >> 29)) % 1_000_003 + piece) % each)).astype(np.int32)
+
+    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            t = pa.Table.from_batches([batch])
-            for dim in set(t["dim"].to_pylist()):
-                own = t.filter(pa.compute.equal(t["dim"], dim))
-                hashes = Hashes(dim, projections)
-                places = hashes.places(unit(_matrix(own, dim)))
-                for q in range(own.num_rows):
-                    keys = np.unique(np.concatenate([hashes.probes(places[n, q], n, visits) for n in range(TABLES)]))
-                    keys, part = np.repeat(keys, spread), np.tile(np.arange(spread), len(keys))
-                    g = group_of(keys, part)
-                    order = np.argsort(g, kind="stable")
-                    heads = np.nonzero(np.append(True, np.diff(g[order]) != 0))[0]
-                    lists = [np.unique(x) for x in np.split(keys[order], heads[1:])]
-                    n = len(heads)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(own["id"][q].as_py(), n)), pa.array([own["vec"][q].as_py()] * n, pa.list_(pa.float32())), pa.array(lists, pa.list_(pa.int64())), pa.array(g[order][heads].astype(np.int32))], names=["id", "vec", "buckets", "g"])
-
-    def best(q: np.ndarray, x: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The k + 1 best of ``rows`` by exact cosine, ties to the smaller id."""
-        rough = (x[rows] @ q) / (np.sqrt((x[rows] ** 2).sum(axis=1)) * np.sqrt((q * q).sum()))
-        if len(rows) > 4 * (k + 1):
-            edge = np.partition(-rough, k)[k] + 1e-9
-            rows = rows[-rough <= edge]
-        score = (x[rows] * q).sum(axis=1) / (np.sqrt((x[rows] ** 2).sum(axis=1)) * np.sqrt((q * q).sum()))
-        order = np.lexsort((ids[rows], -score))[: k + 1]
-        return rows[order], score[order]
+            key, t, own = (batch.column(n).to_numpy() for n in ("bucket", "t", "id"))
+            g = group_of(key, t, (own ^ (own >> 7)) % pieces(key))
+            yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(np.zeros(len(g), np.int32)), *(batch.column(n) for n in ("id", "bucket", "ids", "vec"))], names=names)
 
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own, hashes, places in placed(batches):
+            for n in range(TABLES):
+                for at in range(0, own.num_rows, ASKED):
+                    keys = hashes.probes(places[n][at : at + ASKED], n, visits)
+                    seen = np.zeros((len(keys), each), bool)
+                    row = np.repeat(np.arange(len(keys)), keys.shape[1])
+                    cut = pieces(keys.ravel())
+                    seen[row, group_of(keys.ravel(), 0, 0) // TABLES] = True
+                    for i in np.nonzero(cut > 1)[0]:
+                        seen[row[i], group_of(keys.ravel()[i], 0, np.arange(cut[i])) // TABLES] = True
+                    q, g = np.nonzero(seen)
+                    sent = own.slice(at, ASKED).take(pa.array(q)).select(["id", "vec"]).combine_chunks()
+                    none = pa.array(np.zeros(len(q), np.int64))
+                    yield from pa.table([pa.array((n + TABLES * g).astype(np.int32)), pa.array(np.ones(len(q), np.int32)), sent["id"], none, pa.array([[]] * len(q), pa.list_(pa.int64())), sent["vec"]], names=names).to_batches()
+
+    names = ["g", "side", "id", "bucket", "ids", "vec"]
+    row_schema = "g int, side int, id long, bucket long, ids array<long>, vec array<float>"
     out_schema = "q long, id long, ids array<long>, score double"
 
-    def rank(left: pa.Table, right: pa.Table) -> pa.Table:
-        found_q, found_row, found_score = [], [], []
-        if left.num_rows and right.num_rows:
-            lens = pa.compute.list_value_length(left["vec"]).to_numpy()
-            ids = left["id"].to_numpy()
-            for dim in np.unique(lens).tolist():
-                at = np.nonzero(lens == dim)[0]
-                x = _matrix(left.take(pa.array(at)), dim)
-                order = np.argsort(left["bucket"].to_numpy()[at], kind="stable")
-                bucket = left["bucket"].to_numpy()[at][order]
-                for q, vec, buckets in zip(right["id"].to_pylist(), right["vec"], right["buckets"]):
-                    v = vec.values.to_numpy(zero_copy_only=False).astype(np.float64)
-                    if len(v) != dim:
-                        continue
-                    b = buckets.values.to_numpy(zero_copy_only=False)
-                    lo, hi = np.searchsorted(bucket, b, "left"), np.searchsorted(bucket, b, "right")
-                    rows = order[np.concatenate([np.arange(l, h) for l, h in zip(lo, hi) if h > l] or [np.empty(0, np.int64)]).astype(np.int64)]
-                    rows = rows[np.unique(ids[at][rows], return_index=True)[1]] if len(rows) else rows
-                    if len(rows):
-                        got, score = best(v, x, ids[at], rows)
-                        found_q += [q] * len(got)
-                        found_row += at[got].tolist()
-                        found_score += score.tolist()
-        picked = left.take(pa.array(found_row, pa.int64()))
-        return pa.table([pa.array(found_q, pa.int64()), picked["id"], picked["ids"], pa.array(found_score, pa.float64())], names=["q", "id", "ids", "score"])
+    def look_up(held: pa.Table, asked: pa.Table, t: int | None) -> Iterator[pa.RecordBatch]:
+        """The k + 1 best of each query in ``asked``, by exact cosine, ties to the smaller id, of those ``held`` rows that it visits; of all, if t is None."""
+        lens, ask_lens = (pa.compute.list_value_length(x["vec"]).to_numpy() for x in (held, asked))
+        for dim in np.intersect1d(lens, ask_lens).tolist():
+            own = held.take(pa.array(np.nonzero(lens == dim)[0]))
+            own = own.take(pa.array(np.argsort(own["bucket"].to_numpy(), kind="stable")))
+            some = asked.take(pa.array(np.nonzero(ask_lens == dim)[0]))
+            x, y, ids, q_ids = _matrix(own, dim), _matrix(some, dim), own["id"].to_numpy(), some["id"].to_numpy()
+            x_norm, y_norm = (np.sqrt((v * v).sum(axis=1)) for v in (x, y))
+            bucket, of = np.unique(own["bucket"].to_numpy(), return_inverse=True)
+            hashes = Hashes(dim, projections)
+            places = hashes.places(unit(y))[t] if t is not None else None
+            near = np.argsort(hashes.keys(np.floor(places), t), kind="stable") if t is not None else np.arange(len(y))
+            for at in range(0, len(near), ASKED):  # queries of a bucket together: they visit much the same
+                q = near[at : at + ASKED]
+                visited = np.ones((len(q), len(bucket)), bool)
+                if t is not None:
+                    keys = hashes.probes(places[q], t, visits)
+                    spot = np.minimum(np.searchsorted(bucket, keys), len(bucket) - 1)
+                    hit = bucket[spot] == keys
+                    visited[:] = False
+                    visited[np.nonzero(hit)[0], spot[hit]] = True
+                rows = np.nonzero(visited.any(axis=0)[of])[0]
+                if not len(rows):
+                    continue
+                rough = (y[q] @ x[rows].T) / x_norm[rows] / y_norm[q][:, None]
+                rough[~visited[:, of[rows]]] = -np.inf
+                edge = np.partition(rough, len(rows) - k - 1, axis=1)[:, len(rows) - k - 1] if len(rows) > k + 1 else np.full(len(q), -np.inf)
+                i, j = np.nonzero((rough >= edge[:, None] - 1e-9) & (rough > -np.inf))
+                i, j = q[i], rows[j]
+                score = (x[j] * y[i]).sum(axis=1) / (x_norm[j] * y_norm[i])
+                order = np.lexsort((ids[j], -score, i))
+                i, j, score = i[order], j[order], score[order]
+                heads = np.nonzero(np.append(True, i[1:] != i[:-1]))[0]
+                best = np.arange(len(i)) - np.repeat(heads, np.diff(np.append(heads, len(i)))) <= k
+                got = own.take(pa.array(j[best]))
+                yield from pa.table([pa.array(q_ids[i[best]]), got["id"], got["ids"], pa.array(score[best])], names=["q", "id", "ids", "score"]).combine_chunks().to_batches()
+
+    def rank(whole: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Rows come by group, in each its entries before its queries."""
+            now, held = None, []
+            for batch in batches:
+                t = pa.Table.from_batches([batch])
+                g = t["g"].to_numpy()
+                starts = np.append(0, np.nonzero(np.diff(g))[0] + 1) if len(g) else np.empty(0, np.int64)
+                for at, end in zip(starts, np.append(starts[1:], len(g))):
+                    part = t.slice(at, end - at)
+                    if g[at] != now:
+                        now, held = g[at], []
+                    first = int((part["side"].to_numpy() == 0).sum())
+                    if first:
+                        held.append(part.slice(0, first))
+                    if first < part.num_rows and held:
+                        held = [pa.concat_tables(held).combine_chunks()]
+                        yield from look_up(held[0], part.slice(first), None if whole else int(now) % TABLES)
+
+        return run
+
+    def ranked(rows: DataFrame, whole: bool) -> DataFrame:
+        return rows.repartition(parts, "g").sortWithinPartitions("g", "side", "id").mapInArrow(rank(whole), out_schema)
 
     asked = queries.select(F.col(f"`{id_col}`").cast("long").alias("query_id"), F.xxhash64(F.col(f"`{vec_col}`").cast("array<float>")).alias("key"), F.xxhash64(F.col(f"`{vec_col}`").cast("array<float>"), F.lit(1)).alias("key2")).distinct()
     keyed = base.withColumn("key2", F.xxhash64("vec", F.lit(1)))
     asked = checkpointed(asked.join(keyed.select("key", "key2", F.col("id").alias("q")), ["key", "key2"]).select("query_id", "q"))
     wanted = base.join(asked.select(F.col("q").alias("id")).distinct(), "id", "left_semi")
-    index = base.select("dim", "id", "ids", "vec").mapInArrow(post, "id long, ids array<long>, vec array<float>, bucket long, g int")
-    probes = wanted.select("dim", "id", "vec").repartition(shuffle_partitions(vectors.sparkSession), "id").mapInArrow(probe, "id long, vec array<float>, buckets array<long>, g int")
-    found = checkpointed(index.groupBy("g").cogroup(probes.groupBy("g")).applyInArrow(rank, out_schema).distinct())
+    probes = wanted.select("dim", "id", "vec").repartition(parts, "id").mapInArrow(probe, row_schema)
+    found = checkpointed(ranked(posted.mapInArrow(grouped, row_schema).unionByName(probes), False).distinct())
 
     def nearest(found: DataFrame) -> DataFrame:
         classes = found.withColumn("r", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "id"))).where(F.col("r") <= k + 1)
@@ -248,9 +326,10 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_c
     if not short.limit(1).count():
         return done
     # the rest: each against all rows, in blocks
-    blocks = base.select("id", "ids", "vec", F.lit(0).cast("long").alias("bucket"), F.pmod("id", F.lit(groups)).cast("int").alias("g"))
-    again = base.join(short.select(F.col("q").alias("id")).distinct(), "id", "left_semi").select((F.col("id") + F.lit(0)).alias("id"), F.transform("vec", lambda x: x).alias("vec"), F.array(F.lit(0).cast("long")).alias("buckets"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
-    whole = nearest(blocks.groupBy("g").cogroup(again.groupBy("g")).applyInArrow(rank, out_schema)).join(short.select("query_id"), "query_id", "left_semi")
+    blocks = base.select(F.pmod(F.xxhash64("id"), F.lit(each)).cast("int").alias("g"), F.lit(0).alias("side"), "id", F.lit(0).cast("long").alias("bucket"), "ids", "vec")
+    again = base.join(short.select(F.col("q").alias("id")).distinct(), "id", "left_semi")
+    again = again.select(F.explode(F.sequence(F.lit(0), F.lit(each - 1))).alias("g"), F.lit(1).alias("side"), "id", F.lit(0).cast("long").alias("bucket"), F.array().cast("array<long>").alias("ids"), "vec")
+    whole = nearest(ranked(blocks.unionByName(again), True)).join(short.select("query_id"), "query_id", "left_semi")
     return done.join(short.select("query_id"), "query_id", "left_anti").unionByName(whole)
 
 

@@ -1,6 +1,7 @@
 """The corpus operators against brute force, on small frames with nulls, empty texts, ties and repeated rows."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -283,6 +284,35 @@ def test_neighbours(spark):
     assert {(r.query_id, r.rank) for r in neighbours.search(few, few.where("vec_id = 0")).collect()} == {(0, 1), (0, 2)}
 
 
+def test_template():
+    made = neighbours.template(3, 100)
+    assert len(made) == 27 and not made[0].any()  # each projection stays or moves one way
+    assert not (made[:, :3] & made[:, :2:-1]).any() and len(np.unique(made, axis=0)) == 27
+    hashes = neighbours.Hashes(4, 3)
+    places = hashes.places(np.random.default_rng(1).standard_normal((20, 4)))
+    for t in range(neighbours.TABLES):
+        cells = np.floor(places[t])
+        every = np.stack([hashes.keys(cells + move, t) for move in itertools.product((-1, 0, 1), repeat=3)], axis=1)
+        keys = hashes.probes(places[t], t, 100)
+        assert (keys[:, 0] == hashes.keys(cells, t)).all() and (np.sort(keys, axis=1) == np.sort(every, axis=1)).all()
+
+
+def test_neighbours_in_pieces(spark, monkeypatch):
+    """Buckets cut into pieces, and queries held against all rows, find what brute force finds."""
+    monkeypatch.setattr(neighbours, "GROUP", 16)
+    rng = np.random.default_rng(2)
+    x = (np.ones(6) + 1e-3 * rng.standard_normal((300, 6))).astype(np.float32)  # one bucket
+    x[250] = -x[0]  # finds too few in its own
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in neighbours.search(frame, frame.where("vec_id % 50 = 0")).collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    for q in range(0, 300, 50):
+        true = [int(i) for i in np.argsort(-(u @ u[q])) if i != q][:5]
+        assert [got[q][n] for n in range(1, 6)] == true
+
+
 def test_suffix_tree(spark):
     texts = corpus(150, 13)
     docs = documents(spark, texts)
