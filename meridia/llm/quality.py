@@ -69,7 +69,8 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     chars = sum((F.col(k) for k in CLASSES[1:]), F.col(CLASSES[0]))
     totals = totals.select("ref_lang", "total", F.array(*[F.col(k) / chars for k in CLASSES]).alias("ref_class_p"))
     lower = vocabulary.groupBy("ref_lang", F.lower("word").alias("word")).agg(F.sum("n").alias("n"))
-    common = lower.join(totals.select("ref_lang", "total"), "ref_lang").where(F.col("n") >= F.lit(MIN_SHARE) * F.col("total"))
+    totals = checkpointed(totals)
+    common = lower.join(_small(totals.select("ref_lang", "total")), "ref_lang").where(F.col("n") >= F.lit(MIN_SHARE) * F.col("total"))
     ranked = common.withColumn("rank", F.row_number().over(W.partitionBy("ref_lang").orderBy(F.desc("n"), "word"))).where(F.col("rank") <= COMMON_WORDS)
     tops = ranked.groupBy("ref_lang").agg(F.array_sort(F.collect_list(F.struct("rank", "word", "n"))).alias("top"), F.sum("n").alias("seen"))
     return totals.join(tops, "ref_lang").select(
@@ -77,6 +78,11 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     )
 
 
+def _small(refs: DataFrame) -> DataFrame:
+    """A checkpointed row per language, marked for broadcast while there are at most ``BROADCAST_LANGS``."""
+    return refs if refs.limit(BROADCAST_LANGS + 1).count() > BROADCAST_LANGS else F.broadcast(refs)
+
+
 def js_distance(p: Column, q: Column) -> Column:
     """Root of the Jensen-Shannon divergence (base 2) of two arrays of shares."""
     part = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(F.lit(0.0))
@@ -114,9 +120,8 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", refs:
     """
     refs = references(docs, text_col, lang_col) if refs is None else refs
     refs = checkpointed(refs)
-    many = refs.limit(BROADCAST_LANGS + 1).count() > BROADCAST_LANGS
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "quality"]).alias("row"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), F.coalesce(F.col(f"`{lang_col}`"), F.lit("")).alias("ref_lang"))
-    inner = inner.join(refs if many else F.broadcast(refs), "ref_lang", "left")
+    inner = inner.join(_small(refs), "ref_lang", "left")
     inner = inner.withColumn("w", split_words(F.col("text")))
     inner = inner.withColumn("squeezed", F.array_join("w", "")).withColumn("bare", without_letters(F.col("squeezed")))
     inner = inner.withColumn("n_words", F.size("w").cast("long")).withColumn("word_chars", F.char_length("squeezed").cast("long"))
