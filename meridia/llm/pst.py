@@ -1,18 +1,21 @@
 """Scoring texts by a probabilistic suffix tree over words.
 
 Symbols are words, and one end for each text. The root predicts by add-one counts over all training words. A context of
-one or two symbols is a node if it makes up at least ``MIN_CONTEXT`` of the training symbols, its parent (the context
-without its first symbol) is a node, and its next-symbol counts diverge from the parent's prediction: the count times
-the Kullback-Leibler divergence over the node's own symbols reaches ``DIVERGENCE`` nats. A node keeps the symbols that
-make up at least ``MIN_NEXT`` of its next symbols, and leaves the rest to its parent:
+any number of symbols is a node if it was seen at least ``MIN_CONTEXT`` times, its parent (the context without its first
+symbol) is a node, and its next-symbol counts diverge from the parent's prediction: the count times the Kullback-Leibler
+divergence over the node's own symbols reaches ``DIVERGENCE`` nats. A node keeps the symbols seen at least ``MIN_NEXT``
+times after it, and leaves the rest to its parent:
 
     P(x | s) = c(s, x) / (c(s) + PRIOR) for kept x  +  (c(s) + PRIOR - kept counts) / (c(s) + PRIOR) * P(x | parent)
 
 so each node's prediction sums to one. A text is scored by the longest suffix of what precedes a symbol that is a node.
+Both minima are counts, so the tree grows with the corpus; levels are added until one has no node.
 
-Scale. Word counts go by blocks of documents and buckets of words; a block gets back the counts of its own words. What is
-broadcast is the alphabet (words of at least ``MIN_SYMBOL`` of all: at most 1/MIN_SYMBOL) and the tree, at most
-1/MIN_CONTEXT nodes a level of 1/MIN_NEXT symbols each; neither grows with the corpus. All counts are over the whole corpus.
+Scale. Nothing is broadcast and no whole tree stands anywhere. Words and contexts live in buckets. For each level a block
+sends its contexts, next symbols, counts and the parents' predictions (which it has from the levels before); the bucket
+has a context's whole counts, judges it, and answers what the block asked. Contexts that a bound shows to be under
+``DIVERGENCE`` are not sent. A context's entries are aggregated by block and
+meet in one bucket. Contexts of two symbols and more are told apart by hashes of 64 bits. All counts are over the whole corpus.
 """
 
 from __future__ import annotations
@@ -28,12 +31,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridia.llm.blocks import answer, ask, bucket_count, finish, pack, to_blocks, unpack
-from meridia.llm.common import table, words
+from meridia.llm.blocks import answer, ask, bucket_count, finish, pack, pack_rows, to_blocks, unpack, unpack_rows
+from meridia.llm.common import checkpointed, table, words
 
-MIN_SYMBOL = 2e-5
-MIN_CONTEXT = 1e-4
-MIN_NEXT = 0.005
+#: Counts, whatever the size of the corpus.
+MIN_CONTEXT = 5
+MIN_NEXT = 2
 DIVERGENCE = 20.0
 PRIOR = 10.0
 #: No word: it holds white space.
@@ -94,158 +97,217 @@ def _count_words(n: int):
     return question
 
 
-def _total_words(blocks: list[int], messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
-    """To each block the counts of its words; to block -1 the bucket's totals; to -2 words that may be symbols."""
-    total: Counter[bytes] = Counter()
-    asked = []
-    for m in messages:
-        counts, sizes, flat = unpack(m)
-        data, at, own = flat.tobytes(), 0, []
-        for size in sizes.tolist():
-            own.append(data[at : at + size])
-            at += size
-        asked.append(own)
-        for w, c in zip(own, counts.tolist()):
-            total[w] += c
-    bucket = zlib.crc32(asked[0][0]) if asked and asked[0] else 0
-    for block, own in zip(blocks, asked):
-        yield block, struct.pack("<I", bucket & 0xFFFFFFFF) + pack([np.array([total[w] for w in own], np.int64)])
-    seen = sum(total.values())
-    yield -1, struct.pack("<qq", seen, sum(c > 0 for c in total.values()))
-    for w, c in total.items():
-        if c > 0 and c >= MIN_SYMBOL * seen:
-            yield -2, struct.pack(">q", c) + w
+def _total_words(n: int):
+    def reply(blocks: list[int], messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
+        """To each block the counts and numbers of its words, in all blocks the same; to block -1 the bucket's totals."""
+        total: Counter[bytes] = Counter()
+        asked = []
+        for m in messages:
+            counts, sizes, flat = unpack(m)
+            data, at, own = flat.tobytes(), 0, []
+            for size in sizes.tolist():
+                own.append(data[at : at + size])
+                at += size
+            asked.append(own)
+            for w, c in zip(own, counts.tolist()):
+                total[w] += c
+        bucket = zlib.crc32(asked[0][0]) % n if asked and asked[0] else 0
+        number = {w: k * n + bucket for k, w in enumerate(sorted(total, key=lambda w: (-total[w], w)))}
+        for block, own in zip(blocks, asked):
+            yield block, struct.pack("<I", bucket) + pack([np.array([total[w] for w in own], np.int64), np.array([number[w] for w in own], np.int64)])
+        yield -1, struct.pack("<qq", sum(total.values()), sum(c > 0 for c in total.values()))
+
+    return reply
+
+
+def _number(blocks: DataFrame, counted: DataFrame, n: int) -> DataFrame:
+    """The blocks with numbers in place of texts: of each row id and held; packed, words' numbers, counts, sizes and places."""
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = unpack_rows(left["payload"][0].as_py())
+        local = Local(rows)
+        counts, number = np.zeros(len(local.words), np.int64), np.zeros(len(local.words), np.int64)
+        told = {struct.unpack("<I", m[:4])[0]: unpack(m[4:]) for m in right["message"].to_pylist()}
+        for b, at in local.by_bucket(n):
+            counts[at], number[at] = told[b]
+        made = rows.select(["id", "held"]).replace_schema_metadata({b"packed": pack([number, counts, local.sizes, local.ids])})
+        return pa.table([left["block"].slice(0, 1), pa.array([pack_rows(made)], pa.binary())], names=["block", "payload"])
+
+    return checkpointed(blocks.groupBy("block").cogroup(counted.where("block >= 0").groupBy("block")).applyInArrow(meet, "block long, payload binary"))
+
+
+def _mix(name: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Names of contexts: a parent's name and one more symbol before it; a context of one symbol has that symbol's number."""
+    with np.errstate(over="ignore"):
+        z = name * np.uint64(0x9E3779B97F4A7C15)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z = (z ^ (z >> np.uint64(31))) + symbol.astype(np.uint64)
+        return z
 
 
 @dataclass
 class Tree:
-    """Nodes of a level by sorted key; a node's symbols by sorted (node, symbol)."""
+    """What a block knows of the tree: nodes of a level by sorted key; a node's symbols by sorted (node, symbol)."""
 
-    symbols: dict[bytes, int]
+    symbols: dict[bytes, int] | np.ndarray
     count: np.ndarray  # of each symbol
     total: int = 0
     kinds: int = 0
-    keys: list[np.ndarray] = field(default_factory=list)  # contexts: symbol, or (first, second) as one number
+    keys: list[np.ndarray] = field(default_factory=list)  # contexts: number of the parent among its level's nodes (0: root) * len(symbols) + first symbol
     back: list[np.ndarray] = field(default_factory=list)  # what a node leaves to its parent
     pairs: list[np.ndarray] = field(default_factory=list)  # node * len(symbols) + symbol
     gain: list[np.ndarray] = field(default_factory=list)  # c / (c(s) + PRIOR) of each pair
-    candidates: tuple = ()  # (context, symbol, count) of the last level
-
-    def level(self, depth: int, before: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """(found, node) of contexts of ``depth`` symbols; ``before``: the symbols 1, 2 .. places back, -1 none."""
-        n = len(self.symbols)
-        ok = np.all([b >= 0 for b in before[:depth]], axis=0)
-        key = before[0].astype(np.int64)
-        for b in before[1:depth]:
-            key = key + b.astype(np.int64) * n
-        if not len(self.keys[depth - 1]):
-            return np.zeros(len(key), bool), np.zeros(len(key), np.int64)
-        at = np.minimum(np.searchsorted(self.keys[depth - 1], key), len(self.keys[depth - 1]) - 1)
-        return ok & (self.keys[depth - 1][at] == key), at
 
     def predict(self, p: np.ndarray, symbol: np.ndarray, before: list[np.ndarray]) -> np.ndarray:
-        """Probabilities of symbols (-1: outside the alphabet) after what precedes them; ``p`` is the root's."""
-        inside = np.ones(len(p), bool)
+        """Probabilities of symbols (-1: never seen) after what precedes them; ``p`` is the root's."""
+        at, node = np.arange(len(p)), np.zeros(len(p), np.int64)
         for depth in range(1, len(self.keys) + 1):
-            found, node = self.level(depth, before)
-            inside = found & inside
-            at = np.nonzero(inside)[0]
-            pair = node[at] * np.int64(len(self.symbols)) + symbol[at]
-            own = np.zeros(len(at))
-            if len(self.pairs[depth - 1]):
-                k = np.minimum(np.searchsorted(self.pairs[depth - 1], pair), len(self.pairs[depth - 1]) - 1)
-                hit = (self.pairs[depth - 1][k] == pair) & (symbol[at] >= 0)
-                own[hit] = self.gain[depth - 1][k[hit]]
-            p = p.copy()
-            p[at] = own + self.back[depth - 1][node[at]] * p[at]
+            p, at, node = self.step(depth, p, symbol, before[depth - 1][at], at, node)
         return p
 
+    def step(self, depth: int, p: np.ndarray, symbol: np.ndarray, before: np.ndarray, at: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """One level: the places ``at``, at ``node`` of the level above, that have a node with ``before`` in front, and it."""
+        keys, pairs = self.keys[depth - 1], self.pairs[depth - 1]
+        if not len(keys):
+            return p, at[:0], node[:0]
+        key = node * np.int64(len(self.symbols)) + before
+        found = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        ok = (before >= 0) & (keys[found] == key)
+        at, node = at[ok], found[ok]
+        own = np.zeros(len(at))
+        if len(pairs):
+            pair = node * np.int64(len(self.symbols)) + symbol[at]
+            k = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
+            hit = (pairs[k] == pair) & (symbol[at] >= 0)
+            own[hit] = self.gain[depth - 1][k[hit]]
+        p = p.copy()
+        p[at] = own + self.back[depth - 1][node] * p[at]
+        return p, at, node
+
     def root(self, symbol: np.ndarray) -> np.ndarray:
         return (self.count[symbol] + 1.0) / (self.total + self.kinds + 1.0)
 
 
-def _before(symbol: np.ndarray, first: np.ndarray, depth: int) -> list[np.ndarray]:
-    """The symbols 1 .. depth places back within a row, -1 where there are none."""
-    out, start = [], np.zeros(len(symbol), bool)
-    start[first[first < len(symbol)]] = True
-    now = symbol
-    for _ in range(depth):
-        shifted = np.append(np.int32(-1), now[:-1]).astype(np.int32)
-        shifted[start] = -1
-        out.append(shifted)
-        now = shifted
-    return out
-
-
-def _count_next(tree: Tree, depth: int, n: int):
-    """Blocks' counts of (context of ``depth``, next symbol); contexts are those in ``tree.keys[depth - 1]``."""
-    k = np.int64(len(tree.symbols))
-
-    def question(rows: pa.Table, _) -> Iterator[tuple[int, bytes]]:
-        local = Local(rows)
-        symbol = np.fromiter((tree.symbols.get(w, -1) for w in local.words), np.int32, len(local.words))[local.ids]
-        found, node = tree.level(depth, _before(symbol, local.first, depth))
-        use = found & local.train()
-        # a symbol outside the alphabet counts for its context alone: as symbol k
-        pair = node[use] * (k + 1) + np.where(symbol[use] < 0, k, symbol[use])
-        keys, counts = np.unique(pair, return_counts=True)
-        b = (keys // (k + 1)) % n
-        for x in np.unique(b).tolist():
-            yield x, pack([keys[b == x], counts[b == x].astype(np.int64)])
-
-    return question
+class Part:
+    """A block of numbers, and how far its places have come down the tree."""
 
+    def __init__(self, rows: pa.Table, total: int, kinds: int, n: int, messages: list[bytes]):
+        self.number, counts, self.sizes, self.symbol = unpack(rows.schema.metadata[b"packed"])
+        self.held = np.array(rows["held"].to_pylist(), bool)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.train = np.repeat(~self.held, self.sizes)
+        self.tree = Tree(self.number, counts, total, kinds)
+        self.n = n
+        self.known = counts[self.symbol]
+        self.base = self.p = self.tree.root(self.symbol)
+        self.place = np.arange(len(self.symbol)) - np.repeat(self.first, self.sizes)  # within its row
+        #: seen[i]: how often the last symbols up to i, one more each level, stand in training; at most, where not asked
+        self.seen = self.known
+        self.at, self.node = np.arange(len(self.symbol)), np.zeros(len(self.symbol), np.int64)
+        self.name = np.zeros(1, np.uint64)
+        self.have = np.array([total + kinds + 1.0])  # of a node, what its shares are of
+        told: dict[int, dict[int, list[np.ndarray]]] = {}
+        for m in messages:
+            level, bucket = struct.unpack("<II", m[:8])
+            told.setdefault(level, {})[bucket] = unpack(m[8:])
+        for level in range(1, max(told, default=0) + 1):
+            self.down(told.get(level, {}))
+
+    def asked(self):
+        """Contexts of the next level, by bucket: their keys and names, cuts of their pairs, and of each pair the symbol (that of none: the others)."""
+        k, depth = np.int64(len(self.number)), len(self.tree.keys) + 1
+        ok = self.place[self.at] >= depth
+        seen, have = self.seen[self.at[ok] - 1], self.have[self.node[ok]]
+        # a symbol's parent predicts at least c(s, x) / have, so a context's divergence is at most c(s) ln(have / c(s))
+        most = np.maximum(np.minimum(seen, have / np.e), 1e-9)
+        ok[ok] = (seen >= MIN_CONTEXT) & (most * np.log(have / most) >= DIVERGENCE - 1e-6)
+        at, node = self.at[ok], self.node[ok]
+        keys, context = np.unique(node * k + self.symbol[at - depth], return_inverse=True)
+        names = _mix(self.name[keys // max(k, 1)], self.number[keys % max(k, 1)])
+        bucket = (names % np.uint64(self.n)).astype(np.int64)
+        order = np.lexsort((names, bucket))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        other = self.seen[at] < MIN_NEXT
+        pairs, pair = np.unique(rank[context] * (k + 1) + np.where(other, k, self.symbol[at]), return_inverse=True)
+        return at, keys[order], names[order], bucket[order], pairs // (k + 1), pairs % (k + 1), pair
+
+    def question(self) -> Iterator[tuple[int, bytes]]:
+        at, _, names, bucket, context, symbol, pair = self.asked()
+        counts = np.bincount(pair, weights=self.train[at], minlength=len(context)).astype(np.int64)
+        parent = np.zeros(len(context), np.float32)
+        parent[pair] = self.p[at]
+        parent[(counts == 0) | (symbol == len(self.number))] = 0  # not asked for
+        x = np.append(self.number, -1)[symbol]
+        cuts = np.nonzero(np.append(True, bucket[1:] != bucket[:-1]))[0].tolist() if len(bucket) else []
+        for lo, hi in zip(cuts, [*cuts[1:], len(bucket)]):
+            a, b = np.searchsorted(context, [lo, hi])
+            yield int(bucket[lo]), pack([names[lo:hi], np.bincount(context[a:b] - lo, minlength=hi - lo).astype(np.int32), x[a:b], counts[a:b], parent[a:b]])
+
+    def down(self, told: dict[int, list[np.ndarray]]) -> None:
+        """Take what the buckets answered, and go down a level."""
+        k = np.int64(len(self.number))
+        at, keys, names, bucket, context, symbol, pair = self.asked()
+        parts = [told[b] for b in np.unique(bucket).tolist()]
+        total, kept, count = (np.concatenate([p[j] for p in parts]) if parts else np.empty(0, np.int64) for j in range(3))
+        good = np.nonzero(kept > 0)[0]
+        good = good[np.argsort(keys[good])]
+        number = np.full(len(keys), -1, np.int64)
+        number[good] = np.arange(len(good))
+        have = total + PRIOR
+        use = np.nonzero((number[context] >= 0) & (symbol < k) & (count >= MIN_NEXT))[0]
+        own = number[context[use]] * k + symbol[use]
+        order = np.argsort(own)
+        self.tree.keys.append(keys[good])
+        self.tree.back.append((have[good] - kept[good]) / have[good])
+        self.tree.pairs.append(own[order])
+        self.tree.gain.append((count[use] / have[context[use]])[order])
+        self.name, self.have = names[good], have[good]
+        depth = len(self.tree.keys)
+        ok = self.place[self.at] >= depth
+        here, node = self.at[ok], self.node[ok]
+        self.p, self.at, self.node = self.tree.step(depth, self.p, self.symbol, self.symbol[here - depth], here, node)
+        longer = np.minimum(self.seen, np.append(0, self.seen[:-1])) if len(self.seen) else self.seen
+        exact = symbol[pair] < k
+        longer[at[exact]] = count[pair[exact]]
+        self.seen = longer
+
+
+def _judge(level: int, n: int):
+    """A bucket's contexts of a level: whole counts, divergence from the parents, and the answers."""
 
-def _total_next(k: int):
     def reply(blocks: list[int], messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
         parts = [unpack(m) for m in messages]
-        keys, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        counts = np.bincount(back, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
-        node = keys // (k + 1)
-        head = np.nonzero(np.append(True, node[1:] != node[:-1]))[0]
-        total = np.add.reduceat(counts, head)[np.cumsum(np.append(True, node[1:] != node[:-1])) - 1]
-        keep = (keys % (k + 1) < k) & (counts >= MIN_NEXT * total) & (counts > 1)
-        yield -1, pack([node[head], np.add.reduceat(counts, head)])
-        yield -2, pack([keys[keep], counts[keep]])
+        names, context = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        sizes = np.concatenate([p[1] for p in parts])
+        context = np.repeat(context, sizes)
+        symbols, symbol = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
+        counts = np.concatenate([p[3] for p in parts])
+        total = np.bincount(context, weights=counts, minlength=len(names)).astype(np.int64)
+        pairs, pair = np.unique(context * np.int64(len(symbols)) + symbol, return_inverse=True)
+        count = np.bincount(pair, weights=counts, minlength=len(pairs)).astype(np.int64)
+        parent = np.zeros(len(pairs))
+        np.maximum.at(parent, pair, np.concatenate([p[4] for p in parts]))
+        of, x = pairs // len(symbols), symbols[pairs % len(symbols)]
+        use = (x >= 0) & (count >= MIN_NEXT)
+        of, c = of[use], count[use]
+        divergence = np.bincount(of, weights=c * np.log(c / total[of] / parent[use]), minlength=len(names))
+        node = (divergence >= DIVERGENCE) & (total >= MIN_CONTEXT)
+        kept = np.where(node, np.bincount(of, weights=c, minlength=len(names)).astype(np.int64), 0)
+        bucket = int(names[0] % np.uint64(n))
+        yield -1, struct.pack("<q", int(node.sum()))
+        a = b = 0
+        for block, p in zip(blocks, parts):
+            own = np.searchsorted(names, p[0])
+            b = a + len(p[2])
+            yield block, struct.pack("<II", level, bucket) + pack([total[own], kept[own], count[pair[a:b]]])
+            a = b
 
     return reply
 
 
-def _grow(tree: Tree, blocks: DataFrame, depth: int, candidates: np.ndarray, n: int) -> None:
-    """Add the level of contexts among ``candidates`` (sorted keys) that diverge from their parents."""
-    k = len(tree.symbols)
-    tree.keys.append(candidates)
-    try:
-        told = answer(ask(blocks, _count_next(tree, depth, n)), _total_next(k)).collect()  # bounded: nodes and their kept symbols
-    finally:
-        tree.keys.pop()
-    heads = [unpack(r["message"]) for r in told if r["block"] == -1]
-    total = np.zeros(len(candidates), np.int64)
-    for node, c in heads:
-        total[node] = c
-    kept = [unpack(r["message"]) for r in told if r["block"] == -2]
-    key = np.concatenate([x[0] for x in kept]) if kept else np.empty(0, np.int64)
-    count = np.concatenate([x[1] for x in kept]) if kept else np.empty(0, np.int64)
-    order = np.argsort(key)
-    node, symbol, count = key[order] // (k + 1), key[order] % (k + 1), count[order]
-    context = candidates[node]
-    before = [(context % k).astype(np.int32)] + ([(context // k).astype(np.int32)] if depth > 1 else [])
-    none = np.full(len(symbol), -1, np.int32)
-    parent = tree.predict(tree.root(symbol), symbol, [*before[: depth - 1], none, none][:2])
-    p = count / np.maximum(total[node], 1)
-    divergence = np.bincount(node, weights=count * np.log(p / parent), minlength=len(candidates))
-    good = (divergence >= DIVERGENCE) & (total > 0)
-    use = good[node]
-    number = np.cumsum(good) - 1
-    tree.keys.append(candidates[good])
-    have = total[good] + PRIOR
-    tree.back.append((have - np.bincount(number[node[use]], weights=count[use], minlength=int(good.sum()))) / have)
-    tree.pairs.append(number[node[use]] * np.int64(k) + symbol[use])
-    tree.gain.append(count[use] / have[number[node[use]]])
-    tree.candidates = context[use], symbol[use], count[use]
-
-
-def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 2) -> DataFrame:
+def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score): a row for each row of ``docs``.
 
     held: whether a row is kept out of the training. Null text: as an empty one, which has its end alone. Equal rows
@@ -255,43 +317,31 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"), held.alias("held"))
     blocks = to_blocks(rows, "text", "id")
     n = bucket_count(blocks)
-    counted = answer(ask(blocks, _count_words(n)), _total_words)
+    counted = answer(ask(blocks, _count_words(n)), _total_words(n))
     sums = [struct.unpack("<qq", bytes(r["message"])) for r in counted.where("block = -1").collect()]  # a row a bucket
     total, kinds = sum(s[0] for s in sums), sum(s[1] for s in sums)
-    least = struct.pack(">q", max(1, int(np.ceil(MIN_SYMBOL * total))))
-    frequent = counted.where((F.col("block") == -2) & (F.substring("message", 1, 8) >= F.lit(bytearray(least)))).collect()  # at most 1 / MIN_SYMBOL
-    found = sorted((-struct.unpack(">q", bytes(r["message"][:8]))[0], bytes(r["message"][8:])) for r in frequent)
-    tree = Tree({w: k for k, (_, w) in enumerate(found)}, np.array([-c for c, _ in found], np.float64), total, kinds)
-    k = len(found)
-    if k:
-        own = np.array([j for j, (c, w) in enumerate(found) if -c >= MIN_CONTEXT * total and w != END], np.int64)
-        for d in range(1, depth + 1):
-            _grow(tree, blocks, d, own, n)
-            context, symbol, count = tree.candidates
-            ends = tree.symbols.get(END, -1)
-            # a node and a symbol it keeps make a context of the next level: the symbol is its last
-            next_ = np.unique((context * np.int64(k) + symbol)[(count >= MIN_CONTEXT * total) & (symbol != ends)]) if d == 1 else np.empty(0, np.int64)
-            own = next_[np.isin(next_ % k, tree.keys[0])]
-        tree.candidates = ()
-    model = docs.sparkSession.sparkContext.broadcast(tree)
+    blocks = _number(blocks, counted, n)
+    told, level = None, 0
+
+    def question(rows: pa.Table, messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
+        return Part(rows, total, kinds, n, messages).question()
+
+    while True:
+        level += 1
+        judged = answer(ask(blocks, question, told), _judge(level, n))
+        nodes = sum(struct.unpack("<q", bytes(r["message"]))[0] for r in judged.where("block = -1").collect())  # a row a bucket
+        if not nodes:
+            break
+        mine = judged.where("block >= 0")
+        told = mine if told is None else told.unionByName(mine)
 
     def last(rows: pa.Table, messages: list[bytes]) -> pa.Table:
-        tree, local = model.value, Local(rows)
-        told = {struct.unpack("<I", m[:4])[0] % n: unpack(m[4:])[0] for m in messages}
-        counts = np.zeros(len(local.words), np.float64)
-        for b, at in local.by_bucket(n):
-            counts[at] = told[b]
-        c = counts[local.ids]
-        p = (c + 1.0) / (tree.total + tree.kinds + 1.0)
-        base = np.add.reduceat(np.log10(p), local.first) if len(p) else np.empty(0)
-        if tree.keys:
-            symbol = np.fromiter((tree.symbols.get(w, -1) for w in local.words), np.int32, len(local.words))[local.ids]
-            p = tree.predict(p, symbol, _before(symbol, local.first, 2))
-        own = np.add.reduceat(np.log10(p), local.first) if len(p) else np.empty(0)
-        known = np.add.reduceat((c > 0).astype(np.int64), local.first) if len(p) else np.empty(0, np.int64)
-        return pa.table([rows["id"], pa.array(local.held), pa.array(local.sizes), pa.array(known), pa.array(np.full(len(known), tree.total, np.int64)), pa.array(base), pa.array(own)], names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    return finish(blocks, counted.where("block >= 0"), last, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        part = Part(rows, total, kinds, n, messages)
+        sums = [np.add.reduceat(x, part.first) if len(x) else np.empty(0, x.dtype) for x in ((part.known > 0).astype(np.int64), np.log10(part.base), np.log10(part.p))]
+        return pa.table([rows["id"], pa.array(part.held), pa.array(part.sizes), pa.array(sums[0]), pa.array(np.full(len(sums[0]), total, np.int64)), pa.array(sums[1]), pa.array(sums[2])], names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    none = blocks.sparkSession.createDataFrame([], "block long, message binary")
+    return finish(blocks, none if told is None else told, last, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op7_suffix_tree(spark, sf_dir: str) -> DataFrame:

@@ -340,6 +340,52 @@ def test_suffix_tree_sums_to_one():
     assert known.sum() + unseen.sum() == pytest.approx(1)
 
 
+def suffix_tree(texts):
+    """Probability of a symbol after symbols, by the definition, on dictionaries."""
+    count, after = Counter(), {}
+    for t in texts:
+        w = [*words((t or "").lower()), "\n"]
+        count.update(w)
+        for i in range(len(w)):
+            for d in range(1, i + 1):
+                after.setdefault(tuple(w[i - d : i]), Counter())[w[i]] += 1
+    n, v, known = sum(count.values()), len(count), {}
+
+    def node(s):
+        if s not in known:
+            c = after.get(s, Counter())
+            kept = {x: k for x, k in c.items() if k >= pst.MIN_NEXT}
+            ok = c.total() >= pst.MIN_CONTEXT and (len(s) == 1 or node(s[1:]) is not None)
+            known[s] = (c.total() + pst.PRIOR, kept) if ok and sum(k * np.log(k / c.total() / p(s[1:], x)) for x, k in kept.items()) >= pst.DIVERGENCE else None
+        return known[s]
+
+    def p(s, x):
+        if not s:
+            return (count[x] + 1) / (n + v + 1)
+        if node(s) is None:
+            return p(s[1:], x)
+        have, kept = node(s)
+        return kept.get(x, 0) / have + (have - sum(kept.values())) / have * p(s[1:], x)
+
+    return p, known
+
+
+def test_suffix_tree_by_definition(spark):
+    """Rare contexts and deep ones are nodes, and scores are those of the definition."""
+    rng = random.Random(4)
+    fill = [f"f{k}" for k in range(3000)]
+    texts = [" ".join(rng.choices(fill, k=20)) for _ in range(120)]
+    for _ in range(60):
+        texts += [f"{rng.choice(fill)} {t} {rng.choice(fill)}" for t in ("z one", "y z two", "x y z three", "left x y z blue")]
+    texts += [f"once {rng.choice(fill)} seldom pair {rng.choice(fill)}" for _ in range(12)]
+    rows = pst.score(documents(spark, texts).repartition(3), F.col("doc_id") % 5 == 0).collect()
+    p, known = suffix_tree([t for i, t in enumerate(texts) if i % 5])
+    for r in rows:
+        w = [*words(texts[r.id]), "\n"]
+        assert r.score == pytest.approx(sum(np.log10(p(tuple(w[:i]), x)) for i, x in enumerate(w)), rel=1e-9)
+    assert known[("left", "x", "y", "z")] and known[("seldom",)]
+
+
 def test_urls(spark):
     rows = [(1, "http://WWW.a.net/x"), (2, "https://example.net/en/1"), (3, "http://s.example.com/de/5#top"), (4, "http://b.org/fr/"), (5, "http://b.org/es/1?x"), (6, None), (7, "no scheme"), (8, "http://"), (9, "http://xnet/"), (10, "http://q.net?x")]
     rows += [(100 + k, f"http://h.example.com/{'de' if k % 2 else 'en'}/{k}") for k in range(40)]
