@@ -30,7 +30,7 @@ SERVING = {
     "H12_inequality_yearly": f"SELECT {Y} AS period, {mean('gini')}, {mean('theil')}, {mean('palma')}, {total('min_editors_50pct')}, {total('total_editors')}, {total('total_edits')} FROM {{inequality}} WHERE user_type = 'registered' GROUP BY 1",
     "H12_inequality_range": "SELECT wiki, min(year_month) AS min_month, max(year_month) AS max_month FROM {inequality} GROUP BY wiki",
     "H13_business_range": "SELECT wiki, min(year_month) AS min_month, max(year_month) AS max_month, count(DISTINCT page_namespace) AS namespaces FROM {gdp} GROUP BY wiki",
-    "H14_business_churn": "SELECT period, active_editors, arrivals, departures, arrival_rate, departure_rate FROM {labor_churn} WHERE period_type = 'quarter' AND period <= '2000-Q4'",
+    "H14_business_churn": f"SELECT period, active_editors, arrivals, departures, arrival_rate, departure_rate FROM {{labor_churn}} WHERE period_type = 'quarter' AND period <= (SELECT max({Q}) FROM {{labor_monthly}})",
     "H15_business_tiers": f"SELECT {Q} AS period, activity_tier, {total('editors')}, {total('total_edits')}, {total('net_bytes')} FROM {{gdp_activity_tiers}} WHERE user_type = 'registered' GROUP BY 1, 2",
     "H16_business_survival": f"SELECT {Q} AS period, {total('total_edits')}, {total('reverted_edits')} FROM {{gdp}} WHERE user_type = 'registered' AND page_namespace = 0 GROUP BY 1",
     "H17_business_equilibrium": f"SELECT {Q} AS period, page_namespace, {total('total_edits')}, {total('reverted_edits')} FROM {{gdp}} WHERE user_type = 'registered' GROUP BY 1, 2",

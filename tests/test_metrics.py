@@ -25,6 +25,13 @@ def test_end_to_end_counts(spark):
     assert churn == {"2024-01": (2, 2, 1), "2024-02": (1, 0, 1), "2024-03": (1, 1, 1)}
 
 
+def test_business_churn_to_the_last_quarter(spark):
+    """The cut-off is the last quarter of labor_monthly, whatever the year."""
+    frame = revisions(spark, [("1999-01-15", 1), ("2000-12-20", 2), ("2001-02-15", 1), ("2024-11-10", 3)])
+    got = {r.period: r.active_editors for r in catalog.over(spark, "H14_business_churn", revisions=frame).collect()}
+    assert {"1999-Q1", "2000-Q4", "2001-Q1", "2024-Q4"} <= set(got) and got["2024-Q4"] == 1
+
+
 def test_weekly_golden(spark):
     frame = weeks(spark, [(d, 10, "Alpha") for d in ("2024-01-02", "2024-01-03", "2024-01-08", "2024-02-02", "2024-02-06")] + [("2024-02-07", 20, "Beta")])
     got = {r.week_start: (r.edits, r.previous_week_edits, r.wow_change, r.wow_rate) for r in catalog.over(spark, "page_weekly_edits", revisions=frame).collect() if r.page_id == 10}
