@@ -184,9 +184,19 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.repartition(parts, "shard", F.pmod("order", F.lit(max(1, parts // shards)))).sortWithinPartitions("shard", "order").select("row.*")
 
 
+def dealt(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shards: int = OUT_SHARDS) -> DataFrame:
+    """Rows of ``mix``, with passes and taken counted from what the shards of ``deal`` draw; and draws, of each its shard and order."""
+    row = F.monotonically_increasing_id().alias("row")
+    mixed = checkpointed(mix(docs, id_col, text_col, source_col).select(row, "*"))
+    drawn = deal(mixed, shards).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pass", "shard", "order"))).alias("draws"))  # a row has at most MAX_EPOCHS
+    counted = mixed.drop("passes", "taken").join(drawn, "row", "left").drop("row")
+    none = F.array().cast("array<struct<pass:int,shard:int,order:bigint>>")
+    return counted.withColumn("passes", F.when(F.col("draws").isNull(), 0).otherwise(F.size("draws"))).withColumn("taken", (F.col("passes") * F.col("size")).cast("long")).withColumn("draws", F.coalesce("draws", none))
+
+
 def op8_mixing(spark, sf_dir: str) -> DataFrame:
-    """Contract of op8 over all of ``documents``."""
-    done = mix(table(spark, sf_dir, "documents"))
+    """Contract of op8 over all of ``documents``; taken is what the shards draw. The contract has no place for shard and order."""
+    done = dealt(table(spark, sf_dir, "documents"))
     return done.select(F.col("id").alias("doc_id"), "size", "source_size", F.col("target").cast("double").alias("target"), "taken")
 
 

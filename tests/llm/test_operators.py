@@ -220,6 +220,21 @@ def test_mixing(spark):
     assert (split.sum(axis=0) == quotas).all() and (split >= 0).all() and split.sum(axis=1).max() - split.sum(axis=1).min() <= 1
 
 
+def test_mixing_query_deals(spark, tmp_path, monkeypatch):
+    """What op8 says is taken is what the shards draw: shards that draw nothing take nothing."""
+    texts = corpus(200, 9)
+    docs = documents(spark, [*texts, texts[0]], [random.Random(k).choice(["a", "b", None]) for k in range(len(texts) + 1)], ids=[*range(len(texts)), 0])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    mixed = Counter((r.id, r.size, r.taken) for r in mixing.mix(docs).collect())
+    rows = mixing.dealt(docs).collect()
+    assert Counter((r.id, r.size, r.taken) for r in rows) == mixed
+    assert all([d["pass"] for d in r.draws] == [*range(1, r.passes + 1)] for r in rows) and len({d.shard for r in rows for d in r.draws}) > 8
+    assert Counter((r.doc_id, r.size, r.taken) for r in mixing.op8_mixing(spark, str(tmp_path)).collect()) == mixed
+    monkeypatch.setattr(mixing, "split_quotas", lambda quotas, shards, seed=0: np.zeros((shards, len(quotas)), np.int64) + (np.arange(shards)[:, None] == 0))
+    part = mixing.op8_mixing(spark, str(tmp_path)).collect()
+    assert 0 < sum(r.taken for r in part) < sum(k[2] * n for k, n in mixed.items())
+
+
 def test_packing(spark):
     texts = corpus(100, 11)
     rows = packing.pack_documents(documents(spark, texts), lengths=(16, 64, 256)).collect()
