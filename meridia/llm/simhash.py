@@ -16,25 +16,22 @@ of its links, not its pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meridia.llm.common import ascii_lower, checkpointed, shuffle_partitions, utf8, words
+from meridia.llm.common import ascii_lower, checkpointed, shuffle_partitions, table, utf8, words
 from meridia.llm.components import components
 
 SEED = 42
 POSITIONS = 8
 #: Entries of a posting list that one side of a unit of work holds at most.
 BLOCK = 4096
-#: Shingles whose bits are summed at a time.
-SUM_ROWS = 1 << 14
 #: Up to this size the pairs of a list are laid out together with those of other lists.
 SMALL = 16
 
@@ -59,7 +56,11 @@ def covering_groups(shared: int) -> list[tuple[int, ...]]:
     raise ValueError("pairs must share a byte: at most seven differing bits")
 
 
-def _mix(h: np.ndarray, k: int) -> np.ndarray:
+#: The bits of a byte, each in a byte of a long.
+SPREAD = np.array([sum((b >> j & 1) << (8 * j) for j in range(8)) for b in range(256)], np.uint64)
+
+
+def further(h: np.ndarray, k: int) -> np.ndarray:
     """The k-th further 64-bit hash of each hash (the finaliser of splitmix64); the hash itself for 0."""
     if not k:
         return h
@@ -70,6 +71,15 @@ def _mix(h: np.ndarray, k: int) -> np.ndarray:
         return z ^ (z >> np.uint64(31))
 
 
+def bit_counts(h: np.ndarray) -> np.ndarray:
+    """Of (rows, words) longs: in how many rows each bit is set, lowest bit of the first word first."""
+    own = np.ascontiguousarray(h, "<u8").view(np.uint8).reshape(len(h), -1)
+    out = np.zeros(8 * own.shape[1], np.int64)
+    for at in range(0, len(own), 255):  # eight counts of up to 255 in a long
+        out += SPREAD[own[at : at + 255]].sum(axis=0, dtype=np.uint64).astype("<u8").view(np.uint8)
+    return out
+
+
 def shingle_hashes(text: bytes, width: int) -> Iterator[list[int]]:
     """XXH64 of each shingle of ``width`` words, in lists; of the whole sequence, if it has fewer words; none without words."""
     kept: list[bytes] = []
@@ -89,57 +99,44 @@ def shingle_hashes(text: bytes, width: int) -> Iterator[list[int]]:
         yield [xxhash.xxh64_intdigest(b" ".join(kept), SEED)]
 
 
-def fingerprint(text: bytes, width: int, fold: int = 1) -> list[int]:
-    """``fold`` fingerprints of 64 bits: a bit is 1 if over half of the shingles' hashes have it. Without words: zeros."""
-    n, ones = 0, np.zeros((fold, 64), np.int64)
+def fingerprint(text: bytes, width: int) -> int:
+    """A bit is 1 if over half of the shingles' hashes have it, repeats counted. Without words: zero."""
+    n, ones = 0, np.zeros(64, np.int64)
     for hashes in shingle_hashes(text, width):
-        for at in range(0, len(hashes), SUM_ROWS):
-            h = np.array(hashes[at : at + SUM_ROWS], np.uint64)
-            n += len(h)
-            for k in range(fold):
-                bits = np.unpackbits(_mix(h, k).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-                ones[k] += bits.sum(axis=0, dtype=np.int64)
-    return [int.from_bytes(np.packbits(2 * ones[k] > n).tobytes(), "big") for k in range(fold)]
+        ones += bit_counts(np.array(hashes, np.uint64)[:, None])
+        n += len(hashes)
+    return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, fold: int = 1, extra: str | None = None) -> DataFrame:
-    """(id, f0 .. f{fold-1} long): the fingerprints as signed longs, a row for each row. Null text: as an empty one.
-
-    ``extra``: a long column that goes along.
-    """
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
+    """(id, node long): the fingerprints as signed longs, a row for each row. Null text: as an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [fingerprint(t.as_py(), width, fold) for t in batch.column(1)]
-            cols = [pa.array(np.array([m[k] for m in made], np.uint64).view(np.int64)) for k in range(fold)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], *cols], names=["id", *batch.schema.names[2:], *(f"f{k}" for k in range(fold))])
-
-    more = [F.col(extra)] if extra else []
-    schema = "id long, " + (f"{extra} long, " if extra else "") + ", ".join(f"f{k} long" for k in range(fold))
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), utf8(text_col).alias("text"), *more).mapInArrow(run, schema)
+            made = np.array([fingerprint(t.as_py(), width) for t in batch.column(1)], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made.view(np.int64))], names=["id", "node"])
 
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), utf8(text_col).alias("text")).mapInArrow(run, "id long, node long")
 
-def postings(entries: DataFrame, columns: list[str], shared: int) -> DataFrame:
-    """(key, node): each entry under the key of each group of positional bytes of each long in ``columns``.
 
-    A key is the number of its word and group, then the bytes; it is unique to them.
-    """
+def postings(entries: DataFrame, shared: int) -> DataFrame:
+    """(key, node): each node under the key of each group of its positional bytes. A key is the group's number, then the bytes."""
     groups = covering_groups(shared)
 
     def key(g: int, ps: tuple[int, ...]):
-        k = F.col("w").cast("long") * len(groups) + g
+        k = F.lit(g).cast("long")
         for p in ps:
-            k = F.shiftleft(k, 8).bitwiseOR(F.shiftrightunsigned("word", 8 * p).bitwiseAND(F.lit(255)))
+            k = F.shiftleft(k, 8).bitwiseOR(F.shiftrightunsigned("node", 8 * p).bitwiseAND(F.lit(255)))
         return k
 
-    worded = entries.select("node", F.posexplode(F.array(*columns)).alias("w", "word"))
-    return worded.select("node", F.explode(F.array(*(key(g, ps) for g, ps in enumerate(groups)))).alias("key"))
+    return entries.select("node", F.explode(F.array(*(key(g, ps) for g, ps in enumerate(groups)))).alias("key"))
 
 
 def units(posted: DataFrame) -> DataFrame:
     """(key, i, j, side, node): posting lists dealt into units of work, the pairs of a list's blocks i <= j.
 
-    Most lists are one unit (0, 0); lists of one entry go. ``side`` is 0 in block i and 1 in block j.
+    Most lists are one unit (0, 0); lists of one entry go. ``side`` is 0 in block i and 1 in block j. The join with the
+    lists' lengths is where a hot list stands under one key; it carries 16 bytes an entry, and adaptive execution splits it.
     """
     counts = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     dealt = posted.join(counts, "key").withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
@@ -154,99 +151,85 @@ def shared_bytes(x: np.ndarray) -> np.ndarray:
 
 
 class Matcher:
-    """Which pairs link: the posted words share ``least_shared`` bytes, and all words differ in at most ``bits`` bits."""
+    """Which pairs link: they share at least ``least_shared`` bytes, and differ in at most ``bits`` bits."""
 
     def __init__(self, bits: int, least_shared: int):
         self.bits, self.least_shared = bits, least_shared
 
-    def __call__(self, a: np.ndarray, b: np.ndarray, posted_a: np.ndarray, posted_b: np.ndarray) -> np.ndarray:
-        """Of broadcastable arrays: (..., words) all words, (...) the posted one."""
-        x = posted_a ^ posted_b
-        found = shared_bytes(x) >= self.least_shared
-        if a.shape[-1] == 1:
-            return found & (np.bitwise_count(x) <= self.bits)
-        at = np.nonzero(found)
-        if len(at[0]):
-            aa, bb = np.broadcast_to(a, found.shape + a.shape[-1:])[at], np.broadcast_to(b, found.shape + b.shape[-1:])[at]
-            found[at] = np.bitwise_count(aa ^ bb).sum(axis=-1, dtype=np.int64) <= self.bits
-        return found
-
-
-def forest(match: Matcher, node: np.ndarray, fp: np.ndarray, posted: np.ndarray, side: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of a unit's links. whole: all pairs of the unit, else those across the two sides."""
-    left = np.arange(len(node)) if whole else np.nonzero(side == 0)[0]
-    right = left if whole else np.nonzero(side == 1)[0]
-    label = np.arange(len(node))
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        x = a ^ b
+        return (shared_bytes(x) >= self.least_shared) & (np.bitwise_count(x) <= self.bits)
+
+
+def forest(match: Matcher, prints: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (u, v) of a spanning forest of a unit's links between two sides, or within one if both are the same."""
+    label = np.arange(len(prints))
     for at in range(0, len(left), 64):
         rows = left[at : at + 64]
-        hits = match(fp[rows][:, None, :], fp[right][None, :, :], posted[rows][:, None], posted[right][None, :])
-        for r, hit in zip(rows, hits):
+        for r, hit in zip(rows, match(prints[rows][:, None], prints[right][None, :])):
             if hit.any():
                 met = np.unique(label[np.append(right[hit], r)])
                 if len(met) > 1:
                     label[np.isin(label, met)] = met[0]
-    far = np.nonzero(label != np.arange(len(node)))[0]
-    return node[far], node[label[far]]
-
-
-def link_units(dealt: DataFrame, match: Matcher, fold: int, groups: int, key_bits: int, parts: int) -> DataFrame:
-    """Links (u, v) of all units; the links of a unit connect what its matching pairs connect. ``dealt`` has f0 .. too."""
-    names = ["key", "i", "j", "side", "node", *(f"f{k}" for k in range(fold))]
-
-    def solve(cols: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        key, i, j, side, node = cols[:5]
-        fp = np.stack(cols[5:], axis=1).view(np.uint64)
-        word = (key >> key_bits) // groups if fold > 1 else np.zeros(len(key), np.int64)
-        posted = fp[np.arange(len(key)), word]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
-        starts = np.nonzero(new)[0]
+    far = np.nonzero(label != np.arange(len(prints)))[0]
+    return far, label[far]
+
+
+def grouped_batches(solve: Callable[[pa.Table], Iterator[pa.RecordBatch]], keys: list[str], rows: int = 4 * BLOCK) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for ``mapInArrow`` over rows in order of ``keys``: ``solve`` gets whole groups, many together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        n = 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= rows:
+                t = pa.Table.from_batches(held).combine_chunks()
+                other = np.zeros(t.num_rows, bool)
+                for k in keys:
+                    c = t[k].to_numpy()
+                    other |= c != c[-1]
+                last = np.nonzero(other)[0]
+                cut = int(last[-1]) + 1 if len(last) else 0
+                if cut:
+                    yield from solve(t.slice(0, cut).combine_chunks())
+                held, n = t.slice(cut).to_batches(), t.num_rows - cut
+        if n:
+            yield from solve(pa.Table.from_batches(held).combine_chunks())
+
+    return run
+
+
+def link(entries: DataFrame, bits: int, shared: int) -> DataFrame:
+    """(u, v) of nodes: links that connect what pairs of ``entries`` (node) with at most ``bits`` differing bits connect."""
+    match, parts = Matcher(bits, shared), shuffle_partitions(entries.sparkSession)
+
+    def solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        key, i, j, side, node = (t[c].to_numpy() for c in ("key", "i", "j", "side", "node"))
+        prints = node.view(np.uint64)
+        starts = np.nonzero(np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))[0]
         sizes = np.diff(np.append(starts, len(key)))
         whole = i[starts] == j[starts]
         small = whole & (sizes > 1) & (sizes <= SMALL)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
         for n in range(2, SMALL + 1):  # lists of a size: their pairs, position by position
             at = starts[small & (sizes == n)]
             for x, y in combinations(range(n), 2) if len(at) else ():
-                hit = match(fp[at + x], fp[at + y], posted[at + x], posted[at + y])
-                if hit.any():
-                    yield node[at[hit] + x], node[at[hit] + y]
+                hit = match(prints[at + x], prints[at + y])
+                found.append((at[hit] + x, at[hit] + y))
         for k in np.nonzero(~small & (sizes > 1))[0]:
             s = slice(starts[k], starts[k] + sizes[k])
-            u, v = forest(match, node[s], fp[s], posted[s], side[s], bool(whole[k]))
-            if len(u):
-                yield u, v
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        rows = 0
-
-        def out(cols):
-            for u, v in solve(cols):
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
-
-        for batch in batches:
-            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-            rows += batch.num_rows
-            if rows >= 4 * BLOCK:
-                cols = [np.concatenate(c) for c in zip(*held)]
-                last = np.nonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]) | (cols[2] != cols[2][-1]))[0]
-                cut = last[-1] + 1 if len(last) else 0
-                if cut:
-                    yield from out([c[:cut] for c in cols])
-                held, rows = [[c[cut:] for c in cols]], len(cols[0]) - cut
-        if held:
-            yield from out([np.concatenate(c) for c in zip(*held)])
-
-    ordered = dealt.select(names).repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-    return ordered.mapInArrow(run, "u long, v long")
+            own = np.arange(sizes[k])
+            left, right = (own, own) if whole[k] else (own[side[s] == 0], own[side[s] == 1])
+            u, v = forest(match, prints[s], left, right)
+            found.append((u + starts[k], v + starts[k]))
+        if found:
+            u, v = (np.concatenate(x) for x in zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v])], names=["u", "v"])
 
-
-def link(entries: DataFrame, fold: int, bits: int, shared: int) -> DataFrame:
-    """(u, v) of nodes: links that connect what pairs of ``entries`` (node, f0 ..) with at most ``bits`` differing bits connect."""
-    columns = [f"f{k}" for k in range(fold)]
-    groups = covering_groups(shared)
-    dealt = units(postings(entries, columns, shared)).join(entries.select("node", *columns), "node")
-    return link_units(dealt, Matcher(bits, min(len(g) for g in groups) if fold > 1 else shared), fold, len(groups), 8 * len(groups[0]), shuffle_partitions(entries.sparkSession))
+    ordered = units(postings(entries, shared)).repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+    return ordered.select("key", "i", "j", "side", "node").mapInArrow(grouped_batches(solve, ["key", "i", "j"]), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, bits: int = 4) -> DataFrame:
@@ -258,46 +241,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and stands as its component's id only if all ids there are null. No rows give no rows. Only the two named
     columns are read, so that others may have any name.
     """
-    found = checkpointed(fingerprints(docs, id_col, text_col, width).select("id", F.col("f0").alias("node")))
-    entries = checkpointed(found.groupBy("node").agg(F.min("id").alias("least"))).withColumn("f0", F.col("node"))
-    member = components(link(entries, 1, bits, POSITIONS - bits))
+    found = checkpointed(fingerprints(docs, id_col, text_col, width))
+    entries = checkpointed(found.groupBy("node").agg(F.min("id").alias("least")))
+    member = components(link(entries.select("node"), bits, POSITIONS - bits))
     rooted = entries.join(member, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select("node", "component_id")
     return found.join(named, "node").select("id", F.col("node").alias("fingerprint"), "component_id")
 
 
-#: A similarity of 0.8 of shingle sets turns about 0.15 of a fingerprint's bits; with the spread of FOLD words, this share finds it.
-FOLD, DIFFERING = 8, 0.18
-
-
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, fold: int = FOLD, differing: float = DIFFERING) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates: the one with the smallest id.
-
-    Fingerprints of ``fold`` words of 64 bits; a pair is tallied for each word in which it shares a group of three
-    positional bytes, and links if at most that share of all bits differs. Of what a tally of three guarantees no more
-    than five differing bits in a word are sure; beyond, finding a pair is a matter of chance, which the words repeat.
-    Null and empty texts have fingerprint zero and are near-duplicates of each other. Rows equal in id and text are
-    one. A null id stands after all others. No rows give no rows. All columns stay; only the two named are read.
-    """
-    columns = [f"f{k}" for k in range(fold)]
-    key = F.xxhash64(*columns) if fold > 1 else F.col("f0")
-    base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    found = checkpointed(fingerprints(base.withColumn("sum", F.xxhash64("text")), "id", "text", width, fold, extra="sum").withColumn("node", key))
-    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "sum")).alias("least")
-    entries = checkpointed(found.groupBy("node").agg(first, *[F.first(c).alias(c) for c in columns]))
-    member = components(link(entries, fold, int(differing * 64 * fold), 4))
-    rooted = entries.select("node", "least").join(member, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.id").alias("kept_id"), F.col("least.sum").alias("kept_sum"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("sum"))
-    rows = rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("sum") == F.col("kept_sum")), "left_semi")
-    alone = rows.withColumn("k", F.row_number().over(W.partitionBy("id", "sum").orderBy(F.lit(0)))).where("k = 1")
-    return alone.select("row.*")
-
-
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
     """Contract of op1: four words, four bits, over all of ``documents``."""
-    from meridia.llm.common import table
-
     done = near_duplicates(table(spark, sf_dir, "documents"))
     return done.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")

@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from meridia.llm import mixing, neighbours, packing, pst, quality, sharding, simhash, substrings, tokens, urls
+from meridia.llm import mixing, neardup, neighbours, packing, pst, quality, sharding, simhash, substrings, tokens, urls
 from meridia.llm.rindex import RunLengthIndex
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, shard int, id string"
@@ -88,11 +88,11 @@ def test_simhash(spark):
 def test_simhash_blocks(spark, monkeypatch):
     rng = np.random.default_rng(0)
     node = np.unique(rng.integers(0, 2, (3000, 1)) * 0 + (np.uint64(7) << np.uint64(40)) + rng.integers(0, 1 << 12, (3000, 1)).astype(np.uint64) * np.uint64(1))
-    frame = spark.createDataFrame([(int(x), int(x)) for x in node.tolist()], "node long, f0 long")
+    frame = spark.createDataFrame([(int(x),) for x in node.ravel().tolist()], "node long")
     monkeypatch.setattr(simhash, "BLOCK", 256)  # posting lists of several blocks
     from meridia.llm.components import components
 
-    roots = {r.node: r.root for r in components(simhash.link(frame, 1, 4, 4)).collect()}
+    roots = {r.node: r.root for r in components(simhash.link(frame, 4, 4)).collect()}
     assert len(set(roots.values())) == 1 and len(roots) == len(node)
 
 
@@ -108,7 +108,7 @@ def test_one_of_each(spark):
             group.append(g)
     texts += [texts[0], texts[0]]
     ids = [*range(60), 0, None]
-    left = simhash.one_of_each(documents(spark, texts, ids=ids))
+    left = neardup.one_of_each(documents(spark, texts, ids=ids))
     assert left.columns == documents(spark, []).columns
     assert sorted(r.doc_id for r in left.collect()) == [3 * g for g in range(20)]
 
@@ -425,3 +425,53 @@ def test_pipeline(spark, tmp_path):
         rows = spark.read.parquet(str(tmp_path / name))
         assert rows.count() > 0 and (name == "packing" or rows.columns == names)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == rows.count()
+
+
+def jaccard_groups(texts):
+    """Smallest place of each text's group, by all pairs."""
+    sets = []
+    for t in texts:
+        w = words(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.append({" ".join(w[i : i + 5]) for i in range(len(w) - 4)} or ({" ".join(w)} if w else set()))
+    label = list(range(len(texts)))
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    pairs = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] == sets[j] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                pairs += sets[i] != sets[j]
+                a, b = sorted((find(i), find(j)))
+                label[b] = a
+    return [find(i) for i in range(len(texts))], pairs
+
+
+def edited(rng, w, n):
+    """With n of its words replaced by words of their own."""
+    v = list(w)
+    for k in rng.sample(range(len(v)), n):
+        v[k] = f"x{rng.randrange(10**9)}"
+    return v
+
+
+@pytest.mark.parametrize("small", [16, 4])
+def test_near_copies_by_jaccard(spark, monkeypatch, small):
+    """Pairs on both sides of the threshold, and a large group whose links are of every kind: groups are those of all pairs."""
+    monkeypatch.setattr(neardup, "SMALL", small)  # 4: the large group takes the way of long lists
+    rng = random.Random(small)
+    texts = []
+    for edits in [0, 2, 4, 5, 6, 8, 10, 14] * 12:
+        w = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        texts += [" ".join(w), " ".join(edited(rng, w, edits)).upper()]
+    hub = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    texts += [" ".join(edited(rng, hub, rng.choice([1, 3, 6, 9]))) for _ in range(150)]
+    texts += ["a b c", "A b c", "", None, " ", "one", "a b c d"]
+    want, pairs = jaccard_groups(texts)
+    got = {r.doc_id for r in neardup.one_of_each(documents(spark, texts).repartition(5)).collect()}
+    first = set(want)
+    assert not got - set(range(len(texts))) and first <= got  # no false link: every group keeps its first
+    assert len(got - first) <= 0.02 * len(texts) and pairs > 1000
