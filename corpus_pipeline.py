@@ -1,7 +1,8 @@
 """The corpus pipeline: five stages over ``documents``, each written and read again by who runs it.
 
 1. quality: documents that the base rules or the divergence from their language reject go.
-2. near_dedup: one document of each group of near-duplicates stays, by SimHash on shingles of five words.
+2. near_dedup: one document of each group of near-duplicates stays, those linked by a Jaccard
+   similarity of 0.8 or more of their shingles of five words, found by SimHash.
 3. substrings: bytes of passages that a document with a smaller id also has go; ``n_chars`` follows the text.
 4. mixing: documents stand as often as their source's target weight says.
 5. packing: the mix, by words, in bins of several permitted lengths. A row for each piece of a document.
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridia.llm import mixing, packing, quality, simhash, substrings
+from meridia.llm import mixing, neardup, packing, quality, substrings
 from meridia.llm.common import checkpointed, table
 
 
@@ -21,7 +22,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.one_of_each(docs)
+    return neardup.one_of_each(docs)
 
 
 def substrings_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
