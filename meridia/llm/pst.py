@@ -3,8 +3,10 @@
 Symbols are words, and one end for each text. The root predicts by add-one counts over all training words. A context of
 any number of symbols is a node if it was seen at least ``MIN_CONTEXT`` times, its parent (the context without its first
 symbol) is a node, and its next-symbol counts diverge from the parent's prediction: the count times the Kullback-Leibler
-divergence over the node's own symbols reaches ``DIVERGENCE`` nats. A node keeps the symbols seen at least ``MIN_NEXT``
-times after it, and leaves the rest to its parent:
+divergence over the node's own symbols reaches ``DIVERGENCE`` nats. A node's own symbols are those seen at least
+``MIN_NEXT`` times after it and more often than chance explains: with e = c(s) * P(x | parent), the Poisson bound
+c ln(c / e) - c + e on the logarithm of such a chance reaches ``SURPRISE``. So the many pairs of a frequent word with words
+that merely are frequent too make no nodes. A node leaves all other symbols to its parent:
 
     P(x | s) = c(s, x) / (c(s) + PRIOR) for kept x  +  (c(s) + PRIOR - kept counts) / (c(s) + PRIOR) * P(x | parent)
 
@@ -12,10 +14,10 @@ so each node's prediction sums to one. A text is scored by the longest suffix of
 Both minima are counts, so the tree grows with the corpus; levels are added until one has no node.
 
 Scale. Nothing is broadcast and no whole tree stands anywhere. Words and contexts live in buckets. For each level a block
-sends its contexts, next symbols, counts and the parents' predictions (which it has from the levels before); the bucket
-has a context's whole counts, judges it, and answers what the block asked. Contexts that a bound shows to be under
-``DIVERGENCE`` are not sent. A context's entries are aggregated by block and
-meet in one bucket. Contexts of two symbols and more are told apart by hashes of 64 bits. All counts are over the whole corpus.
+sends its contexts, next symbols, counts and the parents' predictions (which it has from the levels before; those of the
+root follow from a symbol's count, which goes once); the bucket has a context's whole counts, judges it, and answers what
+the block asked: counts up to 255, and the whole counts of kept symbols. Contexts that a bound shows to be under
+``DIVERGENCE`` are not sent. A context's entries are aggregated by block and meet in one bucket. Contexts of two symbols and more are told apart by hashes of 64 bits. All counts are over the whole corpus.
 """
 
 from __future__ import annotations
@@ -38,7 +40,10 @@ from meridia.llm.common import checkpointed, table, words
 MIN_CONTEXT = 5
 MIN_NEXT = 2
 DIVERGENCE = 20.0
+SURPRISE = 10.0
 PRIOR = 10.0
+#: Counts of symbols that are not kept serve as bounds only, and are told up to here.
+MOST_TOLD = 255
 #: No word: it holds white space.
 END = b"\n"
 
@@ -189,6 +194,11 @@ class Tree:
         return (self.count[symbol] + 1.0) / (self.total + self.kinds + 1.0)
 
 
+def narrow(a: np.ndarray) -> np.ndarray:
+    """Whole numbers from zero in the least type that holds them."""
+    return a.astype(np.min_scalar_type(int(a.max())) if len(a) else np.uint8)
+
+
 class Part:
     """A block of numbers, and how far its places have come down the tree."""
 
@@ -235,73 +245,96 @@ class Part:
 
     def question(self) -> Iterator[tuple[int, bytes]]:
         at, _, names, bucket, context, symbol, pair = self.asked()
+        k = len(self.number)
         counts = np.bincount(pair, weights=self.train[at], minlength=len(context)).astype(np.int64)
-        parent = np.zeros(len(context), np.float32)
-        parent[pair] = self.p[at]
-        parent[(counts == 0) | (symbol == len(self.number))] = 0  # not asked for
-        x = np.append(self.number, -1)[symbol]
+        deep = len(self.tree.keys) > 0
+        parent = np.zeros(len(context) if deep else 0, np.float32)
+        if deep:
+            parent[pair] = self.p[at]
+            parent[(counts == 0) | (symbol == k)] = 0  # not asked for
+        x, own = np.append(self.number + 1, 0), np.append(self.tree.count, 0)
         cuts = np.nonzero(np.append(True, bucket[1:] != bucket[:-1]))[0].tolist() if len(bucket) else []
         for lo, hi in zip(cuts, [*cuts[1:], len(bucket)]):
             a, b = np.searchsorted(context, [lo, hi])
-            yield int(bucket[lo]), pack([names[lo:hi], np.bincount(context[a:b] - lo, minlength=hi - lo).astype(np.int32), x[a:b], counts[a:b], parent[a:b]])
+            if deep:
+                next_, extra = x[symbol[a:b]], parent[a:b]
+            else:  # symbols by their places in a list of them with their counts
+                used, next_ = np.unique(symbol[a:b], return_inverse=True)
+                extra = np.stack([x[used], own[used]]).ravel()
+            yield int(bucket[lo]), pack([names[lo:hi], narrow(np.bincount(context[a:b] - lo, minlength=hi - lo)), narrow(next_), narrow(counts[a:b]), extra])
 
     def down(self, told: dict[int, list[np.ndarray]]) -> None:
         """Take what the buckets answered, and go down a level."""
         k = np.int64(len(self.number))
         at, keys, names, bucket, context, symbol, pair = self.asked()
-        parts = [told[b] for b in np.unique(bucket).tolist()]
-        total, kept, count = (np.concatenate([p[j] for p in parts]) if parts else np.empty(0, np.int64) for j in range(3))
+        own_buckets = np.unique(bucket)
+        parts = [told[b] for b in own_buckets.tolist()]
+        total, kept, count = (np.concatenate([p[j] for p in parts]).astype(np.int64) if parts else np.empty(0, np.int64) for j in range(3))
+        begin = np.searchsorted(context, np.searchsorted(bucket, own_buckets)).tolist()
+        use, used = (np.concatenate(x).astype(np.int64) if parts else np.empty(0, np.int64) for x in ([p[3].astype(np.int64) + a for p, a in zip(parts, begin)], [p[4] for p in parts]))
         good = np.nonzero(kept > 0)[0]
         good = good[np.argsort(keys[good])]
         number = np.full(len(keys), -1, np.int64)
         number[good] = np.arange(len(good))
         have = total + PRIOR
-        use = np.nonzero((number[context] >= 0) & (symbol < k) & (count >= MIN_NEXT))[0]
         own = number[context[use]] * k + symbol[use]
         order = np.argsort(own)
         self.tree.keys.append(keys[good])
         self.tree.back.append((have[good] - kept[good]) / have[good])
         self.tree.pairs.append(own[order])
-        self.tree.gain.append((count[use] / have[context[use]])[order])
+        self.tree.gain.append((used / have[context[use]])[order])
         self.name, self.have = names[good], have[good]
         depth = len(self.tree.keys)
         ok = self.place[self.at] >= depth
         here, node = self.at[ok], self.node[ok]
         self.p, self.at, self.node = self.tree.step(depth, self.p, self.symbol, self.symbol[here - depth], here, node)
         longer = np.minimum(self.seen, np.append(0, self.seen[:-1])) if len(self.seen) else self.seen
-        exact = symbol[pair] < k
+        exact = (symbol < k) & (count < MOST_TOLD)
+        exact = exact[pair]
         longer[at[exact]] = count[pair[exact]]
         self.seen = longer
 
 
-def _judge(level: int, n: int):
-    """A bucket's contexts of a level: whole counts, divergence from the parents, and the answers."""
+def _judge(level: int, n: int, whole: float):
+    """A bucket's contexts of a level: whole counts, divergence from the parents, and the answers. ``whole``: what the root's shares are of."""
 
     def reply(blocks: list[int], messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
-        parts = [unpack(m) for m in messages]
+        parts = []
+        for m in messages:
+            names, sizes, next_, counts, extra = unpack(m)
+            if level == 1:
+                numbers, often = extra.reshape(2, -1)
+                next_, extra = numbers[next_], ((often + 1.0) / whole)[next_]
+            parts.append((names, sizes.astype(np.int64), next_.astype(np.int64), counts.astype(np.int64), extra))
         names, context = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        sizes = np.concatenate([p[1] for p in parts])
-        context = np.repeat(context, sizes)
+        context = np.repeat(context, np.concatenate([p[1] for p in parts]))
         symbols, symbol = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
         counts = np.concatenate([p[3] for p in parts])
         total = np.bincount(context, weights=counts, minlength=len(names)).astype(np.int64)
         pairs, pair = np.unique(context * np.int64(len(symbols)) + symbol, return_inverse=True)
         count = np.bincount(pair, weights=counts, minlength=len(pairs)).astype(np.int64)
         parent = np.zeros(len(pairs))
-        np.maximum.at(parent, pair, np.concatenate([p[4] for p in parts]))
+        np.maximum.at(parent, pair, np.concatenate([p[4] for p in parts]).astype(np.float64))
         of, x = pairs // len(symbols), symbols[pairs % len(symbols)]
-        use = (x >= 0) & (count >= MIN_NEXT)
-        of, c = of[use], count[use]
-        divergence = np.bincount(of, weights=c * np.log(c / total[of] / parent[use]), minlength=len(names))
+        use = np.nonzero((x > 0) & (count >= MIN_NEXT))[0]
+        c, e = count[use], total[of[use]] * parent[use]
+        gain = c * np.log(c / e)
+        own = (c > e) & (gain - c + e >= SURPRISE)
+        use, c, gain = use[own], c[own], gain[own]
+        divergence = np.bincount(of[use], weights=gain, minlength=len(names))
         node = (divergence >= DIVERGENCE) & (total >= MIN_CONTEXT)
-        kept = np.where(node, np.bincount(of, weights=c, minlength=len(names)).astype(np.int64), 0)
+        kept = np.where(node, np.bincount(of[use], weights=c, minlength=len(names)).astype(np.int64), 0)
+        is_kept = np.zeros(len(pairs), bool)
+        is_kept[use] = node[of[use]]
         bucket = int(names[0] % np.uint64(n))
         yield -1, struct.pack("<q", int(node.sum()))
         a = b = 0
         for block, p in zip(blocks, parts):
             own = np.searchsorted(names, p[0])
             b = a + len(p[2])
-            yield block, struct.pack("<II", level, bucket) + pack([total[own], kept[own], count[pair[a:b]]])
+            mine = pair[a:b]
+            hit = np.nonzero(is_kept[mine])[0]
+            yield block, struct.pack("<II", level, bucket) + pack([narrow(total[own]), narrow(kept[own]), np.minimum(count[mine], MOST_TOLD).astype(np.uint8), narrow(hit), narrow(count[mine[hit]])])
             a = b
 
     return reply
@@ -328,7 +361,7 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
 
     while True:
         level += 1
-        judged = answer(ask(blocks, question, told), _judge(level, n))
+        judged = answer(ask(blocks, question, told), _judge(level, n, total + kinds + 1.0))
         nodes = sum(struct.unpack("<q", bytes(r["message"]))[0] for r in judged.where("block = -1").collect())  # a row a bucket
         if not nodes:
             break

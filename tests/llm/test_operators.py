@@ -369,9 +369,13 @@ def suffix_tree(texts):
     def node(s):
         if s not in known:
             c = after.get(s, Counter())
-            kept = {x: k for x, k in c.items() if k >= pst.MIN_NEXT}
             ok = c.total() >= pst.MIN_CONTEXT and (len(s) == 1 or node(s[1:]) is not None)
-            known[s] = (c.total() + pst.PRIOR, kept) if ok and sum(k * np.log(k / c.total() / p(s[1:], x)) for x, k in kept.items()) >= pst.DIVERGENCE else None
+            kept, gain = {}, 0.0
+            for x, k in c.items() if ok else ():
+                e = c.total() * p(s[1:], x)
+                if k >= pst.MIN_NEXT and k > e and k * np.log(k / e) - k + e >= pst.SURPRISE:
+                    kept[x], gain = k, gain + k * np.log(k / e)
+            known[s] = (c.total() + pst.PRIOR, kept) if gain >= pst.DIVERGENCE else None
         return known[s]
 
     def p(s, x):
@@ -390,8 +394,8 @@ def test_suffix_tree_by_definition(spark):
     rng = random.Random(4)
     fill = [f"f{k}" for k in range(3000)]
     texts = [" ".join(rng.choices(fill, k=20)) for _ in range(120)]
-    for _ in range(60):
-        texts += [f"{rng.choice(fill)} {t} {rng.choice(fill)}" for t in ("z one", "y z two", "x y z three", "left x y z blue")]
+    for t, n in (("z one", 400), ("y z two", 200), ("x y z three", 100), ("left x y z blue", 60)):
+        texts += [f"{rng.choice(fill)} {t} {rng.choice(fill)}" for _ in range(n)]
     texts += [f"once {rng.choice(fill)} seldom pair {rng.choice(fill)}" for _ in range(12)]
     rows = pst.score(documents(spark, texts).repartition(3), F.col("doc_id") % 5 == 0).collect()
     p, known = suffix_tree([t for i, t in enumerate(texts) if i % 5])
