@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The numbers and labels of the standard namespaces.
+#: The numbers and labels of namespaces.
 NAMESPACES = {
-    -2: "Media", -1: "Special", 0: "Article", 1: "Talk", 2: "User", 3: "User talk", 4: "Project", 5: "Project talk", 6: "File", 7: "File talk",
-    8: "MediaWiki", 9: "MediaWiki talk", 10: "Template", 11: "Template talk", 12: "Help", 13: "Help talk", 14: "Category", 15: "Category talk",
+    0: "Article", 1: "Talk", 2: "User", 3: "User Talk", 4: "Wikipedia", 5: "Wikipedia Talk", 6: "File", 7: "File Talk", 8: "MediaWiki", 9: "MediaWiki Talk", 10: "Template", 11: "Template Talk",
+    12: "Help", 13: "Help Talk", 14: "Category", 15: "Category Talk", 100: "Portal", 101: "Portal Talk", 828: "Module", 829: "Module Talk", 1728: "Draft", 1729: "Draft Talk",
+    2300: "Gadget", 2301: "Gadget definition", 2302: "Gadget Talk", 2303: "Gadget definition Talk",
 }
 GRAINS = ("month", "quarter", "year")
 
@@ -124,7 +125,7 @@ def has_any(text: Column, groups: list[str]) -> Column:
 
 def namespace_label(ns: Column) -> Column:
     names = F.create_map(*[F.lit(x) for kv in NAMESPACES.items() for x in kv])
-    return F.coalesce(F.try_element_at(names, ns), F.concat(F.lit("ns "), F.coalesce(ns.cast("string"), F.lit("null"))))
+    return F.coalesce(F.try_element_at(names, ns), F.concat(F.lit("ns "), ns.cast("string")), F.lit("(no namespace)"))
 
 
 def is_year_month(c: Column) -> Column:

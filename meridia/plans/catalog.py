@@ -1,4 +1,4 @@
-"""Every registered query of the engine and its SQL: relations resolved to Spark views, or to CTEs for the oracle."""
+"""Every registered query of the engine: relations resolved to Spark SQL, serving queries over them, and their oracles."""
 
 from __future__ import annotations
 
@@ -9,18 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridia.functions import fields
+from meridia.operators import filters
 from meridia.operators.metrics import RELATIONS
-from meridia.operators.serving import SERVING
+from meridia.operators.serving import SERVING, Serving
+from meridia.plans import oracles
 from meridia.plans.views import VIEWS
 from meridia.streaming.weekly import weekly_counts
 
 TABLES = ("lineitem", "orders", "customer", "supplier", "part", "nation", "region", "events")
-#: Hours from a revision to its patrol, in each dialect.
-HOURS = {
-    "spark": "(unix_timestamp(CAST(e.event_timestamp AS TIMESTAMP)) - unix_timestamp(CAST(r0.event_timestamp AS TIMESTAMP))) / 3600e0",
-    "duckdb": "(epoch(CAST(e.event_timestamp AS TIMESTAMP)) - epoch(CAST(r0.event_timestamp AS TIMESTAMP))) / 3600e0",
-}
-DEFINED = {**VIEWS, **RELATIONS, **SERVING}
+#: The wiki that the test tables stand for, and the groups there whose edits count as patrolled.
+WIKI = "testwiki"
+GROUPS = ("autopatrolled", "sysop")
+DEFINED = {**VIEWS, **RELATIONS}
 #: Registered name -> relation. Serving queries go by their own names.
 METRICS = {
     "C1_gdp": "gdp", "C2_gdp_user_type_share": "gdp_user_type_share", "C3_gdp_activity_tiers": "gdp_activity_tiers", "C4_business_funnel": "business_funnel", "C5_labor_monthly": "labor_monthly",
@@ -34,39 +34,60 @@ def _needs(sql: str) -> list[str]:
     return re.findall(r"\{(\w+)\}", sql)
 
 
-def with_ctes(name: str, dialect: str, given: tuple[str, ...] = ()) -> str:
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def with_ctes(name: str, given: tuple[str, ...] = (), wiki: str = WIKI, groups: tuple[str, ...] = GROUPS) -> str:
     """The relation's SQL with all that it reads as CTEs, each once, in order; relations in ``given`` stay in braces."""
     ctes: dict[str, str] = {}
 
     def visit(of: str) -> str:
-        sql = DEFINED[of].replace("{hours}", HOURS[dialect])
+        sql = DEFINED[of]
         for need in _needs(sql):
             if need not in ctes and need not in given:
                 ctes[need] = visit(need)
         return re.sub(r"\{(\w+)\}", lambda m: m[0] if m[1] in given else m[1], sql)
 
     body = visit(name)
-    return ("WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + "\n" if ctes else "") + body
+    sql = ("WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + "\n" if ctes else "") + body
+    held = f"array({', '.join(map(_literal, groups))})" if groups else "CAST(array() AS ARRAY<STRING>)"
+    return sql.replace(":groups", held).replace(":wiki", _literal(wiki))
 
 
 def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The relation over the tables of ``sf_dir``: one plan, left to Catalyst and adaptive execution."""
-    used = [t for t in TABLES if re.search(rf"\b{t}\b", with_ctes(name, "spark"))]
+    sql = with_ctes(name)
+    used = [t for t in TABLES if re.search(rf"\b{t}\b", sql)]
     frames = {f"t_{t}": spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used}
-    sql = with_ctes(name, "spark")
     for t in used:
         sql = re.sub(rf"\b(FROM|JOIN) {t}\b", rf"\1 {{t_{t}}}", sql)
     return spark.sql(sql, **frames)
 
 
-def over(spark: SparkSession, name: str, **inputs: DataFrame) -> DataFrame:
-    """The relation over frames of one's own: ``revisions``, ``patrol_events`` and so on, as the metrics' SQL names them."""
-    sql = with_ctes(name, "spark", tuple(inputs))
-    return spark.sql(sql, **{k: v for k, v in inputs.items() if f"{{{k}}}" in sql})
+def over(spark: SparkSession, name: str, wiki: str = WIKI, groups: tuple[str, ...] = GROUPS, **inputs: DataFrame) -> DataFrame:
+    """The relation, or the serving query, over frames of one's own: ``revisions``, ``patrol_events`` and so on, as the metrics' SQL names them."""
+
+    def one(of: str) -> DataFrame:
+        if of in inputs:
+            return inputs[of]
+        sql = with_ctes(of, tuple(inputs), wiki, groups)
+        return spark.sql(sql, **{k: v for k, v in inputs.items() if f"{{{k}}}" in sql})
+
+    return SERVING[name](Serving(one)) if name in SERVING else one(name)
+
+
+def rounded(df: DataFrame, places: int = 6) -> DataFrame:
+    """Doubles to so many places: sums of doubles depend on their order, and results are compared by hash."""
+    return df.select(*[F.round(F.col(f"`{c}`"), places).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in df.dtypes])
 
 
 def _query(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: relation(spark, sf_dir, name)
+    return lambda spark, sf_dir: rounded(relation(spark, sf_dir, name))
+
+
+def _served(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: rounded(SERVING[name](Serving(lambda of: relation(spark, sf_dir, of), WIKI)))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,7 +113,7 @@ def field_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         return _table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("edits")).select("l_suppkey", fields.activity_tier(F.col("edits")).alias("tier"), fields.round1(F.col("edits") / 8).alias("rounded"))
 
     def labels(spark, d):
-        return _table(spark, d, "nation").select("n_nationkey", fields.namespace_label(F.col("n_nationkey") - 3).alias("label"), fields.title_user(F.concat(F.lit("User:"), "n_name")).alias("title"))
+        return _table(spark, d, "nation").select("n_nationkey", fields.namespace_label(F.col("n_nationkey") - 3).alias("label"), fields.namespace_label(F.when(F.col("n_nationkey") < 20, F.col("n_nationkey") * 100 + F.col("n_nationkey") % 2)).alias("far"), filters.short_number(F.col("n_nationkey") * F.col("n_nationkey") * 977).alias("short"), fields.title_user(F.concat(F.lit("User:"), "n_name")).alias("title"))
 
     def params(spark, d):
         legacy = F.concat_ws("\n", F.col("o_orderkey").cast("string"), (F.col("o_orderkey") - 1).cast("string"), F.lit("1"))
@@ -108,9 +129,9 @@ FIELD_ORACLES = {
     "B21_B24_timestamps": "SELECT o_orderkey, CAST(o_orderdate AS VARCHAR) AS normal, CAST(epoch(o_orderdate) AS BIGINT) AS epoch, CAST(year(o_orderdate) AS INT) AS year, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INT) AS month_key, CAST(year(o_orderdate - INTERVAL 13 MONTHS) * 100 + month(date_trunc('month', o_orderdate) - INTERVAL 13 MONTHS) AS INT) AS shifted FROM orders",
     "B14_B19_periods": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS month, year(o_orderdate) || '-Q' || quarter(o_orderdate) AS quarter, CAST(year(o_orderdate) AS VARCHAR) AS year, CAST(CAST(date_trunc('week', o_orderdate) AS DATE) AS VARCHAR) AS week, TRUE AS valid FROM orders",
     "B12_B30_tiers": "SELECT l_suppkey, CASE WHEN count(*) = 1 THEN '1 edit' WHEN count(*) < 5 THEN '2-4 edits' WHEN count(*) < 25 THEN '5-24 edits' WHEN count(*) < 100 THEN '25-99 edits' ELSE '100+ edits' END AS tier, round(count(*) / 8e0 * 10) / 10 AS rounded FROM lineitem GROUP BY l_suppkey",
-    "B28_B31_labels": "SELECT n_nationkey, CASE n_nationkey - 3 WHEN -2 THEN 'Media' WHEN -1 THEN 'Special' WHEN 0 THEN 'Article' WHEN 1 THEN 'Talk' WHEN 2 THEN 'User' WHEN 3 THEN 'User talk' WHEN 4 THEN 'Project' WHEN 5 THEN 'Project talk' WHEN 6 THEN 'File' WHEN 7 THEN 'File talk' WHEN 8 THEN 'MediaWiki' WHEN 9 THEN 'MediaWiki talk' WHEN 10 THEN 'Template' WHEN 11 THEN 'Template talk' WHEN 12 THEN 'Help' WHEN 13 THEN 'Help talk' WHEN 14 THEN 'Category' WHEN 15 THEN 'Category talk' ELSE 'ns ' || (n_nationkey - 3) END AS label, n_name AS title FROM nation",
+    "B28_B31_labels": f"SELECT n_nationkey, {oracles.label('n_nationkey - 3')} AS label, {oracles.label('CASE WHEN n_nationkey < 20 THEN n_nationkey * 100 + n_nationkey % 2 END')} AS far, n_name AS title, {oracles.SHORT.format('(n_nationkey * n_nationkey * 977)')} AS short FROM nation",
     "B25_patrol_params": "SELECT o_orderkey, o_orderkey AS current_revision_id, o_orderkey - 1 AS prev_revision_id, TRUE AS is_auto FROM orders",
     "S1_weekly_events": "SELECT CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS week_start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
 }
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**field_queries(), **{k: _query(v) for k, v in METRICS.items()}, **{k: _query(k) for k in SERVING}}
-ORACLES: dict[str, str] = {**FIELD_ORACLES, **{k: with_ctes(v, "duckdb") for k, v in METRICS.items()}, **{k: with_ctes(k, "duckdb") for k in SERVING}}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**field_queries(), **{k: _query(v) for k, v in METRICS.items()}, **{k: _served(k) for k in SERVING}}
+ORACLES: dict[str, str] = {**FIELD_ORACLES, **{k: oracles.sql(v) for k, v in METRICS.items()}, **{k: oracles.sql(k) for k in SERVING}}
