@@ -4,7 +4,7 @@ A block is some megabytes of rows, packed once and written to the checkpoint fol
 knowledge about keys (substrings, words) asks for it block by block: a block sends each bucket of keys one compressed
 message on its distinct keys, a bucket answers each block, and the answers meet the blocks again. So what is shuffled
 is aggregated by block first; a key that stands in a third of all rows is one entry for each block, and no task
-gathers a key's rows. Blocks and answers are found again by the block's number.
+gathers a key's rows. Blocks and answers are written dealt by the block's number, so that they meet without another shuffle.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from meridia.llm.common import checkpointed, shuffle_partitions
 #: Text bytes of a block; a longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
 BUCKETS_PER_PARTITION = 4
+#: Partitions that blocks are dealt to, for each shuffle partition: few blocks each, so that tasks are even.
+DEALT_PER_PARTITION = 4
 
 
 def pack(arrays: list[np.ndarray]) -> bytes:
@@ -57,8 +59,24 @@ def unpack_rows(blob: bytes) -> pa.Table:
     return pa.ipc.open_stream(blob).read_all()
 
 
-def to_blocks(rows: DataFrame, text: str, order: str) -> DataFrame:
-    """(block long, payload binary): the rows of ``rows``, by the long column ``order`` within a block, checkpointed."""
+def settled(df: DataFrame) -> DataFrame:
+    """Checkpointed, dealt by ``block``. Spark keeps note of that only where the plan is not adaptive, so it isn't for this one write."""
+    conf, key = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    was = conf.get(key)
+    conf.set(key, "false")
+    try:
+        return checkpointed(df.repartition(DEALT_PER_PARTITION * shuffle_partitions(df.sparkSession), "block"))
+    finally:
+        conf.set(key, was)
+
+
+def narrow(a: np.ndarray) -> np.ndarray:
+    """Whole numbers from zero in the least type that holds them."""
+    return a.astype(np.min_scalar_type(int(a.max())) if len(a) else np.uint8)
+
+
+def to_blocks(rows: DataFrame, text: str, order: str, encode: Callable[[pa.Table], bytes] = pack_rows) -> DataFrame:
+    """(block long, payload binary): the rows of ``rows``, by the long column ``order`` within a block, encoded and settled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, k = TaskContext.get().partitionId() << 32, 0
@@ -68,7 +86,7 @@ def to_blocks(rows: DataFrame, text: str, order: str) -> DataFrame:
         def out():
             table = pa.Table.from_batches(held)
             table = table.take(pa.compute.sort_indices(table[order], null_placement="at_end"))
-            return pa.RecordBatch.from_arrays([pa.array([first + k], pa.int64()), pa.array([pack_rows(table)], pa.binary())], names=["block", "payload"])
+            return pa.RecordBatch.from_arrays([pa.array([first + k], pa.int64()), pa.array([encode(table)], pa.binary())], names=["block", "payload"])
 
         for batch in batches:
             lengths = pa.compute.fill_null(pa.compute.binary_length(batch[text]), 0).to_numpy()
@@ -84,7 +102,7 @@ def to_blocks(rows: DataFrame, text: str, order: str) -> DataFrame:
         if held:
             yield out()
 
-    return checkpointed(rows.mapInArrow(run, "block long, payload binary"))
+    return settled(rows.mapInArrow(run, "block long, payload binary"))
 
 
 def bucket_count(blocks: DataFrame) -> int:
@@ -92,12 +110,12 @@ def bucket_count(blocks: DataFrame) -> int:
     return BUCKETS_PER_PARTITION * shuffle_partitions(blocks.sparkSession)
 
 
-def ask(blocks: DataFrame, question: Callable[[pa.Table, list[bytes]], Iterator[tuple[int, bytes]]], answers: DataFrame | None = None) -> DataFrame:
-    """(bucket int, block long, message binary) from every block. ``answers``: messages to blocks, handed to ``question``."""
+def ask(blocks: DataFrame, question: Callable[[bytes, list[bytes]], Iterator[tuple[int, bytes]]], answers: DataFrame | None = None) -> DataFrame:
+    """(bucket int, block long, message binary) from every block's payload. ``answers``: messages to blocks, handed to ``question``."""
     schema = "bucket int, block long, message binary"
 
     def told(block: int, payload: bytes, messages: list[bytes]) -> pa.Table:
-        found = list(question(unpack_rows(payload), messages))
+        found = list(question(payload, messages))
         return pa.table([pa.array([b for b, _ in found], pa.int32()), pa.array([block] * len(found), pa.int64()), pa.array([m for _, m in found], pa.binary())], names=["bucket", "block", "message"])
 
     if answers is None:
@@ -115,20 +133,20 @@ def ask(blocks: DataFrame, question: Callable[[pa.Table, list[bytes]], Iterator[
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, schema)
 
 
-def answer(questions: DataFrame, reply: Callable[[list[int], list[bytes]], Iterator[tuple[int, bytes]]]) -> DataFrame:
-    """(block long, message binary): what each bucket, given all messages to it, replies to blocks; checkpointed."""
+def answer(questions: DataFrame, reply: Callable[[int, list[int], list[bytes]], Iterator[tuple[int, bytes]]]) -> DataFrame:
+    """(block long, message binary): what each bucket, given all messages to it, replies to blocks; settled."""
 
     def run(group: pa.Table) -> pa.Table:
-        found = list(reply(group["block"].to_pylist(), group["message"].to_pylist()))
+        found = list(reply(group["bucket"][0].as_py(), group["block"].to_pylist(), group["message"].to_pylist()))
         return pa.table([pa.array([b for b, _ in found], pa.int64()), pa.array([m for _, m in found], pa.binary())], names=["block", "message"])
 
-    return checkpointed(questions.groupBy("bucket").applyInArrow(run, "block long, message binary"))
+    return settled(questions.groupBy("bucket").applyInArrow(run, "block long, message binary"))
 
 
-def finish(blocks: DataFrame, answers: DataFrame, last: Callable[[pa.Table, list[bytes]], pa.Table], schema) -> DataFrame:
-    """Rows that each block makes of its own rows and all messages to it."""
+def finish(blocks: DataFrame, answers: DataFrame, last: Callable[[bytes, list[bytes]], pa.Table], schema) -> DataFrame:
+    """Rows that each block makes of its payload and all messages to it."""
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        return last(unpack_rows(left["payload"][0].as_py()), right["message"].to_pylist())
+        return last(left["payload"][0].as_py(), right["message"].to_pylist())
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, schema)

@@ -13,8 +13,10 @@ proposes a spanning forest of its candidates, nearest first. If all of a unit's
 is connected, and the unit is done. A unit with refuted proposals proposes again, without those, between the components
 found so far; after ``ROUNDS`` rounds it proposes all candidates that are left. So no candidate goes undecided.
 
-Scale. Rows with equal sets are one entry. Units hold at most two blocks of entries (``simhash.BLOCK``). Candidates carry
-ids; the sets are joined to distinct proposals alone. A key has 24 bits, so a list of unrelated rows has one in 2 ** 24.
+Scale. Rows with equal sets are one entry. Entries send each triple one compressed message for many of them, and of a
+triple's lists (split by key where there are many entries) only those of two or more entries come back. Units hold at most
+two blocks of entries (``simhash.BLOCK``). Candidates carry ids; texts, compressed, are joined to distinct proposals alone.
+A key has 24 bits, so a list of unrelated rows has one in 2 ** 24.
 """
 
 from __future__ import annotations
@@ -23,10 +25,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from meridia.llm.blocks import narrow, pack, unpack
 from meridia.llm.common import checkpointed, shuffle_partitions, utf8
 from meridia.llm.components import components
 from meridia.llm.simhash import bit_counts, further, grouped_batches, shared_bytes, shingle_hashes, units
@@ -43,6 +48,10 @@ LEAST_SHARED = 7
 ROUNDS = 3
 #: Up to this size the candidates of a list are looked at together with those of other lists.
 SMALL = 16
+#: Entries whose keys under one triple stand in one task.
+ENTRIES = 1 << 22
+#: Sets that a task keeps while it verifies.
+HELD = 64
 SEED = 5
 COLUMNS = [f"f{k}" for k in range(WORDS)]
 
@@ -74,36 +83,62 @@ def fingerprint(grams: np.ndarray) -> np.ndarray:
 
 
 def sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(id, sum, n, f0 .., grams): a row for each row; sum is a hash of the text, n the size of the set, grams its hashes."""
+    """(id, sum, same, n, f0 ..): a row for each row; sum is a hash of the text, same one of its set, n the set's size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [shingle_set(t.as_py(), width) for t in batch.column(2)]
             prints = np.array([fingerprint(g) for g in made], np.uint64).reshape(-1, WORDS).view(np.int64)
-            n, flat = pa.array([len(g) for g in made], pa.int32()), pa.array([g.tobytes() for g in made], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], n, *(pa.array(prints[:, k]) for k in range(WORDS)), flat], names=["id", "sum", "n", *COLUMNS, "grams"])
+            n, same = pa.array([len(g) for g in made], pa.int32()), pa.array(np.array([xxhash.xxh64_intdigest(g) for g in made], np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], same, n, *(pa.array(prints[:, k]) for k in range(WORDS))], names=["id", "sum", "same", "n", *COLUMNS])
 
-    schema = "id long, sum long, n int, " + ", ".join(f"{c} long" for c in COLUMNS) + ", grams binary"
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("sum"), utf8(text_col).alias("text"))
-    return rows.mapInArrow(run, schema)
+    schema = "id long, sum long, same long, n int, " + ", ".join(f"{c} long" for c in COLUMNS)
+    return keyed(docs, id_col, text_col).mapInArrow(run, schema)
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("sum"), utf8(text_col).alias("text"))
 
 
 def postings(entries: DataFrame) -> DataFrame:
-    """(key, node): each entry under each triple of its positional bytes. A key is the triple's number, then the bytes."""
-    chosen = triples()
+    """(key, node): each entry under each triple of its positional bytes, where another entry stands too.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A key is the triple's number, then the bytes. ``node`` counts up from entry to entry, for the most part.
+    """
+    chosen, total = triples(), entries.count()
+    split = max(0, int(np.ceil(np.log2(max(1, total) / ENTRIES))))  # by so many high bits of the bytes
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node = batch.column(0).to_numpy()
-            prints = np.stack([batch.column(k + 1).to_numpy() for k in range(WORDS)], axis=1)
-            for at in range(0, len(node), 1 << 10):
-                own = np.ascontiguousarray(prints[at : at + (1 << 10)]).view(np.uint8).astype(np.int64)
-                key = np.arange(GROUPS) << 24
-                for k in range(3):
-                    key = key + (own[:, chosen[:, k]] << (8 * k))
-                yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.repeat(node[at : at + (1 << 10)], GROUPS))], names=["key", "node"])
-
-    return entries.select("node", *COLUMNS).mapInArrow(run, "key long, node long")
+            own = np.stack([batch.column(k + 1).to_numpy() for k in range(WORDS)], axis=1).view(np.uint8).astype(np.int64)
+            base = int(node.min()) if len(node) else 0
+            buckets, messages = [], []
+            for g, t in enumerate(chosen):
+                key = own[:, t[0]] | own[:, t[1]] << 8 | own[:, t[2]] << 16
+                order = np.argsort(key, kind="stable")
+                part = key[order] >> (24 - split)
+                cuts = np.nonzero(np.append(True, part[1:] != part[:-1]))[0].tolist() if len(part) else []
+                for lo, hi in zip(cuts, [*cuts[1:], len(part)]):
+                    buckets.append(g << split | int(part[lo]))
+                    messages.append(pack([narrow(np.diff(key[order[lo:hi]], prepend=0)), narrow(node[order[lo:hi]] - base), np.array([base])]))
+            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(messages, pa.binary())], names=["bucket", "message"])
+
+    def meet(group: pa.Table) -> pa.Table:
+        keys, nodes = [], []
+        for m in group["message"]:
+            rises, places, base = unpack(m.as_py())
+            keys.append(np.cumsum(rises, dtype=np.int64))
+            nodes.append(places.astype(np.int64) + base[0])
+        key, node = np.concatenate(keys), np.concatenate(nodes)
+        order = np.argsort(key, kind="stable")
+        key, node = key[order], node[order]
+        equal = key[1:] == key[:-1]
+        several = np.append(equal, False) | np.append(False, equal)
+        return pa.table([pa.array(((group["bucket"][0].as_py() >> split) << 24) + key[several]), pa.array(node[several])], names=["key", "node"])
+
+    sent = entries.select("node", *COLUMNS).mapInArrow(post, "bucket int, message binary")
+    return sent.groupBy("bucket").applyInArrow(meet, "key long, node long")
 
 
 class Unit:
@@ -248,49 +283,65 @@ def proposals(dealt: DataFrame, whole: bool, parts: int) -> DataFrame:
     return ordered.mapInArrow(grouped_batches(solve, ["key", "i", "j"]), "key long, i int, j int, u long, v long")
 
 
-def verify(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """(u, v, ok): whether the sets of each pair reach the similarity; exactly, from the sets."""
+def verify(pairs: DataFrame, entries: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(u, v, ok): whether the sets of each pair reach the similarity; exactly, from the texts of ``docs`` (id, sum, text)."""
     ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    grams = checkpointed(found.select("node", "grams").join(ends, "node", "left_semi").groupBy("node").agg(F.first("grams").alias("grams")))
+    wanted = entries.join(ends, "node", "left_semi").select("node", F.col("least.id").alias("id"), F.col("least.sum").alias("sum"))
+
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            z = zstandard.ZstdCompressor(level=3)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([z.compress(t.as_py()) for t in batch.column(1)], pa.binary())], names=["node", "z"])
+
+    found = docs.join(wanted, docs["id"].eqNullSafe(wanted["id"]) & (docs["sum"] == wanted["sum"])).select("node", "text").mapInArrow(squeeze, "node long, z binary")
+    texts = checkpointed(found.groupBy("node").agg(F.first("z").alias("z")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unzip = zstandard.ZstdDecompressor()
+        held: dict[int, np.ndarray] = {}
+
+        def grams(node: int, z: pa.Scalar) -> np.ndarray:
+            if node not in held:
+                if len(held) >= HELD:
+                    held.clear()
+                held[node] = shingle_set(unzip.decompress(z.as_py()), width)
+            return held[node]
+
         for batch in batches:
             ok = []
-            for a, b in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(c.as_buffer(), np.uint64) for c in (a, b))
+            for u, v, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                x, y = grams(u, a), grams(v, b)
                 both = np.sort(np.concatenate([x, y]), kind="stable")
                 same = int((both[1:] == both[:-1]).sum())
                 ok.append(SIMILARITY[1] * same >= SIMILARITY[0] * (len(x) + len(y) - same))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], names=["u", "v", "ok"])
 
-    left, right = (grams.select(F.col("node").alias(c), F.col("grams").alias(f"g_{c}")) for c in ("u", "v"))
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "g_u", "g_v").mapInArrow(run, "u long, v long, ok boolean")
+    left, right = (texts.select(F.col("node").alias(c), F.col("z").alias(f"z_{c}")) for c in ("u", "v"))
+    return pairs.join(left, "u").join(right, "v").select("u", "v", "z_u", "z_v").mapInArrow(run, "u long, v long, ok boolean")
 
 
-def links(entries: DataFrame, found: DataFrame) -> DataFrame:
+def links(entries: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """(u, v): verified links that connect what all verified candidates connect."""
     parts = shuffle_partitions(entries.sparkSession)
-    dealt = checkpointed(units(postings(entries)).select("key", "i", "j", "node"))
-    state = entries.withColumn("root", F.col("node")).withColumn("refuted", F.lit(None).cast("array<long>"))
+    prints = entries.select("node", "n", *COLUMNS)
+    dealt = checkpointed(units(checkpointed(postings(entries))).select("key", "i", "j", "node"))
+    state = prints.withColumn("root", F.col("node")).withColumn("refuted", F.lit(None).cast("array<long>"))
     decided: DataFrame | None = None
     for round_ in range(ROUNDS + 1):
         proposed = checkpointed(proposals(dealt.join(state, "node"), round_ == ROUNDS, parts))
-        fresh = proposed.select("u", "v").distinct()
-        verdicts = checkpointed(verify(fresh, found))
+        verdicts = checkpointed(verify(proposed.select("u", "v").distinct(), entries, docs, width))
         decided = verdicts if decided is None else decided.unionByName(verdicts)
         if round_ == ROUNDS:
             break
-        no = verdicts.where("NOT ok")
-        again = checkpointed(proposed.join(no, ["u", "v"], "left_semi").select("key", "i", "j").distinct())
+        again = checkpointed(proposed.join(verdicts.where("NOT ok"), ["u", "v"], "left_semi").select("key", "i", "j").distinct())
         if not again.limit(1).count():
             break
         dealt = checkpointed(dealt.join(again, ["key", "i", "j"], "left_semi"))
         member = components(decided.where("ok").select("u", "v"))
         # entries of units that go on, with their components and what was refuted for them
-        lost = decided.where("NOT ok").select("u", "v", F.expr("true").alias("r"))
-        lost = lost.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("other")), F.struct(F.col("v").alias("node"), F.col("u").alias("other")))).alias("x")).select("x.*")
+        lost = decided.where("NOT ok").select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("other")), F.struct(F.col("v").alias("node"), F.col("u").alias("other")))).alias("x")).select("x.*")
         names = named(lost).groupBy("node").agg(F.collect_set("name").alias("refuted"))
-        state = checkpointed(entries.join(dealt.select("node").distinct(), "node", "left_semi").join(member, "node", "left").withColumn("root", F.coalesce("root", "node")).join(names, "node", "left"))
+        state = checkpointed(prints.join(dealt.select("node").distinct(), "node", "left_semi").join(member, "node", "left").withColumn("root", F.coalesce("root", "node")).join(names, "node", "left"))
     return decided.where("ok").select("u", "v")
 
 
@@ -311,10 +362,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shingles and are duplicates of each other, of nothing else. Rows equal in id and text are one. A null id stands after
     all others. No rows give no rows. All columns stay, of any name; only the two named are read.
     """
-    found = checkpointed(sets(docs, id_col, text_col, width).withColumn("node", F.xxhash64("grams")))
+    found = sets(docs, id_col, text_col, width)
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "sum")).alias("least")
-    entries = checkpointed(found.groupBy("node").agg(first, *[F.first(c).alias(c) for c in ("n", *COLUMNS)]))
-    member = components(links(entries.select("node", "n", *COLUMNS), found))
+    entries = checkpointed(found.groupBy("same").agg(first, *[F.first(c).alias(c) for c in ("n", *COLUMNS)]).withColumn("node", F.monotonically_increasing_id()))
+    member = components(links(entries, keyed(docs, id_col, text_col), width))
     rooted = entries.select("node", "least").join(member, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.id").alias("kept_id"), F.col("least.sum").alias("kept_sum"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("sum"))

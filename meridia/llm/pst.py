@@ -16,7 +16,7 @@ Both minima are counts, so the tree grows with the corpus; levels are added unti
 Scale. Nothing is broadcast and no whole tree stands anywhere. Words and contexts live in buckets. For each level a block
 sends its contexts, next symbols, counts and the parents' predictions (which it has from the levels before; those of the
 root follow from a symbol's count, which goes once); the bucket has a context's whole counts, judges it, and answers what
-the block asked: counts up to 255, and the whole counts of kept symbols. Contexts that a bound shows to be under
+the block asked: counts up to 63, and the whole counts of kept symbols. Contexts that a bound shows to be under
 ``DIVERGENCE`` are not sent. A context's entries are aggregated by block and meet in one bucket. Contexts of two symbols and more are told apart by hashes of 64 bits. All counts are over the whole corpus.
 """
 
@@ -33,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridia.llm.blocks import answer, ask, bucket_count, finish, pack, pack_rows, to_blocks, unpack, unpack_rows
-from meridia.llm.common import checkpointed, table, words
+from meridia.llm.blocks import answer, ask, bucket_count, finish, narrow, pack, pack_rows, to_blocks, unpack, unpack_rows
+from meridia.llm.common import table, words
 
 #: Counts, whatever the size of the corpus.
 MIN_CONTEXT = 5
@@ -43,7 +43,7 @@ DIVERGENCE = 20.0
 SURPRISE = 10.0
 PRIOR = 10.0
 #: Counts of symbols that are not kept serve as bounds only, and are told up to here.
-MOST_TOLD = 255
+MOST_TOLD = 63
 #: No word: it holds white space.
 END = b"\n"
 
@@ -59,29 +59,42 @@ def contents(rows: pa.Table) -> Iterator[tuple[bool, Iterator[list[bytes]]]]:
         yield held, parts(text.as_py())
 
 
+def encode(rows: pa.Table) -> bytes:
+    """A block's rows with their texts as numbers of the block's own words: of each row id and held; packed, sizes, symbols and words."""
+    number: dict[bytes, int] = {}
+    ids, sizes = [], []
+    for _, parts in contents(rows):
+        n = 0
+        for part in parts:
+            for w in part:
+                if w not in number:
+                    number[w] = len(number)
+            ids.append(np.fromiter(map(number.__getitem__, part), np.int64, len(part)))
+            n += len(part)
+        sizes.append(n)
+    symbol = np.concatenate(ids) if ids else np.empty(0, np.int64)
+    order = np.argsort(-np.bincount(symbol, minlength=len(number)), kind="stable")  # frequent words have small numbers
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    own = list(number)
+    own = [own[k] for k in order.tolist()]
+    lengths = np.array([len(w) for w in own], np.int64)
+    packed = pack([narrow(np.array(sizes, np.int64)), narrow(rank[symbol]), narrow(lengths), np.frombuffer(b"".join(own), np.uint8)])
+    return pack_rows(rows.select(["id", "held"]).replace_schema_metadata({b"packed": packed}))
+
+
 class Local:
-    """A block's own words, in order of first sight, and its rows as numbers of them."""
-
-    def __init__(self, rows: pa.Table):
-        number: dict[bytes, int] = {}
-        ids, sizes = [], []
-        for _, parts in contents(rows):
-            n = 0
-            for part in parts:
-                for w in part:
-                    if w not in number:
-                        number[w] = len(number)
-                ids.append(np.fromiter(map(number.__getitem__, part), np.int32, len(part)))
-                n += len(part)
-            sizes.append(n)
-        self.words = list(number)
-        self.ids = np.concatenate(ids) if ids else np.empty(0, np.int32)
-        self.sizes = np.array(sizes, np.int64)
-        self.held = np.array(rows["held"].to_pylist(), bool)
+    """A block's words, and its rows as numbers of them."""
+
+    def __init__(self, payload: bytes):
+        self.rows = unpack_rows(payload)
+        sizes, symbol, lengths, flat = unpack(self.rows.schema.metadata[b"packed"])
+        self.sizes, self.symbol = sizes.astype(np.int64), symbol.astype(np.int64)
+        data, ends = flat.tobytes(), np.cumsum(lengths, dtype=np.int64).tolist()
+        self.words = [data[a:b] for a, b in zip([0, *ends], ends)]
+        self.held = np.array(self.rows["held"].to_pylist(), bool)
         self.first = np.cumsum(self.sizes) - self.sizes
-
-    def train(self) -> np.ndarray:
-        return np.repeat(~self.held, self.sizes)
+        self.train = np.repeat(~self.held, self.sizes)
 
     def by_bucket(self, n: int) -> Iterator[tuple[int, np.ndarray]]:
         b = np.fromiter((zlib.crc32(w) for w in self.words), np.int64, len(self.words)) % n
@@ -92,18 +105,18 @@ class Local:
 
 
 def _count_words(n: int):
-    def question(rows: pa.Table, _) -> Iterator[tuple[int, bytes]]:
-        local = Local(rows)
-        counts = np.bincount(local.ids[local.train()], minlength=len(local.words)).astype(np.int64)
+    def question(payload: bytes, _) -> Iterator[tuple[int, bytes]]:
+        local = Local(payload)
+        counts = np.bincount(local.symbol[local.train], minlength=len(local.words)).astype(np.int64)
         for b, at in local.by_bucket(n):
             mine = [local.words[k] for k in at.tolist()]
-            yield b, pack([counts[at], np.array([len(w) for w in mine], np.int64), np.frombuffer(b"".join(mine), np.uint8)])
+            yield b, pack([narrow(counts[at]), narrow(np.array([len(w) for w in mine], np.int64)), np.frombuffer(b"".join(mine), np.uint8)])
 
     return question
 
 
-def _total_words(n: int):
-    def reply(blocks: list[int], messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
+def _total_words():
+    def reply(bucket: int, blocks: list[int], messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
         """To each block the counts and numbers of its words, in all blocks the same; to block -1 the bucket's totals."""
         total: Counter[bytes] = Counter()
         asked = []
@@ -116,31 +129,14 @@ def _total_words(n: int):
             asked.append(own)
             for w, c in zip(own, counts.tolist()):
                 total[w] += c
-        bucket = zlib.crc32(asked[0][0]) % n if asked and asked[0] else 0
-        number = {w: k * n + bucket for k, w in enumerate(sorted(total, key=lambda w: (-total[w], w)))}
+        number = {w: k for k, w in enumerate(sorted(total, key=lambda w: (-total[w], w)))}
         for block, own in zip(blocks, asked):
-            yield block, struct.pack("<I", bucket) + pack([np.array([total[w] for w in own], np.int64), np.array([number[w] for w in own], np.int64)])
+            yield block, struct.pack("<II", 0, bucket) + pack([narrow(np.array([total[w] for w in own], np.int64)), narrow(np.array([number[w] for w in own], np.int64))])
         yield -1, struct.pack("<qq", sum(total.values()), sum(c > 0 for c in total.values()))
 
     return reply
 
 
-def _number(blocks: DataFrame, counted: DataFrame, n: int) -> DataFrame:
-    """The blocks with numbers in place of texts: of each row id and held; packed, words' numbers, counts, sizes and places."""
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = unpack_rows(left["payload"][0].as_py())
-        local = Local(rows)
-        counts, number = np.zeros(len(local.words), np.int64), np.zeros(len(local.words), np.int64)
-        told = {struct.unpack("<I", m[:4])[0]: unpack(m[4:]) for m in right["message"].to_pylist()}
-        for b, at in local.by_bucket(n):
-            counts[at], number[at] = told[b]
-        made = rows.select(["id", "held"]).replace_schema_metadata({b"packed": pack([number, counts, local.sizes, local.ids])})
-        return pa.table([left["block"].slice(0, 1), pa.array([pack_rows(made)], pa.binary())], names=["block", "payload"])
-
-    return checkpointed(blocks.groupBy("block").cogroup(counted.where("block >= 0").groupBy("block")).applyInArrow(meet, "block long, payload binary"))
-
-
 def _mix(name: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     """Names of contexts: a parent's name and one more symbol before it; a context of one symbol has that symbol's number."""
     with np.errstate(over="ignore"):
@@ -194,21 +190,26 @@ class Tree:
         return (self.count[symbol] + 1.0) / (self.total + self.kinds + 1.0)
 
 
-def narrow(a: np.ndarray) -> np.ndarray:
-    """Whole numbers from zero in the least type that holds them."""
-    return a.astype(np.min_scalar_type(int(a.max())) if len(a) else np.uint8)
+def rises(a: np.ndarray) -> np.ndarray:
+    """Ascending numbers as differences."""
+    return np.diff(a, prepend=a[:1] * 0) if len(a) else a
 
 
 class Part:
-    """A block of numbers, and how far its places have come down the tree."""
+    """A block, and how far its places have come down the tree."""
 
-    def __init__(self, rows: pa.Table, total: int, kinds: int, n: int, messages: list[bytes]):
-        self.number, counts, self.sizes, self.symbol = unpack(rows.schema.metadata[b"packed"])
-        self.held = np.array(rows["held"].to_pylist(), bool)
-        self.first = np.cumsum(self.sizes) - self.sizes
-        self.train = np.repeat(~self.held, self.sizes)
+    def __init__(self, payload: bytes, total: int, kinds: int, n: int, messages: list[bytes]):
+        local = Local(payload)
+        self.rows, self.sizes, self.symbol, self.held, self.first, self.train, self.n = local.rows, local.sizes, local.symbol, local.held, local.first, local.train, n
+        told: dict[int, dict[int, list[np.ndarray]]] = {}
+        for m in messages:
+            level, bucket = struct.unpack("<II", m[:8])
+            told.setdefault(level, {})[bucket] = unpack(m[8:])
+        counts, self.number = np.zeros(len(local.words), np.int64), np.zeros(len(local.words), np.int64)
+        for b, at in local.by_bucket(n):
+            counts[at], number = told[0][b]
+            self.number[at] = number.astype(np.int64) * n + b
         self.tree = Tree(self.number, counts, total, kinds)
-        self.n = n
         self.known = counts[self.symbol]
         self.base = self.p = self.tree.root(self.symbol)
         self.place = np.arange(len(self.symbol)) - np.repeat(self.first, self.sizes)  # within its row
@@ -216,11 +217,8 @@ class Part:
         self.seen = self.known
         self.at, self.node = np.arange(len(self.symbol)), np.zeros(len(self.symbol), np.int64)
         self.name = np.zeros(1, np.uint64)
-        self.have = np.array([total + kinds + 1.0])  # of a node, what its shares are of
-        told: dict[int, dict[int, list[np.ndarray]]] = {}
-        for m in messages:
-            level, bucket = struct.unpack("<II", m[:8])
-            told.setdefault(level, {})[bucket] = unpack(m[8:])
+        #: of a node: what its shares are of, its commonest kept symbol's count, and the count of all else
+        self.have, self.top, self.rest = np.array([total + kinds + 1.0]), np.zeros(1), np.array([total + 0.0])
         for level in range(1, max(told, default=0) + 1):
             self.down(told.get(level, {}))
 
@@ -228,10 +226,11 @@ class Part:
         """Contexts of the next level, by bucket: their keys and names, cuts of their pairs, and of each pair the symbol (that of none: the others)."""
         k, depth = np.int64(len(self.number)), len(self.tree.keys) + 1
         ok = self.place[self.at] >= depth
-        seen, have = self.seen[self.at[ok] - 1], self.have[self.node[ok]]
-        # a symbol's parent predicts at least c(s, x) / have, so a context's divergence is at most c(s) ln(have / c(s))
-        most = np.maximum(np.minimum(seen, have / np.e), 1e-9)
-        ok[ok] = (seen >= MIN_CONTEXT) & (most * np.log(have / most) >= DIVERGENCE - 1e-6)
+        seen, of = self.seen[self.at[ok] - 1], self.node[ok]
+        # symbols of a context stand after its parent at least as often, so they share at most the rest there, each c(s, x) of have
+        have, some = self.have[of], np.maximum(np.minimum(seen, np.minimum(self.rest[of], self.have[of] / np.e)), 1e-9)
+        most = some * np.log(have / some) + seen * np.log(have / np.maximum(self.top[of], 1e-9)) * (self.top[of] > 0)
+        ok[ok] = (seen >= MIN_CONTEXT) & (most >= DIVERGENCE - 1e-6)
         at, node = self.at[ok], self.node[ok]
         keys, context = np.unique(node * k + self.symbol[at - depth], return_inverse=True)
         names = _mix(self.name[keys // max(k, 1)], self.number[keys % max(k, 1)])
@@ -252,16 +251,17 @@ class Part:
         if deep:
             parent[pair] = self.p[at]
             parent[(counts == 0) | (symbol == k)] = 0  # not asked for
-        x, own = np.append(self.number + 1, 0), np.append(self.tree.count, 0)
         cuts = np.nonzero(np.append(True, bucket[1:] != bucket[:-1]))[0].tolist() if len(bucket) else []
+        by_number = np.argsort(self.number)
+        spot = np.empty(k + 1, np.int64)
+        spot[by_number], spot[k] = np.arange(k), k
         for lo, hi in zip(cuts, [*cuts[1:], len(bucket)]):
             a, b = np.searchsorted(context, [lo, hi])
-            if deep:
-                next_, extra = x[symbol[a:b]], parent[a:b]
-            else:  # symbols by their places in a list of them with their counts
-                used, next_ = np.unique(symbol[a:b], return_inverse=True)
-                extra = np.stack([x[used], own[used]]).ravel()
-            yield int(bucket[lo]), pack([names[lo:hi], narrow(np.bincount(context[a:b] - lo, minlength=hi - lo)), narrow(next_), narrow(counts[a:b]), extra])
+            used, next_ = np.unique(spot[symbol[a:b]], return_inverse=True)  # symbols by their places in a list
+            others = len(used) > 0 and used[-1] == k
+            used = by_number[used[: len(used) - others]]
+            parent_ = parent[a:b] if deep else narrow(self.tree.count[used])
+            yield int(bucket[lo]), pack([narrow(rises(names[lo:hi] // np.uint64(self.n))), narrow(np.bincount(context[a:b] - lo, minlength=hi - lo)), narrow(rises(self.number[used])), narrow(next_), narrow(counts[a:b]), parent_])
 
     def down(self, told: dict[int, list[np.ndarray]]) -> None:
         """Take what the buckets answered, and go down a level."""
@@ -269,9 +269,9 @@ class Part:
         at, keys, names, bucket, context, symbol, pair = self.asked()
         own_buckets = np.unique(bucket)
         parts = [told[b] for b in own_buckets.tolist()]
-        total, kept, count = (np.concatenate([p[j] for p in parts]).astype(np.int64) if parts else np.empty(0, np.int64) for j in range(3))
+        total, kept, count, top = (np.concatenate([p[j] for p in parts]).astype(np.int64) if parts else np.empty(0, np.int64) for j in (0, 1, 2, 5))
         begin = np.searchsorted(context, np.searchsorted(bucket, own_buckets)).tolist()
-        use, used = (np.concatenate(x).astype(np.int64) if parts else np.empty(0, np.int64) for x in ([p[3].astype(np.int64) + a for p, a in zip(parts, begin)], [p[4] for p in parts]))
+        use, used = (np.concatenate(x).astype(np.int64) if parts else np.empty(0, np.int64) for x in ([np.cumsum(p[3], dtype=np.int64) + a for p, a in zip(parts, begin)], [p[4] for p in parts]))
         good = np.nonzero(kept > 0)[0]
         good = good[np.argsort(keys[good])]
         number = np.full(len(keys), -1, np.int64)
@@ -283,7 +283,7 @@ class Part:
         self.tree.back.append((have[good] - kept[good]) / have[good])
         self.tree.pairs.append(own[order])
         self.tree.gain.append((used / have[context[use]])[order])
-        self.name, self.have = names[good], have[good]
+        self.name, self.have, self.top, self.rest = names[good], have[good], top[good] + 0.0, total[good] - top[good] + 0.0
         depth = len(self.tree.keys)
         ok = self.place[self.at] >= depth
         here, node = self.at[ok], self.node[ok]
@@ -295,17 +295,17 @@ class Part:
         self.seen = longer
 
 
-def _judge(level: int, n: int, whole: float):
+def _judge(level: int, whole: float):
     """A bucket's contexts of a level: whole counts, divergence from the parents, and the answers. ``whole``: what the root's shares are of."""
 
-    def reply(blocks: list[int], messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
+    def reply(bucket: int, blocks: list[int], messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
         parts = []
         for m in messages:
-            names, sizes, next_, counts, extra = unpack(m)
+            names, sizes, numbers, next_, counts, extra = unpack(m)
+            numbers = np.append(np.cumsum(numbers, dtype=np.int64), -1) + 1
             if level == 1:
-                numbers, often = extra.reshape(2, -1)
-                next_, extra = numbers[next_], ((often + 1.0) / whole)[next_]
-            parts.append((names, sizes.astype(np.int64), next_.astype(np.int64), counts.astype(np.int64), extra))
+                extra = np.append((extra + 1.0) / whole, 0.0)[next_]
+            parts.append((np.cumsum(names, dtype=np.uint64), sizes.astype(np.int64), numbers[next_], counts.astype(np.int64), extra))
         names, context = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         context = np.repeat(context, np.concatenate([p[1] for p in parts]))
         symbols, symbol = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
@@ -326,7 +326,9 @@ def _judge(level: int, n: int, whole: float):
         kept = np.where(node, np.bincount(of[use], weights=c, minlength=len(names)).astype(np.int64), 0)
         is_kept = np.zeros(len(pairs), bool)
         is_kept[use] = node[of[use]]
-        bucket = int(names[0] % np.uint64(n))
+        top = np.zeros(len(names), np.int64)
+        np.maximum.at(top, of[use], c)
+        top = np.where(node, top, 0)
         yield -1, struct.pack("<q", int(node.sum()))
         a = b = 0
         for block, p in zip(blocks, parts):
@@ -334,7 +336,7 @@ def _judge(level: int, n: int, whole: float):
             b = a + len(p[2])
             mine = pair[a:b]
             hit = np.nonzero(is_kept[mine])[0]
-            yield block, struct.pack("<II", level, bucket) + pack([narrow(total[own]), narrow(kept[own]), np.minimum(count[mine], MOST_TOLD).astype(np.uint8), narrow(hit), narrow(count[mine[hit]])])
+            yield block, struct.pack("<II", level, bucket) + pack([narrow(np.where(node[own], total[own], 0)), narrow(kept[own]), np.minimum(count[mine], MOST_TOLD).astype(np.uint8), narrow(rises(hit)), narrow(count[mine[hit]]), narrow(top[own])])
             a = b
 
     return reply
@@ -348,33 +350,30 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     no rows. Only the two named columns, and those in ``held``, are read.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"), held.alias("held"))
-    blocks = to_blocks(rows, "text", "id")
+    blocks = to_blocks(rows, "text", "id", encode)
     n = bucket_count(blocks)
-    counted = answer(ask(blocks, _count_words(n)), _total_words(n))
+    counted = answer(ask(blocks, _count_words(n)), _total_words())
     sums = [struct.unpack("<qq", bytes(r["message"])) for r in counted.where("block = -1").collect()]  # a row a bucket
     total, kinds = sum(s[0] for s in sums), sum(s[1] for s in sums)
-    blocks = _number(blocks, counted, n)
-    told, level = None, 0
+    told, level = counted.where("block >= 0"), 0
 
-    def question(rows: pa.Table, messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
-        return Part(rows, total, kinds, n, messages).question()
+    def question(payload: bytes, messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
+        return Part(payload, total, kinds, n, messages).question()
 
     while True:
         level += 1
-        judged = answer(ask(blocks, question, told), _judge(level, n, total + kinds + 1.0))
+        judged = answer(ask(blocks, question, told), _judge(level, total + kinds + 1.0))
         nodes = sum(struct.unpack("<q", bytes(r["message"]))[0] for r in judged.where("block = -1").collect())  # a row a bucket
         if not nodes:
             break
-        mine = judged.where("block >= 0")
-        told = mine if told is None else told.unionByName(mine)
+        told = told.unionByName(judged.where("block >= 0"))
 
-    def last(rows: pa.Table, messages: list[bytes]) -> pa.Table:
-        part = Part(rows, total, kinds, n, messages)
+    def last(payload: bytes, messages: list[bytes]) -> pa.Table:
+        part = Part(payload, total, kinds, n, messages)
         sums = [np.add.reduceat(x, part.first) if len(x) else np.empty(0, x.dtype) for x in ((part.known > 0).astype(np.int64), np.log10(part.base), np.log10(part.p))]
-        return pa.table([rows["id"], pa.array(part.held), pa.array(part.sizes), pa.array(sums[0]), pa.array(np.full(len(sums[0]), total, np.int64)), pa.array(sums[1]), pa.array(sums[2])], names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        return pa.table([part.rows["id"], pa.array(part.held), pa.array(part.sizes), pa.array(sums[0]), pa.array(np.full(len(sums[0]), total, np.int64)), pa.array(sums[1]), pa.array(sums[2])], names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    none = blocks.sparkSession.createDataFrame([], "block long, message binary")
-    return finish(blocks, none if told is None else told, last, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return finish(blocks, told, last, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op7_suffix_tree(spark, sf_dir: str) -> DataFrame:

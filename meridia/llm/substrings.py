@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meridia.llm.blocks import answer, ask, bucket_count, finish, pack, to_blocks, unpack
+from meridia.llm.blocks import answer, ask, bucket_count, finish, pack, to_blocks, unpack, unpack_rows
 from meridia.llm.common import table
 from meridia.llm.rindex import RunLengthIndex, words_at
 
@@ -147,7 +147,7 @@ def _told(messages: list[bytes], kind: int) -> list[list[np.ndarray]]:
     return [unpack(m[1:]) for m in messages if m[0] == kind]
 
 
-def _compare(blocks: list[int], messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
+def _compare(_: int, blocks: list[int], messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
     """A bucket's reply on segments: their smallest document, where another block has it; and whose bytes are needed."""
     parts = [unpack(m) for m in messages]
     of = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
@@ -234,16 +234,16 @@ def dedup_blocks(blocks: DataFrame, id_col: str, text_col: str, length: int, las
         raise ValueError("length: at least 16 bytes")
     n = bucket_count(blocks)
 
-    def distinct(rows: pa.Table, _) -> Iterator[tuple[int, bytes]]:
-        block = Block(rows, id_col, text_col, length)
+    def distinct(payload: bytes, _) -> Iterator[tuple[int, bytes]]:
+        block = Block(unpack_rows(payload), id_col, text_col, length)
         for b, s in block.buckets(n):
             yield b, pack([block.a[s], block.c[s], block.least[s], np.arange(s.start, s.stop, dtype=np.int32)])
 
-    def texts(rows: pa.Table, messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
+    def texts(payload: bytes, messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
         asked = [w for _, _, w in _told(messages, 0) if len(w)]
         if not asked:
             return
-        block = Block(rows, id_col, text_col, length)
+        block = Block(unpack_rows(payload), id_col, text_col, length)
         want = np.zeros(len(block.a), bool)
         want[np.concatenate(asked)] = True
         for b, s in block.buckets(n):
@@ -253,12 +253,13 @@ def dedup_blocks(blocks: DataFrame, id_col: str, text_col: str, length: int, las
                 at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
                 yield b, pack([block.a[e], size.astype(np.int16), block.least[e], e.astype(np.int32), block.data[at]])
 
-    def cut(rows: pa.Table, messages: list[bytes]) -> pa.Table:
+    def cut(payload: bytes, messages: list[bytes]) -> pa.Table:
+        rows = unpack_rows(payload)
         block = Block(rows, id_col, text_col, length)
         return last(rows, block, removed_bytes(block, messages, length))
 
     first = answer(ask(blocks, distinct), _compare)
-    second = answer(ask(blocks, texts, first), lambda b, m: _index(length, b, m))
+    second = answer(ask(blocks, texts, first), lambda _, b, m: _index(length, b, m))
     return finish(blocks, first.unionByName(second), cut, schema)
 
 
