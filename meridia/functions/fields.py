@@ -97,14 +97,21 @@ def patrol_params(params: Column) -> Column:
     )
 
 
+#: How deep braces are followed in a serialised array.
+DEPTH = 8
+
+
 def _php_groups(params: Column, key: str) -> Column:
-    body = F.regexp_extract(params, rf'"{key}";a:\d+:(\{{(?:[^{{}}]|\{{(?:[^{{}}]|\{{[^{{}}]*\}})*\}})*\}})', 1)
+    nested = r"[^{}]*"
+    for _ in range(DEPTH):
+        nested = rf"(?:[^{{}}]|\{{{nested}\}})*"
+    body = F.regexp_extract(params, rf'"{key}";a:\d+:(\{{{nested}\}})', 1)
     found = F.regexp_extract_all(body, F.lit(r's:\d+:"([^"]*)"'), F.lit(1))
     return F.array_join(F.array_sort(F.array_distinct(F.filter(found, lambda x: ~x.rlike(r"^\d{14}$")))), ",")
 
 
 def rights_params(params: Column) -> Column:
-    """Struct (old_groups, new_groups) of a rights entry: two lines, or serialised arrays nested up to three deep."""
+    """Struct (old_groups, new_groups) of a rights entry: two lines, or serialised arrays, nested up to ``DEPTH`` deep; a body without its end is empty."""
     lines, php = F.split(params, "\n"), F.ltrim(params).startswith("a:")
     line = lambda k: F.trim(F.coalesce(F.get(lines, F.lit(k)), F.lit("")))
     return F.struct(F.when(php, _php_groups(params, "4::oldgroups")).otherwise(line(0)).alias("old_groups"), F.when(php, _php_groups(params, "5::newgroups")).otherwise(line(1)).alias("new_groups"))
@@ -116,7 +123,7 @@ def title_user(title: Column) -> Column:
 
 
 def groups_of(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def has_any(text: Column, groups: list[str]) -> Column:

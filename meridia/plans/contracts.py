@@ -1,13 +1,8 @@
-"""Contracts of the published datasets: schemas, conservation, minimum rows; and snapshots under one pointer."""
+"""Contracts of the published datasets: schemas, minimum rows, conservation, dates and coverage."""
 
 from __future__ import annotations
 
-import hashlib
-import json
-import os
 import re
-import uuid
-from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +21,9 @@ CONTRACTS = {
     "page_weekly_edits": {"week_start": S, "iso_year": I, "iso_week": I, "page_id": L, "page_title": S, "page_namespace": I, "edits": L, "previous_week_edits": L, "wow_change": L, "wow_rate": D, "wiki": S},
     "patrol": {"year_month": S, "wiki": S, "page_namespace": I, "user_type": S, "total_patrols": L, "unique_patrollers": I, "patrol_new_pages": L, "patrol_diffs": L, "median_latency_hours": D, "p90_latency_hours": D, "patrolled_revisions": L, "autopatrolled_revisions": L, "total_revisions": L, "patrol_coverage_pct": D, "adjusted_coverage_pct": D, "top1_pct": D, "min_patrollers_50pct": I},
 }
+#: The columns whose sums a merge preserves, and the date columns, by which of them a dataset has first.
+SUMS = {"gdp": "total_edits", "gdp_activity_tiers": "total_edits", "gdp_user_type_share": "edits", "inequality": "total_edits", "labor_monthly": "total_edits", "page_weekly_edits": "edits", "patrol": "total_patrols"}
+DATES = ("year_month", "week_start", "period", "cohort_year")
 VERSION = re.compile(r"^\d{4}-(0[1-9]|1[0-2])$")
 
 
@@ -34,11 +32,11 @@ def check_schema(name: str, df: DataFrame) -> None:
         raise ValueError(f"{name}: {dict(df.dtypes)} is not {CONTRACTS[name]}")
 
 
-def check_conservation(name: str, merged: DataFrame, parts: list[DataFrame], value: str) -> None:
-    """The merged dataset has the parts' rows, and their sum of ``value``, which is positive."""
-    rows = lambda df: df.agg(F.count("*"), F.coalesce(F.sum(value), F.lit(0))).first()
+def check_conservation(name: str, merged: DataFrame, parts: list[DataFrame], value: str | None) -> None:
+    """The merged dataset has the parts' rows, and their sum of ``value``, if it has one, which is positive."""
+    rows = lambda df: df.agg(F.count("*"), F.coalesce(F.sum(value), F.lit(0)) if value else F.lit(1)).first()
     got, want = rows(merged), [rows(p) for p in parts]
-    if (got[0], got[1]) != (sum(w[0] for w in want), sum(w[1] for w in want)) or got[1] <= 0:
+    if got[0] != sum(w[0] for w in want) or (value and (got[1] != sum(w[1] for w in want) or got[1] <= 0)):
         raise ValueError(f"{name}: merged rows and {value} {tuple(got)} are not the parts' {want}")
 
 
@@ -48,6 +46,34 @@ def check_wiki(name: str, df: DataFrame, wiki: str, least: int) -> None:
         raise ValueError(f"{name}: {n} rows of {lo} to {hi}; {least} of {wiki} are needed")
 
 
+def check_dates(name: str, df: DataFrame) -> tuple[str | None, str | None]:
+    """First and last date of the dataset's first date column, which must be dates of its kind."""
+    column = next((c for c in DATES if c in df.columns), None)
+    if column is None:
+        return None, None
+    lo, hi = df.agg(F.min(column), F.max(column)).first()
+    kind = {"year_month": r"\d{4}-(0[1-9]|1[0-2])", "week_start": r"\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])", "period": r"\d{4}(-(0[1-9]|1[0-2])|-Q[1-4])?", "cohort_year": r"\d{4}"}[column]
+    for value in (lo, hi):
+        if value is not None and not re.fullmatch(kind, value):
+            raise ValueError(f"{name}: {value} is no {column}")
+    return lo, hi
+
+
+def check_weekly(weekly: DataFrame, revisions: DataFrame) -> None:
+    """Weekly edits add up to the revisions of a page, and no page has a week twice."""
+    key = ("page_id", "page_namespace", "page_title", "week_start")
+    twice = weekly.groupBy(*key).count().where("count > 1").limit(1).count()
+    edits, want = weekly.agg(F.coalesce(F.sum("edits"), F.lit(0))).first()[0], revisions.agg(F.count("page_id")).first()[0]
+    if twice or edits != want or weekly.where("edits IS NULL").limit(1).count():
+        raise ValueError(f"page_weekly_edits: {edits} edits of {want} revisions{', a page with a week twice' if twice else ''}")
+
+
+def summary(df: DataFrame) -> dict:
+    """Schema, rows, and first and last date."""
+    lo, hi = check_dates("dataset", df)
+    return {"schema": [f"{c}:{t}" for c, t in df.dtypes], "rows": df.count(), "first": lo, "last": hi}
+
+
 def version_at_lag(latest: str, lag: int) -> str:
     """The snapshot ``lag`` months before ``latest``."""
     if not VERSION.match(latest):
@@ -57,8 +83,8 @@ def version_at_lag(latest: str, lag: int) -> str:
 
 
 def check_cutoff(version: str, cutoff: str, paused: bool = False) -> None:
-    """Data end from one month before to two months after what a snapshot promises; exactly there, if it is paused."""
-    gap = (int(cutoff[:4]) - int(version[:4])) * 12 + int(cutoff[5:7]) - int(version[5:7])
+    """Data end at most two months before a snapshot's month and one after it; exactly there, if it is paused."""
+    gap = (int(version[:4]) - int(cutoff[:4])) * 12 + int(version[5:7]) - int(cutoff[5:7])
     if (gap != 0) if paused else not -1 <= gap <= 2:
         raise ValueError(f"cutoff {cutoff} is not plausible for snapshot {version}")
 
@@ -67,39 +93,3 @@ def check_coverage(published: set[str], merged: set[str], subset: set[str] | Non
     """All published wikis are merged, or exactly a subset that is named."""
     if merged != (published if subset is None else subset) or not merged <= published:
         raise ValueError(f"merged {sorted(merged)}; published {sorted(published)}, asked {sorted(subset or published)}")
-
-
-def _put(path: Path, text: str) -> None:
-    """Write beside, sync, then rename: readers see the old or the new whole."""
-    part = path.with_name(f".{path.name}.{uuid.uuid4().hex}")
-    with part.open("w") as f:
-        f.write(text)
-        f.flush()
-        os.fsync(f.fileno())
-    part.replace(path)
-
-
-def publish(root: str, version: str) -> None:
-    """Point ``root`` at the generation in its folder of that version."""
-    if not VERSION.match(version) or not (Path(root) / version).is_dir():
-        raise ValueError(f"no generation {version} in {root}")
-    _put(Path(root) / "active.json", json.dumps({"version": version}))
-
-
-def active(root: str) -> str:
-    """The active generation's folder; the root itself where there is no pointer."""
-    pointer = Path(root) / "active.json"
-    return str(Path(root) / json.loads(pointer.read_text())["version"]) if pointer.exists() else root
-
-
-def receipt(inputs: dict[str, str], outputs: dict[str, str], version: int = 1) -> str:
-    return hashlib.sha256(json.dumps([version, inputs, outputs], sort_keys=True).encode()).hexdigest()
-
-
-def reusable(path: str, inputs: dict[str, str], outputs: dict[str, str]) -> bool:
-    """Whether the receipt at ``path`` is of these inputs and outputs."""
-    return Path(path).exists() and json.loads(Path(path).read_text())["sha256"] == receipt(inputs, outputs)
-
-
-def write_receipt(path: str, inputs: dict[str, str], outputs: dict[str, str]) -> None:
-    _put(Path(path), json.dumps({"inputs": inputs, "outputs": outputs, "sha256": receipt(inputs, outputs)}))
