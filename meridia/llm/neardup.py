@@ -144,8 +144,8 @@ def postings(entries: DataFrame) -> DataFrame:
 class Unit:
     """The entries of some units of work: fingerprints, sizes, components so far, and refuted pairs of nodes."""
 
-    def __init__(self, node: np.ndarray, prints: np.ndarray, n: np.ndarray, root: np.ndarray, refuted: np.ndarray):
-        self.node, self.prints, self.n, self.root = node, prints, n.astype(np.int64), root
+    def __init__(self, node: np.ndarray, prints: np.ndarray, n: np.ndarray, root: np.ndarray, refuted: np.ndarray, small: int):
+        self.node, self.prints, self.n, self.root, self.small = node, prints, n.astype(np.int64), root, small
         #: sorted hashes of refuted pairs
         self.refuted = refuted
         self.most, self.close = int(DIFFERING * 64 * WORDS), int(CLOSE * 64 * WORDS)
@@ -197,7 +197,7 @@ class Unit:
 
     def pairs(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Candidates among places lo to hi. Of a long list, those to the first row that is close, and between rows that are close to none before."""
-        if hi - lo <= 4 * SMALL:
+        if hi - lo <= 4 * self.small:
             a, b = np.triu_indices(hi - lo, 1)
             d = self.distance(a + lo, b + lo)
             ok = d <= self.most
@@ -247,13 +247,13 @@ def pair_name(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def proposals(dealt: DataFrame, whole: bool, parts: int) -> DataFrame:
     """(key, i, j, u, v): what each unit of ``dealt`` proposes."""
-    names = ["key", "i", "j", "node", "n", "root", "refuted", *COLUMNS]
+    names, small = ["key", "i", "j", "node", "n", "root", "refuted", *COLUMNS], SMALL
 
     def solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
         cols = {c: t[c].to_numpy() for c in names if c != "refuted"}
         refuted = np.unique(t["refuted"].combine_chunks().flatten().to_numpy()).view(np.uint64) if t["refuted"].null_count < t.num_rows else np.empty(0, np.uint64)
         refuted.sort()
-        unit = Unit(cols["node"], np.stack([cols[c] for c in COLUMNS], axis=1).view(np.uint64), cols["n"], cols["root"], refuted)
+        unit = Unit(cols["node"], np.stack([cols[c] for c in COLUMNS], axis=1).view(np.uint64), cols["n"], cols["root"], refuted, small)
         key, i, j = cols["key"], cols["i"], cols["j"]
         new = np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
         starts = np.nonzero(new)[0]
@@ -262,14 +262,14 @@ def proposals(dealt: DataFrame, whole: bool, parts: int) -> DataFrame:
         two = starts[sizes == 2]
         ok = (unit.distance(two, two + 1) <= unit.most) & unit.open(two, two + 1)
         found.append((two[ok], two[ok] + 1))
-        for n in range(3, SMALL + 1):  # lists with a candidate at all, of a size together
+        for n in range(3, small + 1):  # lists with a candidate at all, of a size together
             at = starts[sizes == n]
             if len(at):
                 a, b = np.triu_indices(n, 1)
                 hit = (unit.distance(at[:, None] + a, at[:, None] + b) <= unit.most).sum(axis=1)
                 for lo in at[hit > 0].tolist():
                     found.append(columns(unit.propose(lo, lo + n, whole)))
-        for lo, n in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist()):
+        for lo, n in zip(starts[sizes > small].tolist(), sizes[sizes > small].tolist()):
             found.append(columns(unit.propose(lo, lo + n, whole)))
         a, b = (np.concatenate(x) for x in zip(*found))
         u, v = np.maximum(unit.node[a], unit.node[b]), np.minimum(unit.node[a], unit.node[b])

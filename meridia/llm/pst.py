@@ -1,23 +1,23 @@
 """Scoring texts by a probabilistic suffix tree over words.
 
 Symbols are words, and one end for each text. The root predicts by add-one counts over all training words. A context of
-any number of symbols is a node if it was seen at least ``MIN_CONTEXT`` times, its parent (the context without its first
+any number of symbols is a node if it was seen at least ``Limits.context`` times, its parent (the context without its first
 symbol) is a node, and its next-symbol counts diverge from the parent's prediction: the count times the Kullback-Leibler
-divergence over the node's own symbols reaches ``DIVERGENCE`` nats. A node's own symbols are those seen at least
-``MIN_NEXT`` times after it and more often than chance explains: with e = c(s) * P(x | parent), the Poisson bound
-c ln(c / e) - c + e on the logarithm of such a chance reaches ``SURPRISE``. So the many pairs of a frequent word with words
+divergence over the node's own symbols reaches ``Limits.divergence`` nats. A node's own symbols are those seen at least
+``Limits.next`` times after it and more often than chance explains: with e = c(s) * P(x | parent), the Poisson bound
+c ln(c / e) - c + e on the logarithm of such a chance reaches ``Limits.surprise``. So the many pairs of a frequent word with words
 that merely are frequent too make no nodes. A node leaves all other symbols to its parent:
 
-    P(x | s) = c(s, x) / (c(s) + PRIOR) for kept x  +  (c(s) + PRIOR - kept counts) / (c(s) + PRIOR) * P(x | parent)
+    P(x | s) = c(s, x) / (c(s) + prior) for kept x  +  (c(s) + prior - kept counts) / (c(s) + prior) * P(x | parent)
 
 so each node's prediction sums to one. A text is scored by the longest suffix of what precedes a symbol that is a node.
-Both minima are counts, so the tree grows with the corpus; levels are added until one has no node.
+All limits are counts or nats, so the tree grows with the corpus; levels are added until one has no node.
 
 Scale. Nothing is broadcast and no whole tree stands anywhere. Words and contexts live in buckets. For each level a block
 sends its contexts, next symbols, counts and the parents' predictions (which it has from the levels before; those of the
 root follow from a symbol's count, which goes once); the bucket has a context's whole counts, judges it, and answers what
-the block asked: counts up to 63, and the whole counts of kept symbols. Contexts that a bound shows to be under
-``DIVERGENCE`` are not sent. A context's entries are aggregated by block and meet in one bucket. Contexts of two symbols and more are told apart by hashes of 64 bits. All counts are over the whole corpus.
+the block asked: counts up to 63, and the whole counts of kept symbols. Contexts that an estimate from
+their count and their parent's shows to be under the divergence are not sent. A context's entries are aggregated by block and meet in one bucket. Contexts of two symbols and more are told apart by hashes of 64 bits. All counts are over the whole corpus.
 """
 
 from __future__ import annotations
@@ -36,12 +36,18 @@ from pyspark.sql import functions as F
 from meridia.llm.blocks import answer, ask, bucket_count, finish, narrow, pack, pack_rows, to_blocks, unpack, unpack_rows
 from meridia.llm.common import table, words
 
-#: Counts, whatever the size of the corpus.
-MIN_CONTEXT = 5
-MIN_NEXT = 2
-DIVERGENCE = 20.0
-SURPRISE = 10.0
-PRIOR = 10.0
+
+@dataclass(frozen=True)
+class Limits:
+    """What makes a node, in counts and nats, whatever the size of the corpus."""
+
+    context: int = 32
+    next: int = 4
+    divergence: float = 20.0
+    surprise: float = 10.0
+    prior: float = 10.0
+
+
 #: Counts of symbols that are not kept serve as bounds only, and are told up to here.
 MOST_TOLD = 63
 #: No word: it holds white space.
@@ -158,7 +164,7 @@ class Tree:
     keys: list[np.ndarray] = field(default_factory=list)  # contexts: number of the parent among its level's nodes (0: root) * len(symbols) + first symbol
     back: list[np.ndarray] = field(default_factory=list)  # what a node leaves to its parent
     pairs: list[np.ndarray] = field(default_factory=list)  # node * len(symbols) + symbol
-    gain: list[np.ndarray] = field(default_factory=list)  # c / (c(s) + PRIOR) of each pair
+    gain: list[np.ndarray] = field(default_factory=list)  # c / (c(s) + prior) of each pair
 
     def predict(self, p: np.ndarray, symbol: np.ndarray, before: list[np.ndarray]) -> np.ndarray:
         """Probabilities of symbols (-1: never seen) after what precedes them; ``p`` is the root's."""
@@ -198,7 +204,8 @@ def rises(a: np.ndarray) -> np.ndarray:
 class Part:
     """A block, and how far its places have come down the tree."""
 
-    def __init__(self, payload: bytes, total: int, kinds: int, n: int, messages: list[bytes]):
+    def __init__(self, payload: bytes, total: int, kinds: int, n: int, limits: Limits, messages: list[bytes]):
+        self.limits = limits
         local = Local(payload)
         self.rows, self.sizes, self.symbol, self.held, self.first, self.train, self.n = local.rows, local.sizes, local.symbol, local.held, local.first, local.train, n
         told: dict[int, dict[int, list[np.ndarray]]] = {}
@@ -230,7 +237,7 @@ class Part:
         # symbols of a context stand after its parent at least as often, so they share at most the rest there, each c(s, x) of have
         have, some = self.have[of], np.maximum(np.minimum(seen, np.minimum(self.rest[of], self.have[of] / np.e)), 1e-9)
         most = some * np.log(have / some) + seen * np.log(have / np.maximum(self.top[of], 1e-9)) * (self.top[of] > 0)
-        ok[ok] = (seen >= MIN_CONTEXT) & (most >= DIVERGENCE - 1e-6)
+        ok[ok] = (seen >= self.limits.context) & (most >= self.limits.divergence - 1e-6)
         at, node = self.at[ok], self.node[ok]
         keys, context = np.unique(node * k + self.symbol[at - depth], return_inverse=True)
         names = _mix(self.name[keys // max(k, 1)], self.number[keys % max(k, 1)])
@@ -238,7 +245,7 @@ class Part:
         order = np.lexsort((names, bucket))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        other = self.seen[at] < MIN_NEXT
+        other = self.seen[at] < self.limits.next
         pairs, pair = np.unique(rank[context] * (k + 1) + np.where(other, k, self.symbol[at]), return_inverse=True)
         return at, keys[order], names[order], bucket[order], pairs // (k + 1), pairs % (k + 1), pair
 
@@ -276,7 +283,7 @@ class Part:
         good = good[np.argsort(keys[good])]
         number = np.full(len(keys), -1, np.int64)
         number[good] = np.arange(len(good))
-        have = total + PRIOR
+        have = total + self.limits.prior
         own = number[context[use]] * k + symbol[use]
         order = np.argsort(own)
         self.tree.keys.append(keys[good])
@@ -295,7 +302,7 @@ class Part:
         self.seen = longer
 
 
-def _judge(level: int, whole: float):
+def _judge(level: int, whole: float, limits: Limits):
     """A bucket's contexts of a level: whole counts, divergence from the parents, and the answers. ``whole``: what the root's shares are of."""
 
     def reply(bucket: int, blocks: list[int], messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
@@ -316,13 +323,13 @@ def _judge(level: int, whole: float):
         parent = np.zeros(len(pairs))
         np.maximum.at(parent, pair, np.concatenate([p[4] for p in parts]).astype(np.float64))
         of, x = pairs // len(symbols), symbols[pairs % len(symbols)]
-        use = np.nonzero((x > 0) & (count >= MIN_NEXT))[0]
+        use = np.nonzero((x > 0) & (count >= limits.next))[0]
         c, e = count[use], total[of[use]] * parent[use]
         gain = c * np.log(c / e)
-        own = (c > e) & (gain - c + e >= SURPRISE)
+        own = (c > e) & (gain - c + e >= limits.surprise)
         use, c, gain = use[own], c[own], gain[own]
         divergence = np.bincount(of[use], weights=gain, minlength=len(names))
-        node = (divergence >= DIVERGENCE) & (total >= MIN_CONTEXT)
+        node = (divergence >= limits.divergence) & (total >= limits.context)
         kept = np.where(node, np.bincount(of[use], weights=c, minlength=len(names)).astype(np.int64), 0)
         is_kept = np.zeros(len(pairs), bool)
         is_kept[use] = node[of[use]]
@@ -342,7 +349,7 @@ def _judge(level: int, whole: float):
     return reply
 
 
-def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text", limits: Limits = Limits()) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score): a row for each row of ``docs``.
 
     held: whether a row is kept out of the training. Null text: as an empty one, which has its end alone. Equal rows
@@ -358,18 +365,18 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     told, level = counted.where("block >= 0"), 0
 
     def question(payload: bytes, messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
-        return Part(payload, total, kinds, n, messages).question()
+        return Part(payload, total, kinds, n, limits, messages).question()
 
     while True:
         level += 1
-        judged = answer(ask(blocks, question, told), _judge(level, total + kinds + 1.0))
+        judged = answer(ask(blocks, question, told), _judge(level, total + kinds + 1.0, limits))
         nodes = sum(struct.unpack("<q", bytes(r["message"]))[0] for r in judged.where("block = -1").collect())  # a row a bucket
         if not nodes:
             break
         told = told.unionByName(judged.where("block >= 0"))
 
     def last(payload: bytes, messages: list[bytes]) -> pa.Table:
-        part = Part(payload, total, kinds, n, messages)
+        part = Part(payload, total, kinds, n, limits, messages)
         sums = [np.add.reduceat(x, part.first) if len(x) else np.empty(0, x.dtype) for x in ((part.known > 0).astype(np.int64), np.log10(part.base), np.log10(part.p))]
         return pa.table([part.rows["id"], pa.array(part.held), pa.array(part.sizes), pa.array(sums[0]), pa.array(np.full(len(sums[0]), total, np.int64)), pa.array(sums[1]), pa.array(sums[2])], names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 

@@ -168,7 +168,7 @@ def _compare(_: int, blocks: list[int], messages: list[bytes]) -> Iterator[tuple
         yield blocks[k], b"\x00" + pack([e[low], least[low], e[want]])
 
 
-def _index(length: int, blocks: list[int], messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
+def _index(length: int, chunk: int, blocks: list[int], messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
     """A bucket's reply on segments with bytes: their windows that also stand in a smaller document, as bits of a long."""
     parts = [unpack(m) for m in messages]
     of = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
@@ -198,9 +198,9 @@ def _index(length: int, blocks: list[int], messages: list[bytes]) -> Iterator[tu
     lo = 0
     while lo < len(heads):
         base = total[heads[lo]] - size[order[heads[lo]]]
-        hi = max(lo + 1, int(np.searchsorted(total[tails - 1], base + CHUNK, side="right")))
+        hi = max(lo + 1, int(np.searchsorted(total[tails - 1], base + chunk, side="right")))
         rows = order[heads[lo] : tails[hi - 1]]
-        part = np.append(0, np.nonzero(np.diff((np.cumsum(size[rows]) - 1) // CHUNK))[0] + 1)
+        part = np.append(0, np.nonzero(np.diff((np.cumsum(size[rows]) - 1) // chunk))[0] + 1)
         for x, y in zip(part, np.append(part[1:], len(rows))):
             mark(rows[x:y], rows[x:])  # what stands before has smaller documents: nothing of this part is earlier there
         lo = hi
@@ -232,7 +232,7 @@ def dedup_blocks(blocks: DataFrame, id_col: str, text_col: str, length: int, las
     """Rows that ``last`` makes of each block's rows and marked bytes."""
     if length < 16:
         raise ValueError("length: at least 16 bytes")
-    n = bucket_count(blocks)
+    n, chunk = bucket_count(blocks), CHUNK
 
     def distinct(payload: bytes, _) -> Iterator[tuple[int, bytes]]:
         block = Block(unpack_rows(payload), id_col, text_col, length)
@@ -259,7 +259,7 @@ def dedup_blocks(blocks: DataFrame, id_col: str, text_col: str, length: int, las
         return last(rows, block, removed_bytes(block, messages, length))
 
     first = answer(ask(blocks, distinct), _compare)
-    second = answer(ask(blocks, texts, first), lambda _, b, m: _index(length, b, m))
+    second = answer(ask(blocks, texts, first), lambda _, b, m: _index(length, chunk, b, m))
     return finish(blocks, first.unionByName(second), cut, schema)
 
 

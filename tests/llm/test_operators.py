@@ -158,7 +158,7 @@ def removed(rows, length=50):
 
 @pytest.mark.parametrize("chunk", [1 << 19, 300])
 def test_substrings(spark, monkeypatch, chunk):
-    monkeypatch.setattr(substrings, "CHUNK", chunk)  # 300: an anchor's segments are indexed in parts
+    monkeypatch.setattr(substrings, "CHUNK", chunk)  # 300: an anchor's segments are indexed in parts; the driver hands it to the tasks
     texts = corpus(seed=5)
     ids = [*range(len(texts) - 2), 5, None]
     done = substrings.spans(documents(spark, texts, ids=ids).repartition(3)).collect()
@@ -355,7 +355,7 @@ def test_suffix_tree_sums_to_one():
     assert known.sum() + unseen.sum() == pytest.approx(1)
 
 
-def suffix_tree(texts):
+def suffix_tree(texts, limits):
     """Probability of a symbol after symbols, by the definition, on dictionaries."""
     count, after = Counter(), {}
     for t in texts:
@@ -369,13 +369,13 @@ def suffix_tree(texts):
     def node(s):
         if s not in known:
             c = after.get(s, Counter())
-            ok = c.total() >= pst.MIN_CONTEXT and (len(s) == 1 or node(s[1:]) is not None)
+            ok = c.total() >= limits.context and (len(s) == 1 or node(s[1:]) is not None)
             kept, gain = {}, 0.0
             for x, k in c.items() if ok else ():
                 e = c.total() * p(s[1:], x)
-                if k >= pst.MIN_NEXT and k > e and k * np.log(k / e) - k + e >= pst.SURPRISE:
+                if k >= limits.next and k > e and k * np.log(k / e) - k + e >= limits.surprise:
                     kept[x], gain = k, gain + k * np.log(k / e)
-            known[s] = (c.total() + pst.PRIOR, kept) if gain >= pst.DIVERGENCE else None
+            known[s] = (c.total() + limits.prior, kept) if gain >= limits.divergence else None
         return known[s]
 
     def p(s, x):
@@ -397,8 +397,9 @@ def test_suffix_tree_by_definition(spark):
     for t, n in (("z one", 400), ("y z two", 200), ("x y z three", 100), ("left x y z blue", 60)):
         texts += [f"{rng.choice(fill)} {t} {rng.choice(fill)}" for _ in range(n)]
     texts += [f"once {rng.choice(fill)} seldom pair {rng.choice(fill)}" for _ in range(12)]
-    rows = pst.score(documents(spark, texts).repartition(3), F.col("doc_id") % 5 == 0).collect()
-    p, known = suffix_tree([t for i, t in enumerate(texts) if i % 5])
+    limits = pst.Limits(context=5, next=2)
+    rows = pst.score(documents(spark, texts).repartition(3), F.col("doc_id") % 5 == 0, limits=limits).collect()
+    p, known = suffix_tree([t for i, t in enumerate(texts) if i % 5], limits)
     for r in rows:
         w = [*words(texts[r.id]), "\n"]
         assert r.score == pytest.approx(sum(np.log10(p(tuple(w[:i]), x)) for i, x in enumerate(w)), rel=1e-9)
