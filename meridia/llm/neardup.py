@@ -103,7 +103,8 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def postings(entries: DataFrame) -> DataFrame:
     """(key, node): each entry under each triple of its positional bytes, where another entry stands too.
 
-    A key is the triple's number, then the bytes. ``node`` counts up from entry to entry, for the most part.
+    A key names a list by its entries, so that lists of the same entries, which similar texts have many of, are one.
+    ``node`` counts up from entry to entry, for the most part.
     """
     chosen, total = triples(), entries.count()
     split = max(0, int(np.ceil(np.log2(max(1, total) / ENTRIES))))  # by so many high bits of the bytes
@@ -135,10 +136,16 @@ def postings(entries: DataFrame) -> DataFrame:
         key, node = key[order], node[order]
         equal = key[1:] == key[:-1]
         several = np.append(equal, False) | np.append(False, equal)
-        return pa.table([pa.array(((group["bucket"][0].as_py() >> split) << 24) + key[several]), pa.array(node[several])], names=["key", "node"])
+        key, node = key[several], node[several]
+        if len(key):
+            begin = np.nonzero(np.append(True, key[1:] != key[:-1]))[0]
+            marks = further(node.view(np.uint64), 3)
+            name = further(np.add.reduceat(marks, begin) ^ further(np.bitwise_xor.reduceat(marks, begin), 1), 2)
+            key = np.repeat(name.view(np.int64), np.diff(np.append(begin, len(key))))
+        return pa.table([pa.array(key), pa.array(node)], names=["key", "node"])
 
     sent = entries.select("node", *COLUMNS).mapInArrow(post, "bucket int, message binary")
-    return sent.groupBy("bucket").applyInArrow(meet, "key long, node long")
+    return sent.groupBy("bucket").applyInArrow(meet, "key long, node long").distinct()
 
 
 class Unit:
@@ -369,6 +376,11 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rooted = entries.select("node", "least").join(member, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.id").alias("kept_id"), F.col("least.sum").alias("kept_sum"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("sum"))
+    twice = checkpointed(rows.groupBy("id", "sum").agg(F.count("*").alias("n")).where("n > 1").select("id", "sum"))
     rows = rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("sum") == F.col("kept_sum")), "left_semi")
-    alone = rows.withColumn("k", F.row_number().over(W.partitionBy("id", "sum").orderBy(F.lit(0)))).where("k = 1")
-    return alone.select("row.*")
+    if not twice.limit(1).count():
+        return rows.select("row.*")
+    same = rows["id"].eqNullSafe(twice["id"]) & (rows["sum"] == twice["sum"])
+    again = rows.join(twice, same, "left_semi")
+    alone = again.withColumn("k", F.row_number().over(W.partitionBy("id", "sum").orderBy(F.lit(0)))).where("k = 1")
+    return rows.join(twice, same, "left_anti").select("row.*").unionByName(alone.select("row.*"))
