@@ -249,8 +249,42 @@ def test_packing(spark):
         for r in sorted((r for r in rows if (r.group, r.bin) == k), key=lambda r: r.offset):
             assert r.offset == at
             at += r.size
-    bins, lengths = packing.pack([60, 30, 30, 4], (32, 64))
-    assert sorted(zip(map(tuple, bins), lengths)) == [((0, 3), 64), ((1,), 32), ((2,), 32)]
+    twins = documents(spark, ["a b c"] * 300, ids=[1] * 300)  # one id and size, in several groups
+    assert {r["count"] for r in packing.pack_documents(twins, lengths=(16,), group_items=40).groupBy("group").count().collect()} < set(range(10, 90))
+    assert packing.pack_documents(documents(spark, [None, "", " "])).count() == 0 == packing.pack_documents(documents(spark, [])).count()
+
+
+def cheapest(sizes, lengths, square, overhead):
+    """The least cost of any packing, by all ways to split the items."""
+    price = lambda total: next((packing.cost(n, square, overhead) for n in lengths if n >= total), None)
+    best = [0.0] + [None] * ((1 << len(sizes)) - 1)
+    for have in range(1, 1 << len(sizes)):
+        first, part = have & -have, have
+        while part:
+            if part & first:
+                own = price(sum(s for k, s in enumerate(sizes) if part >> k & 1))
+                if own is not None and (best[have] is None or best[have ^ part] + own < best[have]):
+                    best[have] = best[have ^ part] + own
+            part = (part - 1) & have
+    return best[-1]
+
+
+def test_packing_against_all_packings():
+    """Within 3 % of the best of all packings on average, 50 % at worst; each length is opened somewhere."""
+    rng, lengths, opened, over = random.Random(2), (16, 32, 64, 128), set(), []
+    for _ in range(150):
+        sizes = sorted((min(128, int(rng.paretovariate(0.7) * 4)) for _ in range(rng.randint(1, 8))), reverse=True)
+        bins, held = packing.pack(sizes, lengths, 512, 24)
+        assert sorted(k for b in bins for k in b) == list(range(len(sizes)))
+        spent = sum(packing.cost(n, 512, 24) for n in held)
+        over.append(spent / cheapest(sizes, lengths, 512, 24))
+        assert all(sum(sizes[k] for k in b) <= n for b, n in zip(bins, held))
+        opened |= set(held)
+    assert min(over) >= 1 - 1e-9 and np.mean(over) < 1.03 and max(over) < 1.5 and opened == set(lengths)
+    bins, held = packing.pack([60] * 4 + [4] * 4, (64, 128), 512, 0)  # a long bin costs more a place, and is no fuller
+    assert held == [64] * 4
+    bins, held = packing.pack([60] * 4 + [4] * 2, (64, 128), 10_000, 64)  # steps of their own cost more than places left empty
+    assert held == [128] * 2
 
 
 def test_tokens(spark):
