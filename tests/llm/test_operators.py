@@ -448,7 +448,51 @@ def test_urls(spark):
     assert [(got[k].host, got[k].path, got[k].rule, got[k].verdict) for k in (1, 2, 3, 4)] == [("www.a.net", "/x", "net/", "block"), ("example.net", "/en/1", "example.net/en/", "allow"), ("s.example.com", "/de/5", "example.com/de/", "block"), ("b.org", "/fr/", "org/fr/", "allow")]
     assert [(got[k].host, got[k].path, got[k].rule) for k in (6, 7, 8, 9, 10)] == [("", "", None)] * 3 + [("xnet", "/", None), ("q.net", "", None)]
     assert {got[100 + k].verdict for k in range(0, 40, 2)} == {"allow"} and {got[101 + k].verdict for k in range(0, 40, 2)} == {"block"}
-    assert got[100].template == "h.example.com/en/*/"
+    assert got[100].template == "h.example.com/en/*"
+
+
+def test_url_templates(spark):
+    """Sections stay apart on a busy host, rare and variable segments don't; a section like a blocked one, with few pages of its own, goes with it; clean ones stay."""
+    rng, rows = random.Random(3), []
+
+    def add(host, path, n=1):
+        for _ in range(n):
+            rows.append((len(rows), f"http://{host}/{path.format(n=rng.randrange(10**6), w=''.join(rng.choices('klmnop', k=9)))}"))
+        return len(rows) - 1
+
+    for k in range(13):
+        clean = add("busy.example.com", f"s{'abcdefghijklm'[k]}/item/{{n}}", 30)
+    add("busy.example.com", "de/item/{n}", 30)
+    add("mill.example.com", "de/offer/{n}.html", 200)
+    alike = add("mill.example.com", "dx/offer/{n}.html", 8)
+    unlike = add("mill.example.com", "about/{w}/", 40)
+    add("thin.example.com", "de/{n}", 60)
+    thin = add("thin.example.com", "x/{n}/{w}")
+    deep = add("a.org", "/".join("abcdefghij") + "/{n}", 5)
+    user = add("b.org", "user/{w}/photos/{n}", 40)
+    got = {r.id: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert got[clean].template == "busy.example.com/sm/item/*" and got[user].template == "b.org/user/*/photos/*" and got[deep].template == "a.org/a/b/c/d/e/f/g/h/**"
+    blocked = {k for k, r in got.items() if r.rule is None and r.verdict == "block"}
+    assert blocked == {*range(alike - 7, alike + 1), thin} and unlike not in blocked
+    empty = spark.createDataFrame([], "page_id long, url string, host string, template string")
+    assert urls.judge(empty).count() == 0
+
+
+def test_urls_without_spark_by_sql(spark, tmp_path):
+    """The SQL of the query, on urls of every kind."""
+    import duckdb
+
+    rng = random.Random(8)
+    hosts = ["a.example.com", "b.example.com", "c.example.net", "d.org", "E.example.com", "f.net", ""]
+    made = [f"{rng.choice(['http', 'x'])}://{rng.choice(hosts)}{'/'.join(['', *rng.choices(['de', 'en', 'fr', 'q', '17', 'x9y8z7w6', 'p.html', '', '*'], k=rng.randint(0, 11))])}{rng.choice(['', '?a/b', '#c'])}" for _ in range(900)]
+    made += [f"http://z.example.com/de/{k}" for k in range(60)] + ["http://z.example.com/x/5"]  # too thin to tell, on a host of blocked pages
+    rows = spark.createDataFrame([*enumerate([*made, None, "none", "://", made[0]])], "page_id long, url string")
+    rows.coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = Counter(con.sql(f"SELECT page_id, host, path, rule, verdict FROM ({urls.OP10_SQL})").fetchall())
+    got = urls.op10_urls(spark, str(tmp_path)).collect()
+    assert Counter(tuple(r) for r in got) == want and {r.verdict for r in got if r.rule is None} == {"allow", "block"}
 
 
 def test_pipeline(spark, tmp_path):
