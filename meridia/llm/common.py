@@ -20,9 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared folder of ``spark.checkpoint.dir``; a folder of our own only where none is set."""
+    """Cut the lineage in the shared folder of ``spark.checkpoint.dir``.
+
+    Where none is set, a local run takes a temporary folder; a cluster's machines would not see it, so there it is an error.
+    """
     context = df.sparkSession.sparkContext
     if not context.getConf().get("spark.checkpoint.dir", "") and context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="meridia-checkpoint-"))
     return df.checkpoint(eager=True)
 

@@ -73,9 +73,10 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     common = lower.join(_small(totals.select("ref_lang", "total")), "ref_lang").where(F.col("n") >= F.lit(MIN_SHARE) * F.col("total"))
     ranked = common.withColumn("rank", F.row_number().over(W.partitionBy("ref_lang").orderBy(F.desc("n"), "word"))).where(F.col("rank") <= COMMON_WORDS)
     tops = ranked.groupBy("ref_lang").agg(F.array_sort(F.collect_list(F.struct("rank", "word", "n"))).alias("top"), F.sum("n").alias("seen"))
-    return totals.join(tops, "ref_lang").select(
-        "ref_lang", F.transform("top", lambda x: x["word"]).alias("ref_words"), F.concat(F.transform("top", lambda x: x["n"] / F.col("total")), F.array((F.col("total") - F.col("seen")) / F.col("total"))).alias("ref_word_p"), "ref_class_p"
-    )
+    both = totals.join(tops, "ref_lang", "left").withColumn("seen", F.coalesce("seen", F.lit(0)))
+    top = F.coalesce("top", F.array().cast("array<struct<rank:int,word:string,n:bigint>>"))
+    shares = F.concat(F.transform(top, lambda x: x["n"] / F.col("total")), F.array((F.col("total") - F.col("seen")) / F.col("total")))
+    return both.select("ref_lang", F.transform(top, lambda x: x["word"]).alias("ref_words"), shares.alias("ref_word_p"), "ref_class_p")
 
 
 def _small(refs: DataFrame) -> DataFrame:
@@ -112,15 +113,15 @@ def _repeats(found: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", refs: DataFrame | None = None) -> DataFrame:
-    """``docs`` with a struct ``quality`` last: the base counts, base_failed, both distances and kept.
+    """(row, quality): each row of ``docs`` as a struct; the base counts, base_failed, both distances and kept as another.
 
     Null text: no words, which fails the base. Distances are null where the base failed or the language has no
-    reference; such a text keeps the base's verdict. Equal rows are judged alike; no rows give no rows. All columns of
-    ``docs`` stay; their names may be any but ``quality``, which is replaced.
+    reference; such a text keeps the base's verdict. A language that has words enough, but none that is common, is judged by
+    character classes alone. Equal rows are judged alike; no rows give no rows. Columns of ``docs`` may have any names.
     """
     refs = references(docs, text_col, lang_col) if refs is None else refs
     refs = checkpointed(refs)
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "quality"]).alias("row"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), F.coalesce(F.col(f"`{lang_col}`"), F.lit("")).alias("ref_lang"))
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), F.coalesce(F.col(f"`{lang_col}`"), F.lit("")).alias("ref_lang"))
     inner = inner.join(_small(refs), "ref_lang", "left")
     inner = inner.withColumn("w", split_words(F.col("text")))
     inner = inner.withColumn("squeezed", F.array_join("w", "")).withColumn("bare", without_letters(F.col("squeezed")))
@@ -140,14 +141,14 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", refs:
     inner = inner.withColumn("kept", ~F.col("base_failed") & F.coalesce(fits, F.lit(True)))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept"]
     # a row for each element of a one-element array: a filter on the verdict then stays above, and repeats no expression
-    return inner.select("row.*", F.explode(F.array(F.struct(*names))).alias("quality"))
+    return inner.select("row", F.explode(F.array(F.struct(*names))).alias("quality"))
 
 
 def op5_quality(spark, sf_dir: str) -> DataFrame:
     """Contract of op5 over all of ``documents``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     done = judge(docs)
-    return done.select("doc_id", *[F.col(f"quality.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
+    return done.select("row.doc_id", *[F.col(f"quality.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
 OP5_SQL = rf"""
@@ -173,9 +174,9 @@ top AS (
   SELECT lang, list(word ORDER BY rank) AS rw, list(n::DOUBLE / total ORDER BY rank) AS rp0, (any_value(total) - sum(n))::DOUBLE / any_value(total) AS rest
   FROM ranked WHERE rank <= {COMMON_WORDS} GROUP BY 1),
 refs AS (
-  SELECT top.lang, rw, list_append(rp0, rest) AS rp,
+  SELECT cls.lang, coalesce(rw, []) AS rw, list_append(coalesce(rp0, []), coalesce(rest, 1e0)) AS rp,
     [upper::DOUBLE / chars, (letters - upper)::DOUBLE / chars, digit::DOUBLE / chars, point::DOUBLE / chars, (chars - letters - digit - point)::DOUBLE / chars] AS rc
-  FROM top JOIN cls ON top.lang = cls.lang),
+  FROM cls LEFT JOIN top ON top.lang = cls.lang),
 tri AS (
   SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS t
   FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
@@ -199,7 +200,7 @@ h AS (
      length(regexp_replace(sq, '[\p{{L}}\p{{N}}.,;:!?''"()\-]', '', 'g'))::DOUBLE / word_chars] AS c,
     list_transform(rw, lambda r: len(list_filter(w, lambda x: lower(x) = r))) AS seen
   FROM b LEFT JOIN refs ON b.lang = refs.lang AND NOT base_failed),
-p AS (SELECT *, list_append(list_transform(seen, lambda x: x::DOUBLE / n_words), (n_words - list_sum(seen))::DOUBLE / n_words) AS p FROM h),
+p AS (SELECT *, list_append(list_transform(seen, lambda x: x::DOUBLE / n_words), (n_words - coalesce(list_sum(seen), 0))::DOUBLE / n_words) AS p FROM h),
 j AS (
   SELECT *,
     sqrt(greatest(0.0, list_sum(list_transform(range(1, 6), lambda i:

@@ -13,6 +13,7 @@ Texts are counted where they are read; nothing is shuffled. A worker keeps the c
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -30,6 +31,8 @@ UNKNOWN_PENALTY = 10.0
 CACHE = 1 << 18
 #: Pieces longer than this are counted anew each time, so that the cache stays small.
 CACHED_CHARS = 64
+#: Places of a long piece that are dropped at a time.
+KEPT = 1 << 14
 
 
 @cache
@@ -50,37 +53,44 @@ class Counter:
             self.automaton.make_automaton()
         self.entries = bool(entries)
         self.unknown = min((s for _, s in entries), default=0.0) - UNKNOWN_PENALTY
+        self.longest = max((len(e) for e, _ in entries), default=0)
         self.known: dict[str, int] = {}
 
     def piece(self, text: str) -> int:
-        """Tokens of a piece: the best score to each place, and the tokens on the way there."""
+        """Tokens of a piece: the best score to each place, and the tokens on the way there. Only the places that an entry still can begin at are kept."""
         n = len(text)
-        score: list[float | None] = [None] * (n + 1)
-        count = [0] * (n + 1)
-        score[0] = 0.0
-        done = 0  # places up to here have their best
+        score: list[float | None] = [0.0, None]  # of places from base on, up to the next one
+        count = [0, 0]
+        base = done = 0  # places up to done have their best
         single = False
 
-        def unknown(at: int) -> None:
-            """Close place ``at`` + 1 if no entry of one character ends there."""
+        def close() -> None:
+            """Close place done + 1: unknown, if no entry of one character ends there."""
+            nonlocal base, done, single
+            k = done - base
             if not single:
-                s = score[at] + self.unknown
-                if score[at + 1] is None or s > score[at + 1]:
-                    score[at + 1], count[at + 1] = s, count[at] + len(text[at].encode("utf-8", "surrogatepass"))
+                s = score[k] + self.unknown
+                if score[k + 1] is None or s > score[k + 1]:
+                    score[k + 1], count[k + 1] = s, count[k] + len(text[done].encode("utf-8", "surrogatepass"))
+            score.append(None)
+            count.append(0)
+            done, single = done + 1, False
+            if k > KEPT + self.longest:
+                del score[:KEPT], count[:KEPT]
+                base += KEPT
 
         for end, (length, gain) in self.automaton.iter(text) if self.entries else ():
             while done < end:
-                unknown(done)
-                done, single = done + 1, False
+                close()
             # matches with one end come longest first, so the earliest beginning is tried first
-            s = score[end + 1 - length] + gain
-            if score[end + 1] is None or s > score[end + 1]:
-                score[end + 1], count[end + 1] = s, count[end + 1 - length] + 1
+            k = end + 1 - base
+            s = score[k - length] + gain
+            if score[k] is None or s > score[k]:
+                score[k], count[k] = s, count[k - length] + 1
             single = single or length == 1
         while done < n:
-            unknown(done)
-            done, single = done + 1, False
-        return count[n]
+            close()
+        return count[n - base]
 
     def __call__(self, text: str) -> int:
         if not text:
@@ -99,7 +109,8 @@ class Counter:
         return total
 
 
-_counters: dict[str, Counter] = {}
+#: Of this worker, by what the vocabulary holds.
+_counters: dict[int, Counter] = {}
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = VOCABULARY) -> DataFrame:
@@ -108,12 +119,13 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Null text: as an empty one, without tokens. Equal rows count alike; no rows give no rows. Only the two named columns
     are read. ``path``: the vocabulary file, on the driver; executors get its entries, which do not grow with the data.
     """
-    entries = docs.sparkSession.sparkContext.broadcast(vocabulary(path))  # a vocabulary, whatever the data
+    read = vocabulary(path)
+    entries, name = docs.sparkSession.sparkContext.broadcast(read), zlib.crc32(repr(read).encode())  # a vocabulary, whatever the data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _counters:
-            _counters[path] = Counter(entries.value)
-        counter = _counters[path]
+        if name not in _counters:
+            _counters[name] = Counter(entries.value)
+        counter = _counters[name]
         for batch in batches:
             texts = batch.column(1)
             n = [counter(t.as_py() or "") for t in texts]

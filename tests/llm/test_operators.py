@@ -185,7 +185,7 @@ def test_sharding(spark):
 
 def test_quality(spark):
     texts = [*corpus(120, 7), "a b c " * 40, "x\nx\n\n \nx # & |", "ABC!! " * 60]
-    rows = quality.judge(documents(spark, texts)).select("doc_id", "quality.*").collect()
+    rows = quality.judge(documents(spark, texts)).select("row.doc_id", "quality.*").collect()
     assert len(rows) == len(texts)
     for r in rows:
         t = texts[r.doc_id] or ""
@@ -199,6 +199,16 @@ def test_quality(spark):
     assert quality.judge(documents(spark, [])).count() == 0
 
 
+def test_quality_without_common_words(spark):
+    """A language of which no word is common is judged by its character classes; and columns may be named like the verdict."""
+    rng = random.Random(1)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=9)) for _ in range(100)) for _ in range(30)] + [" ".join(str(rng.randrange(10**9)) for _ in range(60))]
+    docs = documents(spark, texts).withColumns({"quality": F.lit(7), "W": F.lit("x"), "Quality2": F.lit(1)})
+    rows = {r.row.doc_id: r for r in quality.judge(docs).collect()}
+    assert all(rows[k].quality.kept for k in range(30)) and not rows[30].quality.kept and rows[30].quality.char_distance > quality.CHAR_LIMIT
+    assert rows[0].row.quality == 7 and quality.references(docs).first().ref_words == []
+
+
 def test_mixing(spark):
     texts = corpus(200, 9)
     sources = [random.Random(k).choice(["a", "b", "c", None]) for k in range(len(texts))]
@@ -309,6 +319,35 @@ def test_tokens(spark):
             assert count(x) == real(x)
 
 
+def all_segmentations(entries, unknown, piece):
+    """(score, tokens) of the best way to cut a piece, by trying every one; of equal scores the longest last entry, and so on to the left."""
+    if not piece:
+        return 0.0, 0
+    tried = []
+    for k in range(len(piece)):  # the last token begins at k
+        last = piece[k:]
+        if last in entries:
+            score, n = all_segmentations(entries, unknown, piece[:k])
+            tried.append((score + entries[last], -k, n + 1))
+        elif len(last) == 1:
+            score, n = all_segmentations(entries, unknown, piece[:k])
+            tried.append((score + unknown, -k, n + len(last.encode())))
+    best = max(tried)
+    return best[0], best[2]
+
+
+def test_tokens_by_all_segmentations(monkeypatch):
+    rng = random.Random(6)
+    monkeypatch.setattr(tokens, "KEPT", 3)  # places are dropped while a piece is read
+    for _ in range(200):  # whole scores: many ties
+        entries = {"".join(rng.choices("▁abé", k=rng.randint(1, 4))): -float(rng.randint(1, 4)) for _ in range(rng.randint(0, 9))}
+        count, unknown = tokens.Counter(tuple(entries.items())), min(entries.values(), default=0.0) - tokens.UNKNOWN_PENALTY
+        for _ in range(4):
+            text = "".join(rng.choices("abé ", k=rng.randint(1, 9)))
+            pieces = ["▁" + x for x in text.replace(" ", "▁").removeprefix("▁").split("▁")]
+            assert count(text) == sum(all_segmentations(entries, unknown, x)[1] for x in pieces)
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(2)
     x = rng.standard_normal((1500, 16)).astype(np.float32)
@@ -558,3 +597,42 @@ def test_near_copies_by_jaccard(spark, monkeypatch, small):
     first = set(want)
     assert not got - set(range(len(texts))) and first <= got  # no false link: every group keeps its first
     assert len(got - first) <= 0.02 * len(texts) and pairs > 1000
+
+
+def odd(spark):
+    """Two documents' worth of everything odd, with columns whose names the operators use themselves."""
+    texts = [None, "", " \n", "a" * 60, "One two three " * 40, "One two three " * 40, None, "x y z " * 30]
+    rows = [(i if i < 6 else None, t, None if i % 2 else "en", None if i % 3 else "s", i, "q", 1.5, b"k", [1]) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, quality string, Row double, node binary, size array<int>")
+
+
+def test_odd_tables(spark):
+    """Null ids, nulls in every column, repeated rows and clashing names, in each stage; then no rows at all."""
+    import corpus_pipeline
+
+    docs = odd(spark)
+    docs = docs.unionByName(docs)
+    for name, stage in corpus_pipeline.STAGES:
+        for rows, some in ((docs, True), (docs.limit(0), False)):
+            done = stage(spark, rows, "")
+            n = done.count()
+            assert n > 0 if some and name != "quality" else n == 0 or name == "quality"
+            assert name == "packing" or done.columns == rows.columns
+    for make in (lambda d: simhash.near_duplicates(d), lambda d: tokens.token_counts(d), lambda d: substrings.spans(d), lambda d: sharding.shard(d, sharding.tree(3)), lambda d: quality.judge(d), lambda d: pst.score(d, F.col("doc_id") == 1), lambda d: mixing.dealt(d)):
+        assert make(docs).count() == 16 and make(docs.limit(0)).count() == 0
+    none = spark.createDataFrame([], "vec_id long, embedding array<float>, t int, vec string")
+    assert neighbours.search(none, none).count() == 0
+
+
+def test_long_texts(spark):
+    """A text of over a piece's bytes, and blocks of over a stride: cut nowhere."""
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=rng.randint(1, 9))) for _ in range(500)]
+    long = " ".join(rng.choices(vocabulary, k=260_000))
+    texts = [long, long[: len(long) // 2] + " end", long[1000:3000], long[-90_000:].upper()]
+    assert len(long) > 1 << 20
+    docs = documents(spark, texts)
+    assert {r.id: r.fingerprint % (1 << 64) for r in simhash.near_duplicates(docs).collect()} == {i: fingerprint(t, 4) for i, t in enumerate(texts)}
+    done = substrings.spans(docs).collect()
+    assert Counter((r.id, r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in done) == removed(list(enumerate(texts)))
+    assert {r.id: r.n_tokens - 1 for r in pst.score(docs, F.lit(False)).collect()} == {i: len(words(t)) for i, t in enumerate(texts)}
