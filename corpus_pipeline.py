@@ -18,23 +18,28 @@ from meridia.llm.common import checkpointed, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.judge(docs).where("quality.kept").drop("quality")
+    """Rows that the quality rules keep, with all columns, of any names. Null and short texts go; equal rows are judged alike; no rows give no rows."""
+    return quality.judge(docs).where("quality.kept").select("row.*")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near-duplicates, the one with the smallest id; a null id stands last, of equal rows one stays. Null and empty texts are one group."""
     return neardup.one_of_each(docs)
 
 
 def substrings_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, their texts without bytes of passages that a smaller id has; ``n_chars``, where there is such a column, follows. Null texts stay null; rows of one id, or without one, take nothing from each other."""
     left = substrings.remove(docs)
     return left.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else left
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows as often as the mix takes them. Texts without words, and null ones, are not taken; a null source is one of its own, equal rows are taken alike."""
     return mixing.mixed_documents(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of each row: doc_id, piece, first, size, bin_group, bin, bin_length, offset. Texts without words need no place; equal rows are packed each."""
     return packing.pack_documents(docs).withColumnRenamed("id", "doc_id").withColumnRenamed("group", "bin_group")
 
 
