@@ -3,17 +3,17 @@
 Vectors are scaled to length one, where the largest cosine is the least distance. Each of ``TABLES`` tables has some
 Gaussian projections, cut into cells of width ``WIDTH``; the cells of a vector are its bucket. A query visits its own
 bucket and buckets with one or more cells moved to a neighbour, in order of the estimated chance of success: the sum of
-squared distances from the query to the borders that a move crosses. What all tables give is merged and ranked by exact
-cosine on the original vectors.
+the squared distances from this query to the borders that a move crosses. What all tables give is merged and ranked by
+exact cosine on the original vectors.
 
-How many projections a table has follows from the number of rows, and how many buckets are visited is fitted on at most
-``SAMPLE`` vectors, so that their own neighbours are found at a recall of ``RECALL``; every row is indexed. A query that
-finds fewer than it should is held against all rows, in blocks.
+How many projections a table has follows from the number of rows, and how many buckets are visited is fitted on
+``SAMPLE`` vectors, which are held against all rows, so that their neighbours are found at a recall of ``RECALL``; every row
+is indexed. A query that finds fewer than it should is held against all rows, in blocks.
 
 Scale. Equal vectors are one entry with its ``k`` + 1 smallest ids, however many rows have them; ids are cut to that in
-each input partition before they are shuffled. The order of the buckets comes from one template of expected distances
-for all vectors, so that a query's buckets are a product of matrices and are made again where they are looked up: only
-its vector is sent, once to each group of buckets that it visits. A group has entries of one table. A bucket of over
+each input partition before they are shuffled. Which moves may be among a query's first comes from one template of expected
+distances, ``SPARE`` times as long; its own distances put them in order. So a query's buckets are a product of matrices and
+are made again where they are looked up: only its vector is sent, once to each group of buckets that it visits. A group has entries of one table. A bucket of over
 ``GROUP`` entries is cut into pieces; these buckets, one in ``GROUP`` entries at most, are known to all tasks. A task holds
 the entries of one group and reads its queries in batches.
 """
@@ -33,13 +33,14 @@ from pyspark.sql import functions as F
 
 from meridia.llm.common import checkpointed, shuffle_partitions, table
 
-TABLES = 4
+TABLES = 8
 WIDTH = 2.0
 SEED = 6
-SAMPLE = 2000
-RECALL = 0.97
-ROWS_PER_BUCKET = 200
+SAMPLE = 200
+RECALL = 0.93
+ROWS_PER_BUCKET = 20
 MOST_PROBES = 4096
+SPARE = 4
 #: Entries of a group of buckets, and of a piece of a bucket, on average; groups of a table at least.
 GROUP = 8192
 LEAST_GROUPS = 4
@@ -71,10 +72,14 @@ class Hashes:
         cells = np.floor(places)
         low = places - cells
         borders = np.concatenate([low, 1 - low], axis=1)
+        order = np.argsort(borders, axis=1, kind="stable")
         step = self.mix[t] * np.int64(2 * TABLES + 1)
-        moves = np.take_along_axis(np.broadcast_to(np.concatenate([-step, step]), borders.shape), np.argsort(borders, axis=1, kind="stable"), axis=1)
+        moves = np.take_along_axis(np.broadcast_to(np.concatenate([-step, step]), borders.shape), order, axis=1)
+        made = template(places.shape[1], SPARE * n)
+        cost = np.take_along_axis(borders, order, axis=1) ** 2 @ made.T
+        first = np.argsort(cost, axis=1, kind="stable")[:, :n]
         with np.errstate(over="ignore"):
-            return self.keys(cells, t)[:, None] + moves @ template(places.shape[1], n).T
+            return self.keys(cells, t)[:, None] + np.take_along_axis(moves @ made.T, first, axis=1)
 
 
 @functools.lru_cache(maxsize=64)
@@ -106,37 +111,31 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def fit(samples: list[np.ndarray], projections: int, k: int) -> tuple[int, int]:
-    """(projections, visits): so many buckets of a table, a power of two, that each sample finds its own neighbours.
+def fit(samples: list[tuple[np.ndarray, np.ndarray]], projections: int) -> tuple[int, int]:
+    """(projections, visits): so many buckets of a table that vectors find their neighbours; ``samples`` are pairs of both, row by row.
 
     Where ``MOST_PROBES`` buckets don't, there are fewer projections, whose buckets are larger.
     """
-    samples = [unit(x) for x in samples if len(x) > k + 1]
     while samples:
-        recall = [_recall(x, projections, k) for x in samples]
-        n = 1
-        while n < MOST_PROBES and min(r[n - 1] for r in recall) < RECALL:
-            n *= 2
-        if projections == 1 or min(r[n - 1] for r in recall) >= RECALL:
-            return projections, n
+        recall = [_recall(unit(x), unit(y), projections) for x, y in samples]
+        enough = all(r[-1] >= RECALL for r in recall)
+        if projections == 1 or enough:
+            return projections, max(int(np.argmax(r >= RECALL)) + 1 if r[-1] >= RECALL else MOST_PROBES for r in recall)
         projections -= 1
     return projections, 1
 
 
-def _recall(x: np.ndarray, projections: int, k: int) -> np.ndarray:
-    """The share of their k neighbours that up to 200 of the vectors find with 1, 2, ... ``MOST_PROBES`` buckets."""
-    hashes, asked = Hashes(x.shape[1], projections), np.arange(0, len(x), max(1, len(x) // 200))
-    cos = x[asked] @ x.T
-    cos[np.arange(len(asked)), asked] = -2
-    true = np.argsort(-cos, axis=1)[:, :k]
-    places = hashes.places(x)
-    first = np.full(true.shape, MOST_PROBES)
+def _recall(x: np.ndarray, y: np.ndarray, projections: int) -> np.ndarray:
+    """The share of the ``y`` that their ``x`` finds with 1, 2, ... ``MOST_PROBES`` buckets."""
+    hashes = Hashes(x.shape[1], projections)
+    places, keyed = hashes.places(x), np.floor(hashes.places(y))
+    first = np.full(len(x), MOST_PROBES)
     for t in range(TABLES):
-        keys, probed = hashes.keys(np.floor(places[t]), t), hashes.probes(places[t][asked], t, MOST_PROBES)
-        for j in range(k):
-            hit = probed == keys[true[:, j]][:, None]
-            first[:, j] = np.minimum(first[:, j], np.where(hit.any(axis=1), hit.argmax(axis=1), MOST_PROBES))
-    return np.cumsum(np.bincount(first.ravel(), minlength=MOST_PROBES + 1)[:MOST_PROBES]) / first.size
+        keys = hashes.keys(keyed[t], t)
+        for at in range(0, len(x), ASKED):
+            hit = hashes.probes(places[t][at : at + ASKED], t, MOST_PROBES) == keys[at : at + ASKED, None]
+            first[at : at + ASKED] = np.minimum(first[at : at + ASKED], np.where(hit.any(axis=1), hit.argmax(axis=1), MOST_PROBES))
+    return np.cumsum(np.bincount(first, minlength=MOST_PROBES + 1)[:MOST_PROBES]) / len(first)
 
 
 def entries(vectors: DataFrame, id_col: str, vec_col: str, k: int) -> DataFrame:
@@ -185,11 +184,7 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_c
     parts = shuffle_partitions(vectors.sparkSession)
     base = checkpointed(entries(vectors, id_col, vec_col, k))
     total = base.count()
-    drawn = base.orderBy(F.xxhash64("key")).select("dim", "vec").limit(SAMPLE).collect()
-    dims: dict[int, list] = {}
-    for r in drawn:
-        dims.setdefault(r["dim"], []).append(r["vec"])
-    projections, visits = fit([np.array(v, np.float64) for v in dims.values()], max(2, int(np.ceil(np.log(max(2.0, total / ROWS_PER_BUCKET)) / np.log(2.2)))), k)
+    projections, visits = 1, 1  # until they are fitted
     each = max(LEAST_GROUPS, -(-total // GROUP))  # groups of a table
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, Hashes, np.ndarray]]:
@@ -206,10 +201,6 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_c
                 key = pa.array(hashes.keys(np.floor(places[n]), n))
                 yield from own.select(["id", "ids", "vec"]).append_column("bucket", key).append_column("t", pa.array(np.full(len(key), n, np.int32))).to_batches()
 
-    posted = base.select("dim", "id", "ids", "vec").mapInArrow(post, "id long, ids array<long>, vec array<float>, bucket long, t int")
-    large = sorted((r["bucket"], -(-r["n"] // GROUP)) for r in posted.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).collect())
-    large_key, large_pieces = np.array([r[0] for r in large], np.int64), np.array([r[1] for r in large], np.int64)
-
     def pieces(key: np.ndarray) -> np.ndarray:
         """Into how many pieces the buckets are cut."""
         if not len(large_key):
@@ -220,6 +211,8 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_c
     def group_of(key: np.ndarray, t: np.ndarray | int, piece: np.ndarray | int) -> np.ndarray:
         return (t + TABLES * (((key ^ (key >> 29)) % 1_000_003 + piece) % each)).astype(np.int32)
 
+    large_key, large_pieces = np.empty(0, np.int64), np.empty(0, np.int64)
+
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key, t, own = (batch.column(n).to_numpy() for n in ("bucket", "t", "id"))
@@ -308,6 +301,27 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_c
     def ranked(rows: DataFrame, whole: bool) -> DataFrame:
         return rows.repartition(parts, "g").sortWithinPartitions("g", "side", "id").mapInArrow(rank(whole), out_schema)
 
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(each - 1))).alias("g")
+    none = F.array().cast("array<long>").alias("ids")
+    blocks = base.select(F.pmod(F.xxhash64("id"), F.lit(each)).cast("int").alias("g"), F.lit(0).alias("side"), "id", F.lit(0).cast("long").alias("bucket"), "ids", "vec")
+
+    def in_all(few: DataFrame) -> DataFrame:
+        """What entries (id, vec) find among all rows, in blocks: their k + 1 best of each."""
+        return ranked(blocks.unionByName(few.select(everywhere, F.lit(1).alias("side"), "id", F.lit(0).cast("long").alias("bucket"), none, "vec")), True)
+
+    sample = checkpointed(base.orderBy(F.xxhash64("key")).limit(SAMPLE))
+    near = in_all(sample).where("q != id").withColumn("r", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "id"))).where(F.col("r") <= k)
+    pairs = near.join(sample.select(F.col("id").alias("q"), "dim", F.col("vec").alias("x")), "q").join(base.select("id", F.col("vec").alias("y")), "id").select("dim", "x", "y").collect()  # k of each
+    dims: dict[int, list] = {}
+    for r in pairs:
+        dims.setdefault(r["dim"], []).append((r["x"], r["y"]))
+    wanted_projections = max(2, int(np.ceil(np.log(max(2.0, total / ROWS_PER_BUCKET)) / np.log(2.2))))
+    projections, visits = fit([tuple(np.array(side, np.float64) for side in zip(*v)) for v in dims.values()], wanted_projections)
+
+    posted = base.select("dim", "id", "ids", "vec").mapInArrow(post, "id long, ids array<long>, vec array<float>, bucket long, t int")
+    large = sorted((r["bucket"], -(-r["n"] // GROUP)) for r in posted.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).collect())
+    large_key, large_pieces = np.array([r[0] for r in large], np.int64), np.array([r[1] for r in large], np.int64)
+
     asked = queries.select(F.col(f"`{id_col}`").cast("long").alias("query_id"), F.xxhash64(F.col(f"`{vec_col}`").cast("array<float>")).alias("key"), F.xxhash64(F.col(f"`{vec_col}`").cast("array<float>"), F.lit(1)).alias("key2")).distinct()
     keyed = base.withColumn("key2", F.xxhash64("vec", F.lit(1)))
     asked = checkpointed(asked.join(keyed.select("key", "key2", F.col("id").alias("q")), ["key", "key2"]).select("query_id", "q"))
@@ -325,11 +339,8 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_c
     short = checkpointed(asked.join(done.where(F.col("rank") == k).select("query_id"), "query_id", "left_anti"))
     if not short.limit(1).count():
         return done
-    # the rest: each against all rows, in blocks
-    blocks = base.select(F.pmod(F.xxhash64("id"), F.lit(each)).cast("int").alias("g"), F.lit(0).alias("side"), "id", F.lit(0).cast("long").alias("bucket"), "ids", "vec")
-    again = base.join(short.select(F.col("q").alias("id")).distinct(), "id", "left_semi")
-    again = again.select(F.explode(F.sequence(F.lit(0), F.lit(each - 1))).alias("g"), F.lit(1).alias("side"), "id", F.lit(0).cast("long").alias("bucket"), F.array().cast("array<long>").alias("ids"), "vec")
-    whole = nearest(ranked(blocks.unionByName(again), True)).join(short.select("query_id"), "query_id", "left_semi")
+    again = base.join(short.select(F.col("q").alias("id")).distinct(), "id", "left_semi")  # the rest
+    whole = nearest(in_all(again)).join(short.select("query_id"), "query_id", "left_semi")
     return done.join(short.select("query_id"), "query_id", "left_anti").unionByName(whole)
 
 
