@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from meridia.functions import fields
 from meridia.operators import filters
+from meridia.plans.contracts import CONTRACTS
 
 #: Talk and content namespaces, and the tiers that the business page shows.
 TALK = (1, 3, 5, 7, 9, 11, 13, 15, 101, 829, 1729)
@@ -86,6 +87,10 @@ class Serving:
         one = lambda page: self.metric(PAGES[page][0]).agg(F.min("wiki").alias("wiki"), F.max("year_month").alias("max_month")).select(F.lit(page).alias("page"), "wiki", "max_month")
         return reduce(DataFrame.unionByName, map(one, PAGES))
 
+    def counts(self) -> DataFrame:
+        """Rows of every dataset."""
+        return reduce(DataFrame.unionByName, (self.metric(n).agg(F.count("*").alias("rows")).select(F.lit(n).alias("dataset"), "rows") for n in CONTRACTS))
+
     # output
 
     def output(self) -> DataFrame:
@@ -305,7 +310,7 @@ SERVING: dict[str, Callable[[Serving], DataFrame]] = {
     "H2_gdp_yearly": Serving.output, "H3_gdp_by_type": Serving.by_type, "H4_gdp_by_namespace": Serving.by_namespace, "H5_gdp_tiers": Serving.tiers, "H6_gdp_type_share": Serving.type_share,
     "H7_labor_yearly": Serving.workforce, "H8_labor_by_type": Serving.labor_by_type, "H9_labor_churn": Serving.churn, "H10_labor_cohorts": Serving.cohorts, "H12_inequality_yearly": Serving.inequality,
     "H14_business_churn": Serving.business_churn, "H15_business_tiers": Serving.business_tiers, "H16_business_survival": Serving.survival, "H17_business_equilibrium": Serving.equilibrium_rows, "H18_business_cohorts": Serving.cohorts,
-    "H19_business_yearly": Serving.yearly_bytes, "H20_business_funnel": Serving.funnel, "H21_weekly_summary": Serving.weekly_summary, "H22_weekly_top20": lambda s: s.surge().drop("page_id"), "H23_patrol_yearly": Serving.patrol, "H27_defaults": Serving.defaults,
+    "H19_business_yearly": Serving.yearly_bytes, "H20_business_funnel": Serving.funnel, "H21_weekly_summary": Serving.weekly_summary, "H22_weekly_top20": lambda s: s.surge().drop("page_id"), "H23_patrol_yearly": Serving.patrol, "H26_manifest": Serving.counts, "H27_defaults": Serving.defaults,
     "I1_edit_survival": Serving.edit_survival, "I2_equilibrium": Serving.equilibrium, "I3_bytes_per_editor": Serving.bytes_per_editor, "I3_D13_ltv": Serving.ltv, "I4_kpis": Serving.kpis, "I5_funnel_long": Serving.funnel_long, "I6_bytes_per_editor_tier": Serving.tier_bytes,
     "I7_retention": Serving.heatmap, "I7_cohort_sizes": Serving.cohort_sizes, "I8_D12_survival_summary": Serving.survival_summary, "I9_churn_long": Serving.churn_long, "I10_D10_type_share": Serving.type_shares, "I10_tier_share": Serving.tier_shares,
     "I11_C16_sector_output": Serving.sectors, "I12_productivity": Serving.productivity, "I12_revert_rate": Serving.revert_rate, "I13_fragility": Serving.fragility, "I13_patrol_fragility": Serving.patrol_fragility, "I14_patrol_kpis": Serving.patrol_kpis,

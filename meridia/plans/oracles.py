@@ -124,6 +124,7 @@ SERVING = {
     "H21_weekly_summary": f"SELECT count(*) AS \"rows\", min(week_start) AS min_week, max(week_start) AS max_week FROM {{page_weekly_edits}} WHERE wiki = '{WIKI}' AND page_namespace = 0",
     "H22_weekly_top20": f"SELECT week_start, (week_start::DATE + 6)::DATE::VARCHAR AS week_end, page_title, previous_week_edits, edits, wow_change, wow_rate FROM ({TOP20})",
     "H23_patrol_yearly": PATROL_YEARLY,
+    "H26_manifest": " UNION ALL ".join(f"SELECT '{n}' AS dataset, count(*) AS \"rows\" FROM {{{n}}}" for n in ("gdp", "gdp_user_type_share", "gdp_activity_tiers", "business_funnel", "labor_monthly", "labor_cohorts", "labor_churn", "inequality", "page_weekly_edits", "patrol")),
     "H27_defaults": f"SELECT 'gdp' AS page, min(wiki) AS wiki, max(year_month) AS max_month FROM {{gdp}} UNION ALL SELECT 'labor', min(wiki), max(year_month) FROM {{labor_monthly}} UNION ALL SELECT 'business', min(wiki), max(year_month) FROM {{labor_monthly}} UNION ALL SELECT 'inequality', min(wiki), max(year_month) FROM {{inequality}} UNION ALL SELECT 'patrol', min(wiki), max(year_month) FROM {{patrol}}",
     "I1_edit_survival": f"SELECT *, CASE WHEN total_edits > 0 THEN (total_edits - reverted_edits)::DOUBLE / total_edits ELSE 0e0 END AS survival_rate FROM ({SURVIVAL})",
     "I2_equilibrium": f"SELECT *, talk_edits::DOUBLE / content_reverts AS ratio FROM ({EQUILIBRIUM})",
