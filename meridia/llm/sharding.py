@@ -4,7 +4,8 @@ Each shard draws for each id an exponential time, by hash, at a rate of its weig
 shards' draws and a region's the least of its racks', so that a node wins at a rate of the weight below it. An id
 descends: the region with the least draw, in it the rack, in that the shard. A draw depends on the id and the shard
 alone. So adding a shard, or raising its weight, can only lower the draws on its own path: rows move into that shard
-and nowhere else, and a subtree whose weights stay keeps its rows.
+and nowhere else, and a subtree whose weights stay keeps its rows. The shard that a descent ends at is the one of the least
+draw of all, as of a flat draw over all shards; draws of their own at each level would let rows move within a region.
 
 Scale. A row's shard is an expression on its id. Slots come from counts of (shard, bucket) and a row number within
 such a bucket; no task orders a whole shard, and texts are never shuffled.

@@ -183,6 +183,29 @@ def test_sharding(spark):
     assert all(r.shard == r.grown_shard or r.grown_shard == 2 for r in heavy) and any(r.shard != r.grown_shard for r in heavy)
 
 
+def test_sharding_by_definition(spark):
+    """Level by level, from hashes made without Spark; which comes to the least draw of all leaves."""
+    import math
+    import struct
+
+    def draw(key, leaf):
+        h = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+        h = xxhash.xxh64_intdigest(struct.pack("<i", leaf.shard), h)
+        return -math.log(((h >> 11) + 0.5) / 2**53) / leaf.weight
+
+    def descend(key, leaves):
+        for level in ("region", "rack", "shard"):
+            best = {n: min(draw(key, x) for x in leaves if getattr(x, level) == n) for n in {getattr(x, level) for x in leaves}}
+            leaves = [x for x in leaves if getattr(x, level) == min(best, key=best.get)]
+        return leaves[0].shard
+
+    leaves = sharding.tree(11, {3: 4.0, 5: 0.5, 7: 0.0})
+    keys = [*range(400), -5, 1 << 62, None]
+    got = {r.id: r.shard for r in sharding.shard(documents(spark, ["x"] * len(keys), ids=keys), leaves).collect()}
+    alive = [x for x in leaves if x.weight > 0]
+    assert got == {k: descend(k, alive) for k in keys} == {k: min(alive, key=lambda x: draw(k, x)).shard for k in keys}
+
+
 def test_quality(spark):
     texts = [*corpus(120, 7), "a b c " * 40, "x\nx\n\n \nx # & |", "ABC!! " * 60]
     rows = quality.judge(documents(spark, texts)).select("row.doc_id", "quality.*").collect()
@@ -636,3 +659,57 @@ def test_long_texts(spark):
     done = substrings.spans(docs).collect()
     assert Counter((r.id, r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in done) == removed(list(enumerate(texts)))
     assert {r.id: r.n_tokens - 1 for r in pst.score(docs, F.lit(False)).collect()} == {i: len(words(t)) for i, t in enumerate(texts)}
+
+
+def test_pipeline_by_brute_force(spark, tmp_path):
+    """run() against the same five steps without Spark: DuckDB for quality and mix, all pairs for near copies, every 50-byte string for passages."""
+    import duckdb
+
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    vocabulary = ["".join(rng.choices("abcdefghiklmnoprstu", k=rng.randint(2, 8))) for _ in range(400)]
+    weights = [1 / (k + 3) for k in range(400)]
+    prose = lambda n: rng.choices(vocabulary, weights, k=n)
+    passage, texts = " ".join(prose(60)), []
+    for k in range(60):
+        w = prose(rng.randint(80, 220))
+        texts.append(" ".join(w) + (" " + passage if k % 7 == 0 else ""))
+        if k % 3 == 0:  # near copies at similarities of about 0.75, 0.84 and 0.9, and exact ones
+            edits = {0: len(w) // 35, 3: len(w) // 58, 6: len(w) // 95, 9: 0}[k % 12]
+            texts.append(" ".join(edited(rng, w, edits)) + (" " + passage if k % 7 == 0 else ""))
+    texts += [None, "", "too short", "1 2 3 " * 40, " ".join(str(rng.randrange(10**8)) for _ in range(90))]
+    rows = [(i, t, "en", "abc"[i % 3] if i % 11 else None, len(t or "")) for i, t in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    kept = sorted(i for (i,) in con.sql(f"SELECT doc_id FROM ({quality.OP5_SQL}) WHERE kept").fetchall())
+    label, pairs = jaccard_groups([texts[i] for i in kept])
+    left = [i for n, i in enumerate(kept) if label[n] == n]
+    assert pairs > 8 and len(kept) - len(left) > 12 and len(kept) < len(texts) - 4
+    first, bare = {}, {}
+    for i in left:
+        t = texts[i].encode()
+        for p in range(len(t) - 49):
+            first.setdefault(t[p : p + 50], i)
+    for i in left:
+        t, gone = texts[i].encode(), bytearray(len(texts[i].encode()))
+        for p in range(len(t) - 49):
+            if first[t[p : p + 50]] < i:
+                gone[p : p + 50] = b"\x01" * 50
+        bare[i] = bytes(b for b, g in zip(t, gone) if not g).decode(errors="ignore")
+    assert any(bare[i] != texts[i] for i in left)
+    con.sql("DROP VIEW documents")
+    con.sql("CREATE TABLE documents (doc_id BIGINT, source VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", [(i, rows[i][3], t) for i, t in bare.items()])
+    want = Counter()
+    for i, size, taken in con.sql(f"SELECT doc_id, size, taken FROM ({mixing.OP8_SQL})").fetchall():
+        if taken:
+            want[(i, 0, 0, size)] += taken // size
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.piece, r.first, r.size) for r in got) == want
+    held = Counter()
+    for r in got:
+        held[(r.bin_group, r.bin, r.bin_length)] += r.size
+    assert all(n <= length for (_, _, length), n in held.items())
