@@ -9,19 +9,23 @@ only if the Jaccard similarity of the two sets reaches ``SIMILARITY``. So no lin
 shares none of the triples, which at a similarity of 0.8 is a matter of chance (see the README for measured recall).
 
 A list of many similar rows has a square of candidates. A unit of work (a list, or two blocks of a long one) therefore
-proposes a spanning forest of its candidates, nearest first. If all of a unit's proposals are verified, every pair of it
-is connected, and the unit is done. A unit with refuted proposals proposes again, without those, between the components
-found so far; after ``ROUNDS`` rounds it proposes all candidates that are left. So no candidate goes undecided.
+proposes a spanning forest of its candidates, nearest first, and the distinct proposals are verified. Where all of them
+hold, every candidate of the unit is connected. Groups of rows in which a proposal was refuted are settled in a second
+round: the group's rows meet with their texts, in blocks, and the candidates that join different parts of what is verified
+so far are verified in place, nearest first, until they are joined or none is left. Only links come out of it. The rows
+of a group's largest part are connected already and do not meet each other again. So no candidate goes undecided.
 
 Scale. Rows with equal sets are one entry. Entries send each triple one compressed message for many of them, and of a
 triple's lists (split by key where there are many entries) only those of two or more entries come back. Units hold at most
-two blocks of entries (``simhash.BLOCK``). Candidates carry ids; texts, compressed, are joined to distinct proposals alone.
+two blocks of entries (``simhash.BLOCK``). Candidates carry ids; texts, compressed, are joined to distinct proposals and to
+the rows of refuted groups alone.
 A key has 24 bits, so a list of unrelated rows has one in 2 ** 24.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,18 +38,17 @@ from pyspark.sql import functions as F
 from meridia.llm.blocks import narrow, pack, unpack
 from meridia.llm.common import checkpointed, shuffle_partitions, utf8
 from meridia.llm.components import components
-from meridia.llm.simhash import bit_counts, further, grouped_batches, shared_bytes, shingle_hashes, units
+from meridia.llm.simhash import BLOCK, bit_counts, further, grouped_batches, shared_bytes, shingle_hashes, units
 
 WIDTH = 5
 SIMILARITY = (4, 5)
 WORDS = 8
 GROUPS = 288
 #: The share of bits in which a pair may differ: a similarity of 0.8 turns 0.151 of them, give or take 0.016.
-DIFFERING = 0.20
+DIFFERING = 0.185
 #: Pairs that differ in at most this share belong together nearly for certain; they are proposed without looking for the nearest.
 CLOSE = 0.08
 LEAST_SHARED = 7
-ROUNDS = 3
 #: Up to this size the candidates of a list are looked at together with those of other lists.
 SMALL = 16
 #: Entries whose keys under one triple stand in one task.
@@ -149,12 +152,10 @@ def postings(entries: DataFrame) -> DataFrame:
 
 
 class Unit:
-    """The entries of some units of work: fingerprints, sizes, components so far, and refuted pairs of nodes."""
+    """The entries of some units of work: fingerprints, sizes, and components so far."""
 
-    def __init__(self, node: np.ndarray, prints: np.ndarray, n: np.ndarray, root: np.ndarray, refuted: np.ndarray, small: int):
+    def __init__(self, node: np.ndarray, prints: np.ndarray, n: np.ndarray, root: np.ndarray, small: int):
         self.node, self.prints, self.n, self.root, self.small = node, prints, n.astype(np.int64), root, small
-        #: sorted hashes of refuted pairs
-        self.refuted = refuted
         self.most, self.close = int(DIFFERING * 64 * WORDS), int(CLOSE * 64 * WORDS)
 
     def distance(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -169,23 +170,12 @@ class Unit:
             fits[at] = shared_bytes(x[at]).sum(axis=-1, dtype=np.int64) >= LEAST_SHARED
         return np.where(fits, d, 64 * WORDS + 1)
 
-    def open(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether pairs are neither connected nor refuted so far."""
-        apart = self.root[a] != self.root[b]
-        if len(self.refuted) and len(a):
-            names = pair_name(self.node[a], self.node[b])
-            at = np.minimum(np.searchsorted(self.refuted, names), len(self.refuted) - 1)
-            apart &= self.refuted[at] != names
-        return apart
-
-    def propose(self, lo: int, hi: int, whole: bool) -> list[tuple[int, int]]:
-        """A spanning forest of the open candidates among places lo to hi; all of them, if ``whole``."""
-        a, b, d = self.pairs(lo, hi)
-        ok = self.open(a, b)
+    def forest(self, lo: int, hi: int, holds: Callable[[int, int], bool] | None = None) -> list[tuple[int, int]]:
+        """Candidates among places lo to hi that join different components, nearest first, if they hold; without ``holds``, they do."""
+        a, b, d = self.pairs(lo, hi, holds is not None)
+        ok = self.root[a] != self.root[b]
         a, b, d = a[ok], b[ok], d[ok]
         order = np.lexsort((self.node[b], self.node[a], d))
-        if whole:
-            return list(zip(a[order].tolist(), b[order].tolist()))
         label: dict[int, int] = {}
 
         def find(x: int) -> int:
@@ -194,16 +184,18 @@ class Unit:
             return x
 
         out = []
-        roots = self.root
         for x, y in zip(a[order].tolist(), b[order].tolist()):
-            p, q = find(int(roots[x])), find(int(roots[y]))
-            if p != q:
+            p, q = find(int(self.root[x])), find(int(self.root[y]))
+            if p != q and (holds is None or holds(x, y)):
                 label[p] = q
                 out.append((x, y))
         return out
 
-    def pairs(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Candidates among places lo to hi. Of a long list, those to the first row that is close, and between rows that are close to none before."""
+    def pairs(self, lo: int, hi: int, every: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Candidates among places lo to hi. ``every``: all that join different components; else enough to connect what all connect.
+
+        Of a long list, first those to a row that is close, or of one component; then those between rows that are not.
+        """
         if hi - lo <= 4 * self.small:
             a, b = np.triu_indices(hi - lo, 1)
             d = self.distance(a + lo, b + lo)
@@ -213,7 +205,7 @@ class Unit:
         while len(rest):
             x, rest = rest[0], rest[1:]
             d = self.distance(np.full(len(rest), x), rest)
-            near = d <= self.close
+            near = self.root[rest] == self.root[x] if every else d <= self.close
             out.append((np.full(int(near.sum()), x), rest[near], d[near]))
             heads.append(x)
             rest = rest[~near]
@@ -236,7 +228,7 @@ class Unit:
             d = self.distance(rows[:, None], others[None, :])
             i, j = np.nonzero((d <= self.most) & (head[at:upto][:, None] != head[first:][None, :]) & (np.arange(at, upto)[:, None] < np.arange(first, len(member))[None, :]))
             a, b, d, p, q = rows[i], others[j], d[i, j], head[at + i], head[first + j]
-            if not len(self.refuted):  # the nearest of two groups connects them
+            if not every:  # the nearest of two groups connects them
                 order = np.lexsort((b, a, d, q, p))
                 p, q = p[order], q[order]
                 order = order[np.append(True, (p[1:] != p[:-1]) | (q[1:] != q[:-1]))[: len(p)]]
@@ -246,66 +238,68 @@ class Unit:
         return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def pair_name(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """A hash of an unordered pair of nodes."""
-    low, high = np.minimum(a, b).view(np.uint64), np.maximum(a, b).view(np.uint64)
-    return further(low ^ further(high, 1), 2)
-
-
-def proposals(dealt: DataFrame, whole: bool, parts: int) -> DataFrame:
-    """(key, i, j, u, v): what each unit of ``dealt`` proposes."""
-    names, small = ["key", "i", "j", "node", "n", "root", "refuted", *COLUMNS], SMALL
+def solved(dealt: DataFrame, parts: int, width: int | None = None) -> DataFrame:
+    """(key, i, j, u, v): the forest that each unit of ``dealt`` proposes; with texts ``z`` and ``width``, of verified links."""
+    names, small = ["key", "i", "j", "node", "n", "root", *COLUMNS, *(["z"] if width else [])], SMALL
 
     def solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        cols = {c: t[c].to_numpy() for c in names if c != "refuted"}
-        refuted = np.unique(t["refuted"].combine_chunks().flatten().to_numpy()).view(np.uint64) if t["refuted"].null_count < t.num_rows else np.empty(0, np.uint64)
-        refuted.sort()
-        unit = Unit(cols["node"], np.stack([cols[c] for c in COLUMNS], axis=1).view(np.uint64), cols["n"], cols["root"], refuted, small)
+        cols = {c: t[c].to_numpy() for c in names if c != "z"}
+        unit = Unit(cols["node"], np.stack([cols[c] for c in COLUMNS], axis=1).view(np.uint64), cols["n"], cols["root"], small)
         key, i, j = cols["key"], cols["i"], cols["j"]
-        new = np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
-        starts = np.nonzero(new)[0]
+        starts = np.nonzero(np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))[0]
         sizes = np.diff(np.append(starts, len(key)))
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        two = starts[sizes == 2]
-        ok = (unit.distance(two, two + 1) <= unit.most) & unit.open(two, two + 1)
-        found.append((two[ok], two[ok] + 1))
-        for n in range(3, small + 1):  # lists with a candidate at all, of a size together
-            at = starts[sizes == n]
-            if len(at):
-                a, b = np.triu_indices(n, 1)
-                hit = (unit.distance(at[:, None] + a, at[:, None] + b) <= unit.most).sum(axis=1)
-                for lo in at[hit > 0].tolist():
-                    found.append(columns(unit.propose(lo, lo + n, whole)))
-        for lo, n in zip(starts[sizes > small].tolist(), sizes[sizes > small].tolist()):
-            found.append(columns(unit.propose(lo, lo + n, whole)))
-        a, b = (np.concatenate(x) for x in zip(*found))
+        found: list[tuple[int, int]] = []
+        if width:
+            texts = t["z"]
+            for lo, n in zip(starts.tolist(), sizes.tolist()):
+                grams = cache(lambda x: shingle_set(zstandard.decompress(texts[x].as_py()), width))
+                found += unit.forest(lo, lo + n, lambda x, y: similar(grams(x), grams(y)))
+        else:
+            two = starts[sizes == 2]
+            ok = unit.distance(two, two + 1) <= unit.most
+            found += [(x, x + 1) for x in two[ok].tolist()]
+            for n in range(3, small + 1):  # lists with a candidate at all, of a size together
+                at = starts[sizes == n]
+                if len(at):
+                    a, b = np.triu_indices(n, 1)
+                    hit = (unit.distance(at[:, None] + a, at[:, None] + b) <= unit.most).sum(axis=1)
+                    for lo in at[hit > 0].tolist():
+                        found += unit.forest(lo, lo + n)
+            for lo, n in zip(starts[sizes > small].tolist(), sizes[sizes > small].tolist()):
+                found += unit.forest(lo, lo + n)
+        a, b = np.array(found, np.int64).reshape(-1, 2).T
         u, v = np.maximum(unit.node[a], unit.node[b]), np.minimum(unit.node[a], unit.node[b])
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[a], i[a], j[a], u, v)], names=["key", "i", "j", "u", "v"])
 
-    def columns(pairs: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-        made = np.array(pairs, np.int64).reshape(-1, 2)
-        return made[:, 0], made[:, 1]
-
     ordered = dealt.select(names).repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
     return ordered.mapInArrow(grouped_batches(solve, ["key", "i", "j"]), "key long, i int, j int, u long, v long")
 
 
-def verify(pairs: DataFrame, entries: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """(u, v, ok): whether the sets of each pair reach the similarity; exactly, from the texts of ``docs`` (id, sum, text)."""
-    ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    wanted = entries.join(ends, "node", "left_semi").select("node", F.col("least.id").alias("id"), F.col("least.sum").alias("sum"))
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether the Jaccard similarity of two ascending sets reaches ``SIMILARITY``."""
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    same = int((both[1:] == both[:-1]).sum())
+    return SIMILARITY[1] * same >= SIMILARITY[0] * (len(x) + len(y) - same)
+
+
+def packed_texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, z): the compressed text of each entry of ``wanted`` (node, least), from ``docs`` (id, sum, text)."""
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             z = zstandard.ZstdCompressor(level=3)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([z.compress(t.as_py()) for t in batch.column(1)], pa.binary())], names=["node", "z"])
 
+    wanted = wanted.select("node", F.col("least.id").alias("id"), F.col("least.sum").alias("sum"))
     found = docs.join(wanted, docs["id"].eqNullSafe(wanted["id"]) & (docs["sum"] == wanted["sum"])).select("node", "text").mapInArrow(squeeze, "node long, z binary")
-    texts = checkpointed(found.groupBy("node").agg(F.first("z").alias("z")))
+    return checkpointed(found.groupBy("node").agg(F.first("z").alias("z")))
+
+
+def verify(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(u, v, ok): whether the sets of each pair reach the similarity; exactly, from the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unzip = zstandard.ZstdDecompressor()
-        held: dict[int, np.ndarray] = {}
+        unzip, held = zstandard.ZstdDecompressor(), {}
 
         def grams(node: int, z: pa.Scalar) -> np.ndarray:
             if node not in held:
@@ -315,50 +309,46 @@ def verify(pairs: DataFrame, entries: DataFrame, docs: DataFrame, width: int) ->
             return held[node]
 
         for batch in batches:
-            ok = []
-            for u, v, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
-                x, y = grams(u, a), grams(v, b)
-                both = np.sort(np.concatenate([x, y]), kind="stable")
-                same = int((both[1:] == both[:-1]).sum())
-                ok.append(SIMILARITY[1] * same >= SIMILARITY[0] * (len(x) + len(y) - same))
+            ok = [similar(grams(u, a), grams(v, b)) for u, v, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], names=["u", "v", "ok"])
 
     left, right = (texts.select(F.col("node").alias(c), F.col("z").alias(f"z_{c}")) for c in ("u", "v"))
     return pairs.join(left, "u").join(right, "v").select("u", "v", "z_u", "z_v").mapInArrow(run, "u long, v long, ok boolean")
 
 
+def regrouped(verdicts: DataFrame) -> DataFrame:
+    """(key, i, j, node, root): groups with a refuted proposal, as units of blocks; root is what is verified so far.
+
+    Rows of a group's largest part stand in blocks of their own, which meet blocks of other rows only; those also meet each other.
+    """
+    group = components(verdicts.select("u", "v")).withColumnRenamed("root", "key")
+    part = components(verdicts.where("ok").select("u", "v"))
+    again = verdicts.where("NOT ok").select(F.col("u").alias("node")).join(group, "node").select("key").distinct()
+    rows = checkpointed(group.join(again, "key", "left_semi").join(part, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    sizes = rows.groupBy("key", "root").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "root")).alias("most"))
+    rows = rows.join(sizes.select("key", F.col("most.root").alias("main"), F.ceil(F.col("most.n") / F.lit(BLOCK)).cast("int").alias("m"), F.ceil((F.col("all") - F.col("most.n")) / F.lit(BLOCK)).cast("int").alias("o")), "key")
+    main, at = F.col("root") == F.col("main"), F.xxhash64("node")
+    rows = rows.withColumn("b", F.when(main, F.pmod(at, F.col("m"))).otherwise(F.col("m") + F.pmod(at, F.greatest(F.col("o"), F.lit(1)))).cast("int"))
+    others = F.sequence(F.col("m"), F.col("m") + F.col("o") - 1)
+    met = F.explode(F.when(main, others).otherwise(F.concat(F.sequence(F.lit(0), F.col("m") - 1), others))).alias("with")
+    return rows.where("o > 0").select("key", "node", "root", "b", met).select("key", F.least("b", "with").alias("i"), F.greatest("b", "with").alias("j"), "node", "root").distinct()
+
+
 def links(entries: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """(u, v): verified links that connect what all verified candidates connect."""
     parts = shuffle_partitions(entries.sparkSession)
     prints = entries.select("node", "n", *COLUMNS)
-    dealt = checkpointed(units(checkpointed(postings(entries))).select("key", "i", "j", "node"))
-    state = prints.withColumn("root", F.col("node")).withColumn("refuted", F.lit(None).cast("array<long>"))
-    decided: DataFrame | None = None
-    for round_ in range(ROUNDS + 1):
-        proposed = checkpointed(proposals(dealt.join(state, "node"), round_ == ROUNDS, parts))
-        verdicts = checkpointed(verify(proposed.select("u", "v").distinct(), entries, docs, width))
-        decided = verdicts if decided is None else decided.unionByName(verdicts)
-        if round_ == ROUNDS:
-            break
-        again = checkpointed(proposed.join(verdicts.where("NOT ok"), ["u", "v"], "left_semi").select("key", "i", "j").distinct())
-        if not again.limit(1).count():
-            break
-        dealt = checkpointed(dealt.join(again, ["key", "i", "j"], "left_semi"))
-        member = components(decided.where("ok").select("u", "v"))
-        # entries of units that go on, with their components and what was refuted for them
-        lost = decided.where("NOT ok").select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("other")), F.struct(F.col("v").alias("node"), F.col("u").alias("other")))).alias("x")).select("x.*")
-        names = named(lost).groupBy("node").agg(F.collect_set("name").alias("refuted"))
-        state = checkpointed(prints.join(dealt.select("node").distinct(), "node", "left_semi").join(member, "node", "left").withColumn("root", F.coalesce("root", "node")).join(names, "node", "left"))
-    return decided.where("ok").select("u", "v")
-
-
-def named(lost: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pair_name(a, b).view(np.int64))], names=["node", "name"])
-
-    return lost.mapInArrow(run, "node long, name long")
+    dealt = units(checkpointed(postings(entries))).select("key", "i", "j", "node")
+    proposed = checkpointed(solved(dealt.join(prints.withColumn("root", F.col("node")), "node"), parts).select("u", "v").distinct())
+    ends = proposed.select(F.col("u").alias("node")).unionByName(proposed.select(F.col("v").alias("node"))).distinct()
+    texts = packed_texts(entries.join(ends, "node", "left_semi"), docs)
+    verdicts = checkpointed(verify(proposed, texts, width))
+    sure = verdicts.where("ok").select("u", "v")
+    if not verdicts.where("NOT ok").limit(1).count():
+        return sure
+    more = solved(regrouped(verdicts).join(prints, "node").join(texts, "node"), parts, width)
+    return sure.unionByName(checkpointed(more.select("u", "v")))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
