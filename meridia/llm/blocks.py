@@ -17,6 +17,7 @@ import pyarrow.compute
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from meridia.llm.common import checkpointed, shuffle_partitions
 
@@ -110,27 +111,29 @@ def bucket_count(blocks: DataFrame) -> int:
     return BUCKETS_PER_PARTITION * shuffle_partitions(blocks.sparkSession)
 
 
-def ask(blocks: DataFrame, question: Callable[[bytes, list[bytes]], Iterator[tuple[int, bytes]]], answers: DataFrame | None = None) -> DataFrame:
-    """(bucket int, block long, message binary) from every block's payload. ``answers``: messages to blocks, handed to ``question``."""
-    schema = "bucket int, block long, message binary"
+def _with(blocks: DataFrame, answers: list[DataFrame], what: Callable[[int, bytes, list[bytes]], pa.Table], schema) -> DataFrame:
+    """What each block makes of its payload and of all messages to it. Blocks and answers are settled alike, so nothing is shuffled."""
+    joined, names = blocks, [f"m{k}" for k in range(len(answers))]
+    for name, a in zip(names, answers):
+        joined = joined.join(a.groupBy("block").agg(F.collect_list("message").alias(name)), "block", "left")
 
-    def told(block: int, payload: bytes, messages: list[bytes]) -> pa.Table:
-        found = list(question(payload, messages))
-        return pa.table([pa.array([b for b, _ in found], pa.int32()), pa.array([block] * len(found), pa.int64()), pa.array([m for _, m in found], pa.binary())], names=["bucket", "block", "message"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                messages = [m for c in batch.columns[2:] for m in c[k].as_py() or ()]
+                yield from what(batch.column(0)[k].as_py(), batch.column(1)[k].as_py(), messages).to_batches()
 
-    if answers is None:
+    return joined.select("block", "payload", *names).mapInArrow(run, schema)
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for block, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    yield from told(block, payload.as_py(), []).to_batches()
 
-        return blocks.mapInArrow(run, schema)
+def ask(blocks: DataFrame, question: Callable[[bytes, list[bytes]], Iterator[tuple[int, bytes]]], answers: list[DataFrame] = ()) -> DataFrame:
+    """(bucket int, block long, message binary) from every block's payload. ``answers``: messages to blocks, handed to ``question``."""
 
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        return told(left["block"][0].as_py(), left["payload"][0].as_py(), right["message"].to_pylist())
+    def told(block: int, payload: bytes, messages: list[bytes]) -> pa.Table:
+        found = list(question(payload, messages))
+        return pa.table([pa.array([b for b, _ in found], pa.int32()), pa.array([block] * len(found), pa.int64()), pa.array([m for _, m in found], pa.binary())], names=["bucket", "block", "message"])
 
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, schema)
+    return _with(blocks, list(answers), told, "bucket int, block long, message binary")
 
 
 def answer(questions: DataFrame, reply: Callable[[int, list[int], list[bytes]], Iterator[tuple[int, bytes]]]) -> DataFrame:
@@ -143,10 +146,6 @@ def answer(questions: DataFrame, reply: Callable[[int, list[int], list[bytes]],
     return settled(questions.groupBy("bucket").applyInArrow(run, "block long, message binary"))
 
 
-def finish(blocks: DataFrame, answers: DataFrame, last: Callable[[bytes, list[bytes]], pa.Table], schema) -> DataFrame:
+def finish(blocks: DataFrame, answers: list[DataFrame], last: Callable[[bytes, list[bytes]], pa.Table], schema) -> DataFrame:
     """Rows that each block makes of its payload and all messages to it."""
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        return last(left["payload"][0].as_py(), right["message"].to_pylist())
-
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, schema)
+    return _with(blocks, answers, lambda _, payload, messages: last(payload, messages), schema)

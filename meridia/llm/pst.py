@@ -362,7 +362,7 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     counted = answer(ask(blocks, _count_words(n)), _total_words())
     sums = [struct.unpack("<qq", bytes(r["message"])) for r in counted.where("block = -1").collect()]  # a row a bucket
     total, kinds = sum(s[0] for s in sums), sum(s[1] for s in sums)
-    told, level = counted.where("block >= 0"), 0
+    told, level = [counted.where("block >= 0")], 0
 
     def question(payload: bytes, messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
         return Part(payload, total, kinds, n, limits, messages).question()
@@ -373,7 +373,7 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
         nodes = sum(struct.unpack("<q", bytes(r["message"]))[0] for r in judged.where("block = -1").collect())  # a row a bucket
         if not nodes:
             break
-        told = told.unionByName(judged.where("block >= 0"))
+        told.append(judged.where("block >= 0"))
 
     def last(payload: bytes, messages: list[bytes]) -> pa.Table:
         part = Part(payload, total, kinds, n, limits, messages)

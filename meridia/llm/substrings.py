@@ -259,8 +259,8 @@ def dedup_blocks(blocks: DataFrame, id_col: str, text_col: str, length: int, las
         return last(rows, block, removed_bytes(block, messages, length))
 
     first = answer(ask(blocks, distinct), _compare)
-    second = answer(ask(blocks, texts, first), lambda _, b, m: _index(length, chunk, b, m))
-    return finish(blocks, first.unionByName(second), cut, schema)
+    second = answer(ask(blocks, texts, [first]), lambda _, b, m: _index(length, chunk, b, m))
+    return finish(blocks, [first, second], cut, schema)
 
 
 def _pieces(block: Block, gone: np.ndarray) -> Iterator[tuple[bytes, np.ndarray]]:
