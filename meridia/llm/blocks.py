@@ -115,7 +115,7 @@ def _with(blocks: DataFrame, answers: list[DataFrame], what: Callable[[int, byte
     """What each block makes of its payload and of all messages to it. Blocks and answers are settled alike, so nothing is shuffled."""
     joined, names = blocks, [f"m{k}" for k in range(len(answers))]
     for name, a in zip(names, answers):
-        joined = joined.join(a.groupBy("block").agg(F.collect_list("message").alias(name)), "block", "left")
+        joined = joined.join(a.groupBy("block").agg(F.collect_list("message").alias(name)).hint("merge"), "block", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
