@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridia.llm.common import checkpointed, shuffle_partitions
+from meridia.llm.common import checkpointed, release, shuffle_partitions
 
 #: Text bytes of a block; a longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
@@ -61,7 +61,11 @@ def unpack_rows(blob: bytes) -> pa.Table:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """Checkpointed, dealt by ``block``. Spark keeps note of that only where the plan is not adaptive, so it isn't for this one write."""
+    """Checkpointed, dealt by ``block``. Spark keeps note of that only where the plan is not adaptive, so it isn't for this one write.
+
+    First the shuffles of steps before, whose results are written, are let go of.
+    """
+    release(df.sparkSession)
     conf, key = df.sparkSession.conf, "spark.sql.adaptive.enabled"
     was = conf.get(key)
     conf.set(key, "false")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterator
 
@@ -32,6 +33,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what shuffles that nothing refers to any longer hold on the executors' disks.
+
+    Spark removes them when their handles on the driver are collected, which a driver with little to do puts off for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
