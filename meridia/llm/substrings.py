@@ -8,7 +8,10 @@ Bytes covered by a ``length``-byte string that also starts in a document with a
    its anchor and a hash of its bytes.
 2. Blocks of documents tell buckets of anchors their distinct segments, with the smallest document. A bucket answers
    where a smaller document elsewhere has the same segment: then all its windows are repeats. Where an anchor also has
-   other segments, windows may repeat in part; only then are bytes needed, and only from the segment's first document.
+   other segments, windows may repeat in part, but only where the segments agree on more than the anchor: in an equal
+   window the anchor has equally many bytes to its left, and either few to its left or few to its right. So blocks tell
+   ``SIDES`` short hashes of the anchor with as many bytes on both sides as any such window has. Only where one is equal
+   are bytes needed, and only from the segment's first document.
 3. Those segments' bytes, each distinct one once, go to their anchor's bucket, which builds a run-compressed
    Burrows-Wheeler transform with sampled run ends over them, streams their matching statistics, and marks the windows
    whose match of ``length`` bytes also stands in a smaller document's segment.
@@ -36,6 +39,8 @@ from meridia.llm.rindex import RunLengthIndex, words_at
 LENGTH = 50
 #: Windows of a segment at most; a segment's marks fit a long.
 MOST_WINDOWS = 35
+#: Ranges of an anchor's place in a window, for each of which a segment has a hash of what all windows of the range hold.
+SIDES = 3
 #: Bytes that an index holds.
 CHUNK = 1 << 19
 #: Window starts that are worked on at a time.
@@ -56,8 +61,8 @@ def gram_size(length: int) -> int:
     return max(8, length - MOST_WINDOWS + 1)
 
 
-def segments(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of texts given flat: (anchor hash, segment hash, first window's start, windows) of each segment, in text order."""
+def segments(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts given flat: (anchor hash, segment hash, first window's start, windows, anchor's start) of each segment, in text order."""
     gram, n = gram_size(length), len(data)
     span = length - gram + 1
     padded = np.zeros(n + length + 16, np.uint8)
@@ -104,12 +109,37 @@ def segments(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarra
                 c = _mix(c ^ view[first + 8 * k]) + _C
             for k in range(1, (MOST_WINDOWS + 14) // 8 + 2):  # words from the right cover what is beyond it
                 c = _mix(c ^ view[np.maximum(first, first + size - 8 * k)]) + _B
-            out.append((anchor, c, first + lo, count))
+            out.append((anchor, c, first + lo, count, at[first] + lo))
     if not out:
-        return tuple(np.empty(0, d) for d in (np.uint64, np.uint64, np.int64, np.int64))
+        return tuple(np.empty(0, d) for d in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def sides(data: np.ndarray, first: np.ndarray, size: np.ndarray, anchor: np.ndarray, length: int) -> list[np.ndarray]:
+    """Of segments in flat bytes: short hashes of their anchors with bytes on both sides; 0 for those that haven't so many.
+
+    A window with from a to b bytes left of the anchor holds a bytes left of it and length - gram - b right of it.
+    """
+    gram = gram_size(length)
+    span = length - gram + 1
+    cuts = [span * k // SIDES for k in range(SIDES + 1)]
+    view, out = words_at(np.append(data, np.zeros(8, np.uint8))), []
+    for left, beyond in zip(cuts, cuts[1:]):
+        right = span - beyond
+        n, start = left + gram + right, anchor - left
+        fits = (beyond > left) & (start >= first) & (start + n <= first + size)
+        h = np.zeros(len(first), np.uint16)
+        start = start[fits]
+        x = np.full(len(start), _A)
+        with np.errstate(over="ignore"):
+            for o in [*range(0, n - 7, 8), n - 8]:
+                x = (x ^ view[start + o]) * _B
+                x ^= x >> np.uint64(29)
+            h[fits] = np.maximum(_mix(x) >> np.uint64(48), np.uint64(1))
+        out.append(h)
+    return out
+
+
 class Block:
     """A block's rows as flat bytes, their segments, and the distinct ones in order of (anchor, segment)."""
 
@@ -124,7 +154,7 @@ class Block:
         if isinstance(ids, pa.ChunkedArray):
             ids = pa.concat_arrays(ids.chunks) if ids.num_chunks else pa.array([], pa.int64())
         self.ids = ids.cast(pa.int64()).fill_null(int(NO_ID)).to_numpy(zero_copy_only=False)
-        a, c, self.first, self.count = segments(self.data, self.ends, length)
+        a, c, self.first, self.count, self.anchor = segments(self.data, self.ends, length)
         self.owner = self.ids[np.searchsorted(self.ends, self.first, side="right")] if len(self.first) else np.empty(0, np.int64)
         order = np.lexsort((c, a))  # stable: rows stand by id, so the first of equal segments is the smallest's
         new = np.ones(len(order), bool)
@@ -151,7 +181,7 @@ def _compare(_: int, blocks: list[int], messages: list[bytes]) -> Iterator[tuple
     """A bucket's reply on segments: their smallest document, where another block has it; and whose bytes are needed."""
     parts = [unpack(m) for m in messages]
     of = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-    a, c, d, e = (np.concatenate([p[k] for p in parts]) for k in range(4))
+    a, c, d, e, *near = (np.concatenate([p[k] for p in parts]) for k in range(4 + SIDES))
     order = np.lexsort((d, c, a))
     a, c, d, e, of = a[order], c[order], d[order], e[order], of[order]
     new_a = np.append(True, a[1:] != a[:-1])
@@ -161,7 +191,19 @@ def _compare(_: int, blocks: list[int], messages: list[bytes]) -> Iterator[tuple
     kinds = np.bincount(group, weights=new_c)[group]
     heads = np.nonzero(new_a)[0]
     many = np.minimum.reduceat(d, heads) != np.maximum.reduceat(d, heads)
-    wanted = (kinds > 1) & many[group] & (d == least)
+    several = np.nonzero((kinds > 1) & many[group])[0]
+    wanted = np.zeros(len(a), bool)
+    for x in near:
+        x = x[order[several]].astype(np.int64)
+        rows = several[x > 0]
+        key = group[rows] << 16 | x[x > 0]
+        by = np.argsort(key, kind="stable")
+        rows, key = rows[by], key[by]
+        begin = np.nonzero(np.append(True, key[1:] != key[:-1]))[0] if len(key) else []
+        if len(begin):
+            differ = [np.minimum.reduceat(v[rows], begin) != np.maximum.reduceat(v[rows], begin) for v in (c, d)]
+            wanted[rows] |= np.repeat(differ[0] & differ[1], np.diff(np.append(begin, len(rows))))
+    wanted &= d == least
     for k in np.unique(of[(least < d) | wanted]).tolist():
         mine = of == k
         low, want = mine & (least < d), mine & wanted
@@ -236,8 +278,9 @@ def dedup_blocks(blocks: DataFrame, id_col: str, text_col: str, length: int, las
 
     def distinct(payload: bytes, _) -> Iterator[tuple[int, bytes]]:
         block = Block(unpack_rows(payload), id_col, text_col, length)
+        near = sides(block.data, block.first[block.rep], block.count[block.rep] + length - 1, block.anchor[block.rep], length)
         for b, s in block.buckets(n):
-            yield b, pack([block.a[s], block.c[s], block.least[s], np.arange(s.start, s.stop, dtype=np.int32)])
+            yield b, pack([block.a[s], block.c[s], block.least[s], np.arange(s.start, s.stop, dtype=np.int32), *(x[s] for x in near)])
 
     def texts(payload: bytes, messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
         asked = [w for _, _, w in _told(messages, 0) if len(w)]
