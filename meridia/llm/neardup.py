@@ -15,9 +15,11 @@ round: the group's rows meet with their texts, in blocks, and the candidates tha
 so far are verified in place, nearest first, until they are joined or none is left. Only links come out of it. The rows
 of a group's largest part are connected already and do not meet each other again. So no candidate goes undecided.
 
-Scale. Rows with equal sets are one entry. Entries send each triple one compressed message for many of them, and of a
-triple's lists (split by key where there are many entries) only those of two or more entries come back. Units hold at most
-two blocks of entries (``simhash.BLOCK``). Candidates carry ids; texts, compressed, are joined to distinct proposals and to
+Scale. Rows with equal sets are one entry. Entries stand in blocks, and a block sends each triple one compressed message on
+all of them. Of a triple's lists (split by key where there are many entries) only those of two or more entries come back,
+to each block one message on its own entries, with the lists' lengths; the block deals them with their fingerprints to
+units, again in one message for many. So no join ever makes a row for an entry in a list, of which a large group of
+near copies has up to ``GROUPS`` for each of its rows. Units hold at most two parts of a list (``simhash.BLOCK`` entries each). Candidates carry ids; texts, compressed, are joined to distinct proposals and to
 the rows of refuted groups alone.
 A key has 24 bits, so a list of unrelated rows has one in 2 ** 24.
 """
@@ -31,14 +33,15 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meridia.llm.blocks import narrow, pack, unpack
+from meridia.llm.blocks import answer, ask, narrow, pack, settled, unpack
 from meridia.llm.common import checkpointed, shuffle_partitions, utf8
 from meridia.llm.components import components
-from meridia.llm.simhash import BLOCK, bit_counts, further, grouped_batches, shared_bytes, shingle_hashes, units
+from meridia.llm.simhash import BLOCK, bit_counts, further, grouped_batches, shared_bytes, shingle_hashes
 
 WIDTH = 5
 SIMILARITY = (4, 5)
@@ -103,52 +106,104 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("sum"), utf8(text_col).alias("text"))
 
 
-def postings(entries: DataFrame) -> DataFrame:
-    """(key, node): each entry under each triple of its positional bytes, where another entry stands too.
+def in_blocks(entries: DataFrame) -> DataFrame:
+    """(block long, payload binary): the entries' nodes, sizes and fingerprints, many together."""
 
-    A key names a list by its entries, so that lists of the same entries, which similar texts have many of, are one.
-    ``node`` counts up from entry to entry, for the most part.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 32
+        for k, batch in enumerate(b for b in batches if b.num_rows):
+            payload = pack([c.to_numpy() for c in batch.columns])
+            yield pa.RecordBatch.from_arrays([pa.array([first + k], pa.int64()), pa.array([payload], pa.binary())], names=["block", "payload"])
+
+    return settled(entries.select("node", "n", *COLUMNS).mapInArrow(run, "block long, payload binary"))
+
+
+def postings(blocks: DataFrame, total: int) -> DataFrame:
+    """(block, message): the lists, each of the entries under a triple of positional bytes, that hold an entry of the block and another one.
+
+    A message has keys, lengths and places in the block. A key names a list by its entries, so that lists of the same
+    entries, which similar texts have many of, are one. ``total``: of all entries.
     """
-    chosen, total = triples(), entries.count()
+    chosen = triples()
     split = max(0, int(np.ceil(np.log2(max(1, total) / ENTRIES))))  # by so many high bits of the bytes
 
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            node = batch.column(0).to_numpy()
-            own = np.stack([batch.column(k + 1).to_numpy() for k in range(WORDS)], axis=1).view(np.uint8).astype(np.int64)
-            base = int(node.min()) if len(node) else 0
-            buckets, messages = [], []
-            for g, t in enumerate(chosen):
-                key = own[:, t[0]] | own[:, t[1]] << 8 | own[:, t[2]] << 16
-                order = np.argsort(key, kind="stable")
-                part = key[order] >> (24 - split)
-                cuts = np.nonzero(np.append(True, part[1:] != part[:-1]))[0].tolist() if len(part) else []
-                for lo, hi in zip(cuts, [*cuts[1:], len(part)]):
-                    buckets.append(g << split | int(part[lo]))
-                    messages.append(pack([narrow(np.diff(key[order[lo:hi]], prepend=0)), narrow(node[order[lo:hi]] - base), np.array([base])]))
-            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(messages, pa.binary())], names=["bucket", "message"])
-
-    def meet(group: pa.Table) -> pa.Table:
-        keys, nodes = [], []
-        for m in group["message"]:
-            rises, places, base = unpack(m.as_py())
+    def post(payload: bytes, _) -> Iterator[tuple[int, bytes]]:
+        node, _, *words = unpack(payload)
+        own = np.stack(words, axis=1).view(np.uint8).astype(np.int64)
+        for g, t in enumerate(chosen):
+            key = own[:, t[0]] | own[:, t[1]] << 8 | own[:, t[2]] << 16
+            order = np.argsort(key, kind="stable")
+            part = key[order] >> (24 - split)
+            cuts = np.nonzero(np.append(True, part[1:] != part[:-1]))[0].tolist()
+            for lo, hi in zip(cuts, [*cuts[1:], len(part)]):
+                at = order[lo:hi]
+                yield g << split | int(part[lo]), pack([narrow(np.diff(key[at], prepend=0)), narrow(node[at] - node[0]), narrow(at), node[:1]])
+
+    def meet(_: int, blocks: list[int], messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
+        keys, nodes, places = [], [], []
+        for m in messages:
+            rises, more, at, base = unpack(m)
             keys.append(np.cumsum(rises, dtype=np.int64))
-            nodes.append(places.astype(np.int64) + base[0])
-        key, node = np.concatenate(keys), np.concatenate(nodes)
+            nodes.append(more.astype(np.int64) + base[0])
+            places.append(at)
+        of = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+        key, node, place = np.concatenate(keys), np.concatenate(nodes), np.concatenate(places).astype(np.int64)
         order = np.argsort(key, kind="stable")
-        key, node = key[order], node[order]
+        key, node, place, of = key[order], node[order], place[order], of[order]
         equal = key[1:] == key[:-1]
         several = np.append(equal, False) | np.append(False, equal)
-        key, node = key[several], node[several]
-        if len(key):
-            begin = np.nonzero(np.append(True, key[1:] != key[:-1]))[0]
-            marks = further(node.view(np.uint64), 3)
-            name = further(np.add.reduceat(marks, begin) ^ further(np.bitwise_xor.reduceat(marks, begin), 1), 2)
-            key = np.repeat(name.view(np.int64), np.diff(np.append(begin, len(key))))
-        return pa.table([pa.array(key), pa.array(node)], names=["key", "node"])
-
-    sent = entries.select("node", *COLUMNS).mapInArrow(post, "bucket int, message binary")
-    return sent.groupBy("bucket").applyInArrow(meet, "key long, node long").distinct()
+        key, node, place, of = key[several], node[several], place[several], of[several]
+        if not len(key):
+            return
+        begin = np.nonzero(np.append(True, key[1:] != key[:-1]))[0]
+        length = np.diff(np.append(begin, len(key)))
+        marks = further(node.view(np.uint64), 3)
+        name = further(np.add.reduceat(marks, begin) ^ further(np.bitwise_xor.reduceat(marks, begin), 1), 2)
+        name, length = np.repeat(name, length), np.repeat(length, length)
+        by = np.argsort(of, kind="stable")
+        cuts = np.nonzero(np.append(True, of[by][1:] != of[by][:-1]))[0].tolist()
+        for lo, hi in zip(cuts, [*cuts[1:], len(by)]):
+            at = by[lo:hi]
+            yield blocks[of[at[0]]], pack([name[at], narrow(length[at]), narrow(place[at])])
+
+    return answer(ask(blocks, post), meet)
+
+
+def proposals(entries: DataFrame, parts: int) -> DataFrame:
+    """(u, v): the candidates that the units of all lists propose, each list cut into parts of which any two are a unit."""
+    blocks, longest, solve = in_blocks(entries), BLOCK, solver(SMALL)
+
+    def deal(payload: bytes, messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
+        if not messages:
+            return
+        node, n, *words = unpack(payload)
+        key, length, place = (np.concatenate(x) for x in zip(*map(unpack, messages)))
+        order = np.lexsort((place, key))
+        key, length, place = key[order], length[order].astype(np.int64), place[order].astype(np.int64)
+        new = np.append(True, (key[1:] != key[:-1]) | (place[1:] != place[:-1]))
+        key, place, cut = key[new], place[new], -(-length[new] // longest)
+        own = (further(node[place].view(np.uint64), 4) % cut.astype(np.uint64)).astype(np.int64)
+        row = np.repeat(np.arange(len(key)), cut)
+        other = np.arange(len(row)) - np.repeat(np.cumsum(cut) - cut, cut)
+        i, j = np.minimum(own[row], other), np.maximum(own[row], other)
+        key, place = key[row], place[row]
+        bucket = (further(key ^ (i << 32 | j).view(np.uint64), 5) % np.uint64(parts)).astype(np.int64)
+        by = np.argsort(bucket, kind="stable")
+        cuts = np.nonzero(np.append(True, bucket[by][1:] != bucket[by][:-1]))[0].tolist()
+        for lo, hi in zip(cuts, [*cuts[1:], len(by)]):
+            at = by[lo:hi]
+            used, where = np.unique(place[at], return_inverse=True)  # an entry's fingerprint goes once
+            yield int(bucket[at[0]]), pack([key[at], narrow(i[at]), narrow(j[at]), narrow(where), node[used], n[used], *(w[used] for w in words)])
+
+    def run(group: pa.Table) -> pa.Table:
+        told = [unpack(m.as_py()) for m in group["message"]]
+        cols = [np.concatenate(x) for x in zip(*([m[0].view(np.int64), m[1].astype(np.int32), m[2].astype(np.int32), *(c[m[3]] for c in m[4:])] for m in told))]
+        order = np.lexsort((cols[3], cols[2], cols[1], cols[0]))
+        key, i, j, node, n, *words = (c[order] for c in cols)
+        found = pa.Table.from_batches(solve(pa.table([key, i, j, node, n, node, *words], names=["key", "i", "j", "node", "n", "root", *COLUMNS])))
+        return found.select(["u", "v"]).group_by(["u", "v"]).aggregate([])
+
+    return ask(blocks, deal, [postings(blocks, entries.count())]).groupBy("bucket").applyInArrow(run, "u long, v long").distinct()
 
 
 class Unit:
@@ -238,12 +293,12 @@ class Unit:
         return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def solved(dealt: DataFrame, parts: int, width: int | None = None) -> DataFrame:
-    """(key, i, j, u, v): the forest that each unit of ``dealt`` proposes; with texts ``z`` and ``width``, of verified links."""
-    names, small = ["key", "i", "j", "node", "n", "root", *COLUMNS, *(["z"] if width else [])], SMALL
+def solver(small: int, width: int | None = None) -> Callable[[pa.Table], Iterator[pa.RecordBatch]]:
+    """(key, i, j, u, v): the forest that each unit of a table in order of (key, i, j) proposes; with texts ``z`` and ``width``, of verified links."""
+    names = ["key", "i", "j", "node", "n", "root", *COLUMNS]
 
     def solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        cols = {c: t[c].to_numpy() for c in names if c != "z"}
+        cols = {c: t[c].to_numpy() for c in names}
         unit = Unit(cols["node"], np.stack([cols[c] for c in COLUMNS], axis=1).view(np.uint64), cols["n"], cols["root"], small)
         key, i, j = cols["key"], cols["i"], cols["j"]
         starts = np.nonzero(np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))[0]
@@ -271,8 +326,14 @@ def solved(dealt: DataFrame, parts: int, width: int | None = None) -> DataFrame:
         u, v = np.maximum(unit.node[a], unit.node[b]), np.minimum(unit.node[a], unit.node[b])
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[a], i[a], j[a], u, v)], names=["key", "i", "j", "u", "v"])
 
+    return solve
+
+
+def solved(dealt: DataFrame, parts: int, width: int) -> DataFrame:
+    """(key, i, j, u, v): the forest of verified links that each unit of ``dealt`` has."""
+    names = ["key", "i", "j", "node", "n", "root", *COLUMNS, "z"]
     ordered = dealt.select(names).repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-    return ordered.mapInArrow(grouped_batches(solve, ["key", "i", "j"]), "key long, i int, j int, u long, v long")
+    return ordered.mapInArrow(grouped_batches(solver(SMALL, width), ["key", "i", "j"]), "key long, i int, j int, u long, v long")
 
 
 def similar(x: np.ndarray, y: np.ndarray) -> bool:
@@ -339,8 +400,7 @@ def links(entries: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """(u, v): verified links that connect what all verified candidates connect."""
     parts = shuffle_partitions(entries.sparkSession)
     prints = entries.select("node", "n", *COLUMNS)
-    dealt = units(checkpointed(postings(entries))).select("key", "i", "j", "node")
-    proposed = checkpointed(solved(dealt.join(prints.withColumn("root", F.col("node")), "node"), parts).select("u", "v").distinct())
+    proposed = checkpointed(proposals(entries, parts))
     ends = proposed.select(F.col("u").alias("node")).unionByName(proposed.select(F.col("v").alias("node"))).distinct()
     texts = packed_texts(entries.join(ends, "node", "left_semi"), docs)
     verdicts = checkpointed(verify(proposed, texts, width))
