@@ -80,8 +80,8 @@ def narrow(a: np.ndarray) -> np.ndarray:
     return a.astype(np.min_scalar_type(int(a.max())) if len(a) else np.uint8)
 
 
-def to_blocks(rows: DataFrame, text: str, order: str, encode: Callable[[pa.Table], bytes] = pack_rows) -> DataFrame:
-    """(block long, payload binary): the rows of ``rows``, by the long column ``order`` within a block, encoded and settled."""
+def to_blocks(rows: DataFrame, text: str, order: str, encode: Callable[[pa.Table], bytes] = pack_rows, most: int = BLOCK_BYTES) -> DataFrame:
+    """(block long, payload binary): the rows of ``rows``, ``most`` text bytes a block, by the long column ``order`` within it, encoded and settled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, k = TaskContext.get().partitionId() << 32, 0
@@ -97,11 +97,11 @@ def to_blocks(rows: DataFrame, text: str, order: str, encode: Callable[[pa.Table
             lengths = pa.compute.fill_null(pa.compute.binary_length(batch[text]), 0).to_numpy()
             at = 0
             while at < len(lengths):
-                upto = at + max(1, int(np.searchsorted(np.cumsum(lengths[at:]), BLOCK_BYTES - size, side="right")))
+                upto = at + max(1, int(np.searchsorted(np.cumsum(lengths[at:]), most - size, side="right")))
                 held.append(batch.slice(at, upto - at))
                 size += int(lengths[at:upto].sum())
                 at = upto
-                if size >= BLOCK_BYTES // 2 and (size >= BLOCK_BYTES or at < len(lengths)):
+                if size >= most // 2 and (size >= most or at < len(lengths)):
                     yield out()
                     held, size, k = [], 0, k + 1
         if held:
@@ -110,9 +110,9 @@ def to_blocks(rows: DataFrame, text: str, order: str, encode: Callable[[pa.Table
     return settled(rows.mapInArrow(run, "block long, payload binary"))
 
 
-def bucket_count(blocks: DataFrame) -> int:
+def bucket_count(blocks: DataFrame, per_partition: int = BUCKETS_PER_PARTITION) -> int:
     """Buckets of keys: in proportion to the shuffle partitions that the cluster is set to."""
-    return BUCKETS_PER_PARTITION * shuffle_partitions(blocks.sparkSession)
+    return per_partition * shuffle_partitions(blocks.sparkSession)
 
 
 def _with(blocks: DataFrame, answers: list[DataFrame], what: Callable[[int, bytes, list[bytes]], pa.Table], schema) -> DataFrame:

@@ -19,23 +19,24 @@ root follow from a symbol's count, which goes once); the bucket has a context's
 the block asked: counts up to 63, and the whole counts of kept symbols. Contexts that an estimate from
 their count and their parent's shows to be under the divergence are not sent. From level ``STATED`` on, a block also sends
 itself, by way of the buckets, how far it has come: the places that are still asked about, and of all others only their
-rows' sums. So a level costs what is left at it, not all levels above it again. A context's entries are aggregated by block and meet in one bucket. Contexts of two symbols and more are told apart by hashes of 64 bits. All counts are over the whole corpus.
+rows' sums. So a level costs what is left at it, not all levels above it again. Blocks grow with the number of buckets, to
+``MOST_BYTES``: a context and its next symbols are then told by fewer blocks, each with the names and predictions once. A context's entries are aggregated by block and meet in one bucket. Contexts of two symbols and more are told apart by hashes of 64 bits. All counts are over the whole corpus.
 """
 
 from __future__ import annotations
 
 import struct
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridia.llm.blocks import answer, ask, bucket_count, finish, narrow, pack, pack_rows, to_blocks, unpack, unpack_rows
-from meridia.llm.common import table, words
+from meridia.llm.blocks import BLOCK_BYTES, answer, ask, bucket_count, finish, narrow, pack, pack_rows, to_blocks, unpack, unpack_rows
+from meridia.llm.common import pieces, table
 
 
 @dataclass(frozen=True)
@@ -53,44 +54,38 @@ class Limits:
 MOST_TOLD = 63
 #: From this level on a block keeps how far it has come; the levels above are gone down again from the answers.
 STATED = 3
+#: Text bytes of a block grow by so many for each bucket, so that its messages keep their size, up to what a worker has room for.
+BYTES_PER_BUCKET = 200 << 10
+MOST_BYTES = 10 << 20
 #: Stands for the bucket in a message on how far a block has come.
 STATE = (1 << 32) - 1
 #: No word: it holds white space.
 END = b"\n"
 
 
-def contents(rows: pa.Table) -> Iterator[tuple[bool, Iterator[list[bytes]]]]:
-    """Of each row: whether it is held out, and its words in pieces, the end last."""
-
-    def parts(text: bytes | None) -> Iterator[list[bytes]]:
-        yield from words((text or b"").lower())
-        yield [END]
-
-    for held, text in zip(rows["held"].to_pylist(), rows["text"]):
-        yield held, parts(text.as_py())
-
-
 def encode(rows: pa.Table) -> bytes:
     """A block's rows with their texts as numbers of the block's own words: of each row id and held; packed, sizes, symbols and words."""
-    number: dict[bytes, int] = {}
-    ids, sizes = [], []
-    for _, parts in contents(rows):
-        n = 0
-        for part in parts:
-            for w in part:
-                if w not in number:
-                    number[w] = len(number)
-            ids.append(np.fromiter(map(number.__getitem__, part), np.int64, len(part)))
-            n += len(part)
-        sizes.append(n)
-    symbol = np.concatenate(ids) if ids else np.empty(0, np.int64)
-    order = np.argsort(-np.bincount(symbol, minlength=len(number)), kind="stable")  # frequent words have small numbers
+    parts, owner = [], []
+    for row, text in enumerate(rows["text"]):
+        for part in pieces((text.as_py() or b"").lower()):
+            parts.append(part)
+            owner.append(row)
+    split = pc.ascii_split_whitespace(pa.array(parts, pa.large_binary()).view(pa.large_string()))  # of the six characters of SPACES
+    flat = split.flatten().view(pa.large_binary())
+    filled = pc.greater(pc.binary_length(flat), 0)
+    coded = flat.filter(filled).dictionary_encode()
+    owner = np.repeat(np.array(owner, np.int64), split.value_lengths().to_numpy())[filled.to_numpy(zero_copy_only=False)]
+    sizes = np.bincount(owner, minlength=len(rows)) + 1
+    own = pa.concat_arrays([coded.dictionary, pa.array([END], pa.large_binary())])
+    symbol = np.full(int(sizes.sum()), len(own) - 1, np.int64)
+    word = np.ones(len(symbol), bool)
+    word[np.cumsum(sizes) - 1] = False
+    symbol[word] = coded.indices.to_numpy()
+    order = np.argsort(-np.bincount(symbol, minlength=len(own)), kind="stable")  # frequent words have small numbers
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
-    own = list(number)
-    own = [own[k] for k in order.tolist()]
-    lengths = np.array([len(w) for w in own], np.int64)
-    packed = pack([narrow(np.array(sizes, np.int64)), narrow(rank[symbol]), narrow(lengths), np.frombuffer(b"".join(own), np.uint8)])
+    lengths = pc.binary_length(own).to_numpy()[order]
+    packed = pack([narrow(sizes), narrow(rank[symbol]), narrow(lengths), np.frombuffer(b"".join(own.take(pa.array(order)).to_pylist()), np.uint8)])
     return pack_rows(rows.select(["id", "held"]).replace_schema_metadata({b"packed": packed}))
 
 
@@ -100,15 +95,17 @@ class Local:
     def __init__(self, payload: bytes):
         self.rows = unpack_rows(payload)
         sizes, symbol, lengths, flat = unpack(self.rows.schema.metadata[b"packed"])
-        self.sizes, self.symbol = sizes.astype(np.int64), symbol.astype(np.int64)
+        self.sizes, self.symbol = sizes.astype(np.int64), symbol.astype(np.min_scalar_type(-len(lengths) - 1))
         self.flat, self.ends = flat, np.cumsum(lengths, dtype=np.int64)
         self.held = np.array(self.rows["held"].to_pylist(), bool)
         self.first = np.cumsum(self.sizes) - self.sizes
         self.train = np.repeat(~self.held, self.sizes)
 
-    def words(self) -> list[bytes]:
-        data, ends = self.flat.tobytes(), self.ends.tolist()
-        return [data[a:b] for a, b in zip([0, *ends], ends)]
+    def bytes_of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and joined bytes of words."""
+        first = np.append(0, self.ends)[at]
+        size = self.ends[at] - first
+        return size, self.flat[np.repeat(first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))]
 
     def by_bucket(self, n: int) -> Iterator[tuple[int, np.ndarray]]:
         """Numbers of words by bucket, which a polynomial of a word's bytes tells; no word is empty."""
@@ -127,11 +124,10 @@ class Local:
 def _count_words(n: int):
     def question(payload: bytes, _) -> Iterator[tuple[int, bytes]]:
         local = Local(payload)
-        own = local.words()
-        counts = np.bincount(local.symbol[local.train], minlength=len(own)).astype(np.int64)
+        counts = np.bincount(local.symbol[local.train], minlength=len(local.ends)).astype(np.int64)
         for b, at in local.by_bucket(n):
-            mine = [own[k] for k in at.tolist()]
-            yield b, pack([narrow(counts[at]), narrow(np.array([len(w) for w in mine], np.int64)), np.frombuffer(b"".join(mine), np.uint8)])
+            size, flat = local.bytes_of(at)
+            yield b, pack([narrow(counts[at]), narrow(size), flat])
 
     return question
 
@@ -139,21 +135,21 @@ def _count_words(n: int):
 def _total_words():
     def reply(bucket: int, blocks: list[int], messages: list[bytes]) -> Iterator[tuple[int, bytes]]:
         """To each block the counts and numbers of its words, in all blocks the same; to block -1 the bucket's totals."""
-        total: Counter[bytes] = Counter()
-        asked = []
-        for m in messages:
-            counts, sizes, flat = unpack(m)
-            data, at, own = flat.tobytes(), 0, []
-            for size in sizes.tolist():
-                own.append(data[at : at + size])
-                at += size
-            asked.append(own)
-            for w, c in zip(own, counts.tolist()):
-                total[w] += c
-        number = {w: k for k, w in enumerate(sorted(total, key=lambda w: (-total[w], w)))}
-        for block, own in zip(blocks, asked):
-            yield block, struct.pack("<II", 0, bucket) + pack([narrow(np.array([total[w] for w in own], np.int64)), narrow(np.array([number[w] for w in own], np.int64))])
-        yield -1, struct.pack("<qq", sum(total.values()), sum(c > 0 for c in total.values()))
+        parts = [unpack(m) for m in messages]
+        kinds = [len(p[0]) for p in parts]
+        counts, sizes, flat = (np.concatenate(x) for x in zip(*parts))
+        ends = np.append(0, np.cumsum(sizes, dtype=np.int64))
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(flat)]).dictionary_encode()
+        word = coded.indices.to_numpy()
+        total = np.bincount(word, weights=counts, minlength=len(coded.dictionary)).astype(np.int64)
+        order = pc.sort_indices(pa.table({"less": -total, "word": coded.dictionary}), sort_keys=[("less", "ascending"), ("word", "ascending")]).to_numpy()
+        number = np.empty(len(order), np.int64)
+        number[order] = np.arange(len(order))
+        at = 0
+        for block, m in zip(blocks, kinds):
+            mine = word[at : (at := at + m)]
+            yield block, struct.pack("<II", 0, bucket) + pack([narrow(total[mine]), narrow(number[mine])])
+        yield -1, struct.pack("<qq", int(total.sum()), int((total > 0).sum()))
 
     return reply
 
@@ -216,6 +212,39 @@ def rises(a: np.ndarray) -> np.ndarray:
     return np.diff(a, prepend=a[:1] * 0) if len(a) else a
 
 
+def steps(a: np.ndarray) -> np.ndarray:
+    """Numbers in no order as differences without a sign; ``unsteps`` takes them back."""
+    d = rises(a.astype(np.int64))
+    return np.where(d < 0, -2 * d - 1, 2 * d)
+
+
+def unsteps(d: np.ndarray) -> np.ndarray:
+    d = d.astype(np.int64)
+    return np.cumsum(np.where(d & 1, -(d + 1) // 2, d // 2))
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``np.unique`` of whole numbers from zero, with its inverse; keys and their places are sorted as one number where both fit."""
+    bits = len(keys).bit_length()
+    if int(keys.max(initial=0)).bit_length() + bits > 63:
+        return np.unique(keys, return_inverse=True)
+    both = keys.astype(np.int64)
+    both <<= bits
+    both |= np.arange(len(keys))
+    both.sort()
+    at = both & ((1 << bits) - 1)
+    both >>= bits
+    new = np.append(True, both[1:] != both[:-1])[: len(both)]
+    inverse = np.empty(len(keys), np.int64)
+    inverse[at] = np.cumsum(new) - 1
+    return both[new], inverse
+
+
+def coarse(seen: np.ndarray, limits: Limits) -> np.ndarray:
+    """Counts, in which under ``Limits.context`` only the side of ``Limits.next`` matters."""
+    return np.where(seen < limits.next, 0, np.where(seen < limits.context, min(limits.next, limits.context), seen))
+
+
 class Part:
     """A block, and how far its places have come down the tree."""
 
@@ -231,8 +260,7 @@ class Part:
         for b, at in local.by_bucket(n):
             counts[at], number = told[0][b]
             self.number[at] = number.astype(np.int64) * n + b
-        self.count, self.known = counts, counts[self.symbol]
-        self.base = Tree(self.number, counts, total, kinds).root(self.symbol)
+        self.count, self.root = counts, Tree(self.number, counts, total, kinds).root(np.arange(len(counts)))
         self.place = np.arange(len(self.symbol)) - np.repeat(self.first, self.sizes)  # within its row
         level, state = next(((k, v.pop(STATE)) for k, v in told.items() if STATE in v), (1, None))
         #: levels gone down
@@ -240,9 +268,9 @@ class Part:
         if state:
             self.restore(state)
         else:
-            self.p, self.done = self.base.copy(), np.zeros(len(self.sizes))
+            self.p, self.done = self.root[self.symbol], np.zeros(len(self.sizes))
             #: seen[i]: how often the last symbols up to i, one more each level, stand in training; at most, where not asked
-            self.seen = self.known
+            self.seen = counts[self.symbol]
             self.at, self.node = np.arange(len(self.symbol)), np.zeros(len(self.symbol), np.int64)
             self.name = np.zeros(1, np.uint64)
             #: of a node: what its shares are of, its commonest kept symbol's count, and the count of all else
@@ -261,17 +289,35 @@ class Part:
         final = self.p.copy()
         final[self.at] = 1.0
         done = self.done + self.by_row(np.log10(final))
-        # under Limits.context only the side of Limits.next matters
-        low, mid = self.seen < self.limits.next, self.seen < self.limits.context
-        seen = np.where(low, 0, np.where(mid, min(self.limits.next, self.limits.context), self.seen))
-        total = (self.rest + self.top).astype(np.int64)
-        return struct.pack("<II", self.depth + 1, STATE) + pack([narrow(rises(self.at)), narrow(self.node), self.p[self.at], narrow(seen), done, self.name, narrow(total), narrow(self.top.astype(np.int64))])
+        nodes, node = distinct(self.node)
+        pairs, pair = distinct(self.alike(node))
+        p = np.empty(len(pairs))
+        p[pair] = self.p[self.at]
+        total, top = (self.rest[nodes] + self.top[nodes]).astype(np.int64), self.top[nodes].astype(np.int64)
+        return struct.pack("<II", self.depth + 1, STATE) + pack([narrow(rises(self.at)), narrow(node), p, narrow(self.within()), done, self.name[nodes], narrow(total), narrow(top)])
+
+    def alike(self, node: np.ndarray) -> np.ndarray:
+        """Of each place asked about its node and symbol, which tell its probability."""
+        return node * np.int64(len(self.number)) + self.symbol[self.at]
+
+    def within(self) -> np.ndarray:
+        """``seen`` at the places asked about and before them, back to one under ``Limits.context``; it is a bound for all that ends there, so no other matters."""
+        n = len(self.seen)
+        asked = np.full(n + 1, n)
+        asked[self.at] = self.at
+        short = np.where(self.seen < self.limits.context, np.arange(n), n)
+        short[self.at] = n
+        short = np.append(short, n)
+        asked, short = (np.minimum.accumulate(x[::-1])[::-1] for x in (asked, short))
+        need = (asked[1:] < n) & (asked[1:] <= short[1:])
+        need[self.at] = True
+        return np.where(need, coarse(self.seen, self.limits), 0)
 
     def restore(self, state: list[np.ndarray]) -> None:
         at, node, p, seen, self.done, self.name, total, top = state
         self.at, self.node, self.seen = np.cumsum(at, dtype=np.int64), node.astype(np.int64), seen.astype(np.int64)
         self.p = np.ones(len(self.symbol))
-        self.p[self.at] = p
+        self.p[self.at] = p[distinct(self.alike(self.node))[1]]
         self.have, self.top, self.rest = total + self.limits.prior, top + 0.0, total.astype(np.int64) - top.astype(np.int64) + 0.0
 
     def asked(self):
@@ -280,14 +326,21 @@ class Part:
         Places without such a context are left: a context's bounds are the same at all its places, so it is no node.
         """
         k, depth = np.int64(len(self.number)), self.depth + 1
-        ok = self.place[self.at] >= depth
-        seen, of = self.seen[self.at[ok] - 1], self.node[ok]
+        at, node = self.at, self.node
+        kept = self.place[at] >= depth
+        at, node = at[kept], node[kept]
+        kept = self.seen[at - 1] >= self.limits.context
+        at, node = at[kept], node[kept]
+        keys, context = distinct(node * k + self.symbol[at - depth])
+        seen, of = np.empty(len(keys), np.int64), keys // max(k, 1)
+        seen[context] = self.seen[at - 1]
         # symbols of a context stand after its parent at least as often, so they share at most the rest there, each c(s, x) of have
         have, some = self.have[of], np.maximum(np.minimum(seen, np.minimum(self.rest[of], self.have[of] / np.e)), 1e-9)
         most = some * np.log(have / some) + seen * np.log(have / np.maximum(self.top[of], 1e-9)) * (self.top[of] > 0)
-        ok[ok] = (seen >= self.limits.context) & (most >= self.limits.divergence - 1e-6)
-        self.at, self.node = at, node = self.at[ok], self.node[ok]
-        keys, context = np.unique(node * k + self.symbol[at - depth], return_inverse=True)
+        good = most >= self.limits.divergence - 1e-6
+        kept = good[context]
+        self.at, self.node = at, node = at[kept], node[kept]
+        keys, context = keys[good], (np.cumsum(good) - 1)[context[kept]]
         names = _mix(self.name[keys // max(k, 1)], self.number[keys % max(k, 1)])
         bucket = (names % np.uint64(self.n)).astype(np.int64)
         order = np.lexsort((names, bucket))
@@ -295,7 +348,7 @@ class Part:
         rank[order] = np.arange(len(order))
         of = rank[context]
         other = self.seen[at] < self.limits.next
-        pairs, pair = np.unique(of * (k + 1) + np.where(other, k, self.symbol[at]), return_inverse=True)
+        pairs, pair = distinct(of * (k + 1) + np.where(other, k, self.symbol[at]))
         return at, of, names[order], bucket[order], pairs // (k + 1), pairs % (k + 1), pair
 
     def question(self) -> Iterator[tuple[int, bytes]]:
@@ -316,10 +369,10 @@ class Part:
         spot[by_number], spot[k] = np.arange(k), k
         for lo, hi in zip(cuts, [*cuts[1:], len(bucket)]):
             a, b = np.searchsorted(context, [lo, hi])
-            used, next_ = np.unique(spot[symbol[a:b]], return_inverse=True)  # symbols by their places in a list
+            used, next_ = distinct(spot[symbol[a:b]])  # symbols by their places in a list
             others = len(used) > 0 and used[-1] == k
             used = by_number[used[: len(used) - others]]
-            parent_ = parent[a:b] if deep else narrow(self.count[used])
+            parent_ = parent[a:b] if deep else narrow(steps(self.count[used]))
             yield int(bucket[lo]), pack([narrow(rises(names[lo:hi] // np.uint64(self.n))), narrow(np.bincount(context[a:b] - lo, minlength=hi - lo)), narrow(rises(self.number[used])), narrow(next_), narrow(counts[a:b]), parent_])
 
     def down(self, told: dict[int, list[np.ndarray]]) -> None:
@@ -365,14 +418,15 @@ def _judge(level: int, whole: float, limits: Limits, n: int):
             names, sizes, numbers, next_, counts, extra = unpack(m)
             numbers = np.append(np.cumsum(numbers, dtype=np.int64), -1) + 1
             if level == 1:
-                extra = np.append((extra + 1.0) / whole, 0.0)[next_]
-            parts.append((np.cumsum(names, dtype=np.uint64), sizes.astype(np.int64), numbers[next_], counts.astype(np.int64), extra))
+                extra = np.append((unsteps(extra) + 1.0) / whole, 0.0)[next_]
+            parts.append((np.cumsum(names, dtype=np.uint64), sizes.astype(np.int64), numbers, counts.astype(np.int64), extra, next_))
         names, context = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         context = np.repeat(context, np.concatenate([p[1] for p in parts]))
-        symbols, symbol = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
+        symbols = np.unique(np.concatenate([p[2] for p in parts]))
+        symbol = np.concatenate([np.searchsorted(symbols, p[2])[p[5]] for p in parts])
         counts = np.concatenate([p[3] for p in parts])
         total = np.bincount(context, weights=counts, minlength=len(names)).astype(np.int64)
-        pairs, pair = np.unique(context * np.int64(len(symbols)) + symbol, return_inverse=True)
+        pairs, pair = distinct(context * np.int64(len(symbols)) + symbol)
         count = np.bincount(pair, weights=counts, minlength=len(pairs)).astype(np.int64)
         parent = np.zeros(len(pairs))
         np.maximum.at(parent, pair, np.concatenate([p[4] for p in parts]).astype(np.float64))
@@ -391,13 +445,14 @@ def _judge(level: int, whole: float, limits: Limits, n: int):
         np.maximum.at(top, of[use], c)
         top = np.where(node, top, 0)
         yield -1, struct.pack("<q", int(node.sum()))
+        rest = np.minimum(coarse(count, limits), MOST_TOLD).astype(np.uint8)
         a = b = 0
         for block, p in zip(blocks, parts):
             own = np.searchsorted(names, p[0])
-            b = a + len(p[2])
+            b = a + len(p[3])
             mine = pair[a:b]
             hit = np.nonzero(is_kept[mine])[0]
-            yield block, struct.pack("<II", level, bucket) + pack([narrow(np.where(node[own], total[own], 0)), narrow(kept[own]), np.minimum(count[mine], MOST_TOLD).astype(np.uint8), narrow(rises(hit)), narrow(count[mine[hit]]), narrow(top[own])])
+            yield block, struct.pack("<II", level, bucket) + pack([narrow(np.where(node[own], total[own], 0)), narrow(kept[own]), rest[mine], narrow(rises(hit)), narrow(count[mine[hit]]), narrow(top[own])])
             a = b
 
     return reply
@@ -411,8 +466,8 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     no rows. Only the two named columns, and those in ``held``, are read.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"), held.alias("held"))
-    blocks = to_blocks(rows, "text", "id", encode)
-    n = bucket_count(blocks)
+    n = bucket_count(rows, 1)
+    blocks = to_blocks(rows, "text", "id", encode, min(max(BLOCK_BYTES, n * BYTES_PER_BUCKET), MOST_BYTES))
     counted = answer(ask(blocks, _count_words(n)), _total_words())
     sums = [struct.unpack("<qq", bytes(r["message"])) for r in counted.where("block = -1").collect()]  # a row a bucket
     total, kinds = sum(s[0] for s in sums), sum(s[1] for s in sums)
@@ -432,7 +487,7 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
 
     def last(payload: bytes, messages: list[bytes]) -> pa.Table:
         part = Part(payload, total, kinds, n, limits, messages)
-        return pa.table([part.rows["id"], pa.array(part.held), pa.array(part.sizes), pa.array(part.by_row((part.known > 0).astype(np.int64))), pa.array(np.full(len(part.sizes), total, np.int64)), pa.array(part.by_row(np.log10(part.base))), pa.array(part.scores())], names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        return pa.table([part.rows["id"], pa.array(part.held), pa.array(part.sizes), pa.array(part.by_row((part.count > 0).astype(np.int64)[part.symbol])), pa.array(np.full(len(part.sizes), total, np.int64)), pa.array(part.by_row(np.log10(part.root)[part.symbol])), pa.array(part.scores())], names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return finish(blocks, told, last, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
