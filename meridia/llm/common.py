@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +40,11 @@ def release(spark: SparkSession) -> None:
     Spark removes them when their handles on the driver are collected, which a driver with little to do puts off for long.
     """
     gc.collect()
+    # Python's own handles are given back by a thread beside, which looks for them once a second
+    handles, until = getattr(spark.sparkContext._gateway._gateway_client, "finalizer_deque", ()), time.monotonic() + 3
+    while handles and time.monotonic() < until:
+        time.sleep(0.05)
+    time.sleep(0.05)
     spark.sparkContext._jvm.java.lang.System.gc()
 
 
